@@ -73,16 +73,19 @@ def jaro_winkler(left: list[bytes], right: list[bytes]) -> np.ndarray:
 
 
 def _scores(a: pd.Series, b: pd.Series, chunk: int = 4096) -> np.ndarray:
-    """NaN where a side is missing. Pairs of similar length share a chunk, so padding stays small."""
-    out = np.full(len(a), np.nan)
-    known = np.flatnonzero((a.notna() & b.notna()).to_numpy())
-    left = [a.iloc[i].encode() for i in known]
-    right = [b.iloc[i].encode() for i in known]
-    by_length = sorted(range(len(known)), key=lambda i: max(len(left[i]), len(right[i])))
-    for start in range(0, len(by_length), chunk):
-        part = by_length[start : start + chunk]
-        out[known[part]] = jaro_winkler([left[i] for i in part], [right[i] for i in part])
-    return out
+    """NaN where a side is missing. Each distinct pair is compared once per batch.
+
+    Pairs of similar length share a chunk, so that padding stays small.
+    """
+    pairs = list(zip(a, b))
+    distinct = {p for p in pairs if isinstance(p[0], str) and isinstance(p[1], str)}
+    known: dict = {}
+    ordered = sorted(((x.encode(), y.encode(), (x, y)) for x, y in distinct), key=lambda p: max(len(p[0]), len(p[1])))
+    for start in range(0, len(ordered), chunk):
+        part = ordered[start : start + chunk]
+        values = jaro_winkler([p[0] for p in part], [p[1] for p in part])
+        known.update(zip((p[2] for p in part), values))
+    return np.array([known.get(p, np.nan) for p in pairs], dtype=float)
 
 
 @F.pandas_udf(T.DoubleType())

@@ -71,8 +71,8 @@ def expand_title(raw: Column) -> Column:
     return blank_to_null(F.trim(_replaced(blank_to_null(collapsed), TITLE_EXPANSIONS)))
 
 
-def standardize_title(raw: Column) -> Column:
-    return _replaced(F.initcap(F.lower(expand_title(raw))), TITLE_CASE_FIXES)
+def title_case(lowered: Column) -> Column:
+    return _replaced(F.initcap(lowered), TITLE_CASE_FIXES)
 
 
 def _first_rule(text: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> Column:
@@ -86,13 +86,14 @@ def _first_rule(text: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> Col
     return chosen
 
 
-def seniority(raw_title: Column) -> Column:
-    t = F.lower(expand_title(raw_title))
-    return F.when(t.isNotNull(), F.coalesce(_first_rule(t, SENIORITY_RULES), F.lit("IC")))
+def seniority(lowered: Column) -> Column:
+    """Level of an expanded, lower-case title; anything unrecognised is an individual contributor."""
+    return F.when(lowered.isNotNull(), F.coalesce(_first_rule(lowered, SENIORITY_RULES), F.lit("IC")))
 
 
-def department(raw_title: Column) -> Column:
-    return _first_rule(F.lower(expand_title(raw_title)), DEPARTMENT_RULES)
+def department(lowered: Column) -> Column:
+    """Department of an expanded, lower-case title, or NULL."""
+    return _first_rule(lowered, DEPARTMENT_RULES)
 
 
 def persona(dept: Column, level: Column) -> Column:

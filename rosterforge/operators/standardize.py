@@ -34,10 +34,14 @@ def standardize_accounts(raw: DataFrame) -> DataFrame:
 
 def standardize_contacts(raw: DataFrame, cfg: Config) -> DataFrame:
     first, last = F.trim("first_name"), F.trim("last_name")
-    email = tx.normalize_email(F.col("email"))
-    title = F.col("title")
     updated = F.col("source_updated_at").cast("date")
-    return raw.select(
+    # worked out once per row, ahead of the many rules that look at them
+    prepared = raw.withColumns({
+        "_email": tx.normalize_email(F.col("email")),
+        "_title": F.lower(tx.expand_title(F.col("title"))),
+    })
+    email, title = F.col("_email"), F.col("_title")
+    return prepared.select(
         "contact_id",
         "account_id",
         first.alias("first_name"),
@@ -46,8 +50,8 @@ def standardize_contacts(raw: DataFrame, cfg: Config) -> DataFrame:
         F.col("email").alias("email_raw"),
         email.alias("email"),
         tx.is_valid_email(email).alias("is_valid_email"),
-        tx.blank_to_null(F.trim(title)).alias("title_raw"),
-        tx.standardize_title(title).alias("title"),
+        tx.blank_to_null(F.trim("title")).alias("title_raw"),
+        tx.title_case(title).alias("title"),
         tx.seniority(title).alias("seniority"),
         tx.department(title).alias("department"),
         updated.alias("source_updated_at"),

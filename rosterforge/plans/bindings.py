@@ -97,6 +97,31 @@ OLDER_ENRICHMENT = ENRICHMENT | {
 }
 
 
+# clean tables to plant errors in: unique valid addresses, known accounts, fresh dates, plain titles
+CLEAN_CONTACTS = CONTACTS | {
+    "account_id": "'ACC-' || lpad(cast(o_custkey as string), 7, '0')",
+    "first_name": "'First' || cast(o_orderkey as string)",
+    "last_name": "'Last' || cast(o_orderkey as string)",
+    "email": "'user' || cast(o_orderkey as string) || '@org' || cast(o_custkey as string) || '.test'",
+    "title": """case o_orderkey % 6 when 0 then 'Data Engineer' when 1 then 'VP of Revenue Operations'
+        when 2 then 'Director of Data' when 3 then 'Chief Operating Officer' when 4 then 'Finance Manager'
+        else 'Sales Manager' end""",
+    "source_updated_at": f"cast(date '{REFERENCE_DATE}' - cast(o_orderkey % 150 as int) as string)",
+}
+# a specific label that fits the seed, a generic one, or none
+CLEAN_ENRICHMENT = ENRICHMENT | {
+    "domain": "'cust' || cast(c_custkey as string) || '.example'",
+    "industry": """case when c_custkey % 5 = 3 then 'Software Development' when c_custkey % 5 = 4 then null
+        else case c_custkey % 12 when 0 then 'Design Services' when 1 then 'Data Infrastructure and Analytics'
+        when 2 then 'Computer and Network Security' when 3 then 'Financial Services'
+        when 4 then 'Hospitals and Health Care' when 5 then 'Marketing Services' when 6 then 'Computer Software'
+        when 7 then 'Human Resources Services' when 8 then 'Retail'
+        when 9 then 'Transportation, Logistics, Supply Chain and Storage' when 10 then 'Computer Software'
+        else 'Entertainment Providers' end end""",
+}
+CLEAN_ACCOUNTS = ACCOUNTS | {"domain": "'cust' || cast(c_custkey as string) || '.example'"}
+
+
 def select_list(columns: dict[str, str]) -> list[str]:
     return [f"{expr} as {name}" for name, expr in columns.items()]
 
@@ -125,5 +150,15 @@ def bind(spark: SparkSession, sf_dir: str) -> RawTables:
     )
 
 
+def bind_clean(spark: SparkSession, sf_dir: str) -> RawTables:
+    customer = table(spark, sf_dir, "customer")
+    return RawTables(
+        accounts=customer.selectExpr(*select_list(CLEAN_ACCOUNTS)),
+        contacts=table(spark, sf_dir, "orders").selectExpr(*select_list(CLEAN_CONTACTS)),
+        engagement=table(spark, sf_dir, "events").selectExpr(*select_list(ENGAGEMENT)),
+        enrichment_wide=customer.selectExpr(*select_list(CLEAN_ENRICHMENT)),
+    )
+
+
 def binding_config(**changes) -> Config:
     return Config(reference_date=REFERENCE_DATE, **changes)
