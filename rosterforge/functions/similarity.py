@@ -68,8 +68,10 @@ def jaro_winkler(left: list[bytes], right: list[bytes]) -> np.ndarray:
     for k in range(min(PREFIX_MAX, a.shape[1], b.shape[1])):
         still &= (k < la) & (k < lb) & (a[:, k] == b[:, k])
         common += still
-    boosted = jaro + common * PREFIX_WEIGHT * (1.0 - jaro)
-    return np.where(jaro > BOOST_FLOOR, boosted, jaro)
+    boost = np.flatnonzero((jaro > BOOST_FLOOR) & (common > 0))
+    # one rounding for product and sum, so that a pair just at a threshold falls on the right side
+    jaro[boost] = [math.fma(PREFIX_WEIGHT * k, 1.0 - v, v) for k, v in zip(common[boost].tolist(), jaro[boost].tolist())]
+    return jaro
 
 
 def _scores(a: pd.Series, b: pd.Series, chunk: int = 4096) -> np.ndarray:

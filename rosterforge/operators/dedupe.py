@@ -72,6 +72,36 @@ def merged_ids(deduped: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
+def _candidates(names: DataFrame, on: list[str], crowd: int, cfg: Config) -> DataFrame:
+    """Pairs of distinct texts of a block, the second with the lower id, that may be similar.
+
+    Every text of a small block meets the others; no block is larger than `block_names_max`
+    there. A text of a larger block writes keys that any similar text must share, and meets
+    only the texts with such a key and just the common prefix the key was made for.
+    """
+    keyed = names.select(*on, "_text", "_low")
+    key = []
+    if crowd > cfg.block_names_max:
+        blocks = names.groupBy(*on).agg(F.count(F.lit(1)).alias("_names")).filter("_names > 1")
+        hot = hot_keys(blocks, on, "_names", cfg)
+        sized = salted_join(keyed, blocks, on, "inner", hot, "_text", cfg)
+        large = F.col("_names") > cfg.block_names_max
+        keys = sim.pairing_keys_udf(cfg.fuzzy_threshold)(F.when(large, F.col("_text")))
+        key = ["_key"]
+        keyed = sized.select(*on, "_text", "_low", F.explode(F.coalesce(keys, F.array(F.lit("")))).alias("_key"))
+    earlier = keyed.select(*on, *key, F.col("_text").alias("_text2"), F.col("_low").alias("_low2"))
+    ratio = sim.min_length_ratio(cfg.fuzzy_threshold)
+    size1, size2 = F.octet_length("_text"), F.octet_length("_text2")
+    pairs = keyed.join(earlier, [*on, *key]).filter(
+        (F.col("_low2") < F.col("_low")) & (F.least(size1, size2) >= ratio * F.greatest(size1, size2) - 1e-9)
+    )
+    if key:
+        made_for = F.split_part("_key", F.lit("."), F.lit(1))
+        common = sim.common_prefix(F.col("_text"), F.col("_text2")).cast("string")
+        pairs = pairs.filter((F.col("_key") == "") | (made_for == common))
+    return pairs
+
+
 def fuzzy_pairs(
     df: DataFrame,
     cfg: Config,
@@ -84,53 +114,40 @@ def fuzzy_pairs(
 
     Expects one row per `other` value, as survivors have. Similarity depends on the text only,
     so rows shrink to distinct texts with their lowest id, and the answer of a row is the lowest
-    id over all similar texts, if it is below its own. Blocks with many distinct texts are not
-    paired in full: each text writes keys that any similar text must share (`pairing_keys`).
+    id over all similar texts, if it is below its own.
     """
     on = [f"_block{i}" for i in range(len(block))]
     parts = [F.col(b) for b in block[:-1]] + [F.lower(block[-1])]
-    rows = df.filter(F.col(other).isNotNull() & (F.col(text) != "")).select(
-        F.col(id_col).alias("_id"),
-        *[part.alias(name) for part, name in zip(parts, on)],
-        F.lower(text).alias("_text"),
-    ).dropna()
+    rows = stored(
+        df.filter(F.col(other).isNotNull() & (F.col(text) != ""))
+        .select(
+            F.col(id_col).alias("_id"),
+            *[part.alias(name) for part, name in zip(parts, on)],
+            F.lower(text).alias("_text"),
+        )
+        .dropna(),
+        "fuzzy_rows",
+    )
     names = stored(
         rows.groupBy(*on, "_text").agg(
             F.min("_id").alias("_low"), F.max("_id").alias("_high"), F.count(F.lit(1)).alias("_rows")
         ),
         "names",
     )
-    blocks = names.groupBy(*on).agg(F.count(F.lit(1)).alias("_names")).filter("_names > 1")
+    per_block = names.groupBy(*on).agg(F.count(F.lit(1)).alias("_names"), F.max("_rows").alias("_most"))
+    crowd, most = per_block.agg(F.max("_names"), F.max("_most")).first()
 
-    crowded = salted_join(
-        names.select(*on, "_text", "_low"), blocks, on, "inner", hot_keys(blocks, on, "_names", cfg), "_text", cfg
-    )
-    large = F.col("_names") > cfg.block_names_max
-    key_list = sim.pairing_keys_udf(cfg.fuzzy_threshold)(F.when(large, F.col("_text")))
-    keyed = crowded.select(
-        *on, "_text", "_low", F.explode(F.coalesce(key_list, F.array(F.lit("")))).alias("_key")
-    )
-    earlier = keyed.select(*on, "_key", F.col("_text").alias("_text2"), F.col("_low").alias("_low2"))
-    ratio = sim.min_length_ratio(cfg.fuzzy_threshold)
-    size1, size2 = F.octet_length("_text"), F.octet_length("_text2")
-    prefix = F.split_part("_key", F.lit("."), F.lit(1))
-    candidates = keyed.join(earlier, [*on, "_key"]).filter(
-        (F.col("_low2") < F.col("_low"))
-        & (F.least(size1, size2) >= ratio * F.greatest(size1, size2) - 1e-9)
-        & ((F.col("_key") == "") | (prefix == sim.common_prefix(F.col("_text"), F.col("_text2")).cast("string")))
-    )
-    similar = candidates.filter(
+    similar = _candidates(names, on, crowd or 0, cfg).filter(
         sim.jaro_winkler_similarity("_text", "_text2") >= cfg.fuzzy_threshold
     )
     lowest = similar.groupBy(*on, "_text").agg(F.min("_low2").alias("_low2"))
-
     answers = (
         names.join(lowest, [*on, "_text"], "left")
         .select(*on, "_text", F.coalesce("_low2", "_low").alias("_first"), "_high")
         .filter("_first < _high")
         .drop("_high")
     )
-    hot = hot_keys(names, [*on, "_text"], "_rows", cfg)
+    hot = hot_keys(names, [*on, "_text"], "_rows", cfg) if (most or 0) >= cfg.hot_key_rows else []
     return (
         salted_join(rows, answers, [*on, "_text"], "inner", hot, "_id", cfg)
         .filter("_first < _id")
@@ -140,6 +157,6 @@ def fuzzy_pairs(
 
 def dedupe_contacts(contacts: DataFrame, cfg: Config) -> DataFrame:
     """Exact groups on every row, plus the review hint for survivors that look alike."""
-    exact = stored(dedupe_exact(contacts, "email", "contact_id", contact_preference(), cfg), "exact_groups")
+    exact = dedupe_exact(contacts, "email", "contact_id", contact_preference(), cfg)
     hints = fuzzy_pairs(exact.filter("is_survivor"), cfg)
     return exact.join(hints, "contact_id", "left")

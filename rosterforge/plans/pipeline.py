@@ -96,9 +96,7 @@ class Build:
 
     @cached_property
     def survivor_links(self) -> DataFrame:
-        return stored(
-            contacts.survivor_links(self.int_contacts_deduped, self.dim_contact, self.cfg), "survivor_links"
-        )
+        return contacts.survivor_links(self.int_contacts_deduped, self.dim_contact, self.cfg)
 
     @cached_property
     def fct_engagement(self) -> DataFrame:
