@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,8 @@ PREFIX_MAX = 4
 PREFIX_WEIGHT = 0.1
 BOOST_FLOOR = 0.7
 
+CHOICES_MAX = 256   # most choices of matching bytes written out as keys for one length
+
 
 def _padded(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter((len(v) for v in values), np.int64, len(values))
@@ -115,10 +118,11 @@ def pairing_keys(name: bytes, threshold: float) -> list[str]:
     """Keys of which every pair with similarity >= threshold shares at least one.
 
     Take a pair with lengths x <= y and exactly p equal leading bytes (at most 4). It needs c
-    matching bytes, so apart from the prefix the two bags of bytes differ in at most
-    d = x + y - 2c places. Cut the byte values into d + 1 classes: each difference touches one
-    class, so some class holds the same bytes on both sides. A key is (p, prefix, x, y, class,
-    bytes of that class); a name writes one set of keys for every length it could pair with.
+    matching bytes: behind the prefix, the two bags of bytes have c - p bytes in common. So each
+    side writes (p, prefix, x, y) with every choice of c - p of its other bytes. Where that is
+    too many, the bags are compared in classes instead: they differ in at most d = x + y - 2c
+    places, a difference touches one class of byte values, so of d + 1 classes some class holds
+    the same bytes on both sides. A name writes one set of keys for every length it could meet.
     """
     n = len(name)
     if n == 0:
@@ -132,6 +136,9 @@ def pairing_keys(name: bytes, threshold: float) -> list[str]:
             c = needed_matches(threshold, p, x, y)
             if c > x:
                 continue
+            if math.comb(y - p, c - p) <= CHOICES_MAX:
+                keys.update(f"{p}.{head}.{x}.{y}.{bytes(s).hex()}" for s in combinations(rest, c - p))
+                continue
             classes = x + y - 2 * c + 1
             split: list[list[int]] = [[] for _ in range(classes)]
             for byte in rest:

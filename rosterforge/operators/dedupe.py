@@ -85,10 +85,16 @@ def _candidates(names: DataFrame, on: list[str], crowd: int, cfg: Config) -> Dat
         blocks = names.groupBy(*on).agg(F.count(F.lit(1)).alias("_names")).filter("_names > 1")
         hot = hot_keys(blocks, on, "_names", cfg)
         sized = salted_join(keyed, blocks, on, "inner", hot, "_text", cfg)
+        # few bytes but much work per name: a fixed number of partitions keeps all cores busy
+        parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sized = sized.repartition(parts, *on, "_text")
         large = F.col("_names") > cfg.block_names_max
         keys = sim.pairing_keys_udf(cfg.fuzzy_threshold)(F.when(large, F.col("_text")))
         key = ["_key"]
-        keyed = sized.select(*on, "_text", "_low", F.explode(F.coalesce(keys, F.array(F.lit("")))).alias("_key"))
+        keyed = stored(
+            sized.select(*on, "_text", "_low", F.explode(F.coalesce(keys, F.array(F.lit("")))).alias("_key")),
+            "name_keys",
+        )
     earlier = keyed.select(*on, *key, F.col("_text").alias("_text2"), F.col("_low").alias("_low2"))
     ratio = sim.min_length_ratio(cfg.fuzzy_threshold)
     size1, size2 = F.octet_length("_text"), F.octet_length("_text2")

@@ -22,14 +22,16 @@ def match_accounts(wide: DataFrame, raw_accounts: DataFrame, cfg: Config) -> Dat
     """Attach `record_id`, the account with the same domain, or NULL where there is none.
 
     The match runs on the wide rows, before they become one row per field, so the join moves a
-    seventh of the rows. Two accounts with one domain both receive the enrichment.
+    seventh of the rows. Two accounts with one domain both receive the enrichment. The rows have
+    no id and may be exact copies, so those of a frequent (or missing) domain are told apart by
+    their place in the files.
     """
     accounts = raw_accounts.select(
         normalize_domain(F.col("domain"), "match").alias("domain_norm"),
         F.col("account_id").alias("record_id"),
     )
     wide = wide.withColumn("domain_norm", normalize_domain(F.col("domain"), "loader"))
-    spread = wide.withColumn("_row", F.xxhash64(*wide.columns))
+    spread = wide.withColumn("_row", F.monotonically_increasing_id())
     return join_many_to_one(spread, accounts, ["domain_norm"], "left", "_row", cfg).drop("_row")
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from rosterforge.config import INDUSTRY_BUCKETS, Config
 from rosterforge.functions.dates import ref_date
-from rosterforge.operators.ranking import position_by_hash
+from rosterforge.operators.ranking import first_by_hash
+from rosterforge.sources.staging import stored
 
 # The order in which kinds take their rows, and the forms of a duplicate.
 CONTACT_KINDS = ("missing_title", "invalid_email", "stale_record", "orphan_contact", "duplicate_contact")
@@ -41,22 +42,25 @@ def _pick(options: Sequence[Column], choice: Column) -> Column:
     return out
 
 
-def assign_kinds(df: DataFrame, id_col: str, kinds: Sequence[str], cfg: Config) -> DataFrame:
-    """Give round(n * rate) rows to each kind. Adds _kind, _nth (1-based inside a kind), _total.
+def assign_kinds(
+    df: DataFrame, id_col: str, kinds: Sequence[str], cfg: Config
+) -> tuple[DataFrame, DataFrame]:
+    """Give round(n * rate) rows to each kind, in digest order, one stretch after the other.
 
-    Rows are put in digest order; each kind takes the next stretch of that order.
+    Returns the rows around those stretches, stored, with _kind (NULL for rows just behind the
+    last stretch), _nth (1-based inside a kind) and _total, and the rows no kind can reach.
     """
-    placed = position_by_hash(df, digest(id_col, "pool", cfg), id_col, "_pos", "_total")
-    kind_col, nth = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     ends = [F.lit(0).cast("bigint")]
     for kind in kinds:
         quota = F.bround(F.col("_total") * F.lit(float(cfg.error_rates[kind])), 0).cast("bigint")
         ends.append(ends[-1] + quota)
+    near, rest = first_by_hash(df, digest(id_col, "pool", cfg), id_col, "_pos", "_total", ends[-1])
+    kind_col, nth = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     for i in reversed(range(len(kinds))):
         inside = F.col("_pos") <= ends[i + 1]
         kind_col = F.when(inside, kinds[i]).otherwise(kind_col)
         nth = F.when(inside, F.col("_pos") - ends[i]).otherwise(nth)
-    return placed.withColumns({"_kind": kind_col, "_nth": nth}).drop("_pos")
+    return stored(near.withColumns({"_kind": kind_col, "_nth": nth}).drop("_pos"), "planted"), rest
 
 
 def break_email(email: Column, choice: Column) -> Column:
@@ -80,7 +84,7 @@ def swap_last_two(name: Column) -> Column:
 
 def plant_contact_errors(contacts: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
     """(contacts with errors, manifest). Expects the raw contact columns, all text."""
-    marked = assign_kinds(contacts, "contact_id", CONTACT_KINDS, cfg)
+    marked, rest = assign_kinds(contacts, "contact_id", CONTACT_KINDS, cfg)
     kind = F.col("_kind")
     low, high = STALE_DAYS
     aged = F.date_sub(ref_date(cfg.reference_date), F.lit(low) + _draw("contact_id", "age", high - low + 1, cfg))
@@ -128,13 +132,14 @@ def plant_contact_errors(contacts: DataFrame, cfg: Config) -> tuple[DataFrame, D
         F.col("_value").alias("planted_value"),
         F.when(is_copy, F.col("contact_id")).alias("related_record_id"),
     )
-    return kept.select(*contacts.columns).unionByName(copies.select(*contacts.columns)), manifest
+    names = contacts.columns
+    return rest.unionByName(kept.select(*names)).unionByName(copies.select(*names)), manifest
 
 
 def plant_account_errors(accounts: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
     """(accounts with a wrong seed industry on some rows, manifest)."""
     kind = "conflicting_industry"
-    marked = assign_kinds(accounts, "account_id", (kind,), cfg)
+    marked, rest = assign_kinds(accounts, "account_id", (kind,), cfg)
     seed = F.col("seed_industry")
     # a bucket other than the row's own: step 1 to 11 places ahead in the ring of twelve
     ring = F.array(*[F.lit(b) for b in INDUSTRY_BUCKETS])
@@ -153,4 +158,4 @@ def plant_account_errors(accounts: DataFrame, cfg: Config) -> tuple[DataFrame, D
         F.lit(None).cast("string").alias("related_record_id"),
     )
     dirty = marked.withColumn("seed_industry", F.coalesce("_planted", "seed_industry"))
-    return dirty.select(*accounts.columns), manifest
+    return rest.unionByName(dirty.select(*accounts.columns)), manifest

@@ -24,26 +24,33 @@ def rank_desc(df: DataFrame, score: str, out: str) -> DataFrame:
     return df.join(F.broadcast(ranks), df[score].eqNullSafe(ranks["_value"]), "inner").drop("_value")
 
 
-def position_by_hash(df: DataFrame, digest: Column, tie: str, out: str, total: str) -> DataFrame:
-    """1-based position in the order of a hex digest, then `tie`, next to the number of rows.
+def first_by_hash(
+    df: DataFrame, digest: Column, tie: str, out: str, total: str, wanted: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that may be among the first `wanted` in the order of a hex digest, and all others.
 
-    The first four hex digits split the rows evenly into 65,536 slices. Slice counts give each
-    slice its offset, and only the rows of one slice are ever sorted together.
+    The first part carries its 1-based position and the number of rows; `wanted` may refer to
+    that number. The first four hex digits split the rows evenly into 65,536 slices. Slice counts
+    give each slice its offset, so slices that start after the wanted rows are never shuffled,
+    and only the rows of one slice are ever sorted together.
     """
     keyed = df.withColumn("_digest", digest).withColumn("_slice", F.substring("_digest", 1, 4))
     counts = keyed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = (
+    offsets = stored(
         running_totals(counts, [F.asc("_slice")], "_n")
         .withColumn(total, F.sum("_n").over(W.partitionBy()))
-        .drop("_n")
+        .drop("_n"),
+        "offsets",
     )
+    # at most 65,536 lines
+    sliced = keyed.join(F.broadcast(offsets), "_slice")
     inside = W.partitionBy("_slice").orderBy("_digest", tie)
-    return (
-        keyed.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_slice")
-        .withColumn(out, (F.col("_before") + F.col("_inside")).cast("bigint"))
-        .drop("_digest", "_slice", "_inside", "_before")
+    near = (
+        sliced.filter(F.col("_before") < wanted)
+        .withColumn(out, (F.col("_before") + F.row_number().over(inside)).cast("bigint"))
+        .drop("_digest", "_slice", "_before")
     )
+    return near, sliced.filter(F.col("_before") >= wanted).select(*df.columns)
 
 
 def position_by_column(df: DataFrame, column: str, out: str) -> DataFrame:

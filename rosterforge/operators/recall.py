@@ -32,22 +32,21 @@ def planted_detail(manifest: DataFrame, failures: DataFrame, resolved: DataFrame
         expected.alias("expected_check"),
     )
     labels = resolved.select(
-        F.col("account_id").alias("_account"),
-        F.col("industry_label").alias("enrichment_industry_label"),
+        F.col("account_id").alias("record_id"),
+        F.col("industry_label").alias("_label"),
         "label_is_generic",
     )
-    # kinds other than industry never look at an account, so they carry no join key
-    keyed = planted.withColumn("_account", F.when(is_industry, F.col("record_id")))
     found = failures.select(
         F.col("check_name").alias("expected_check"), "record_id", F.lit(True).alias("_found")
     ).distinct()
-    label = F.col("enrichment_industry_label")
+    label = F.col("_label")
     return (
-        keyed.join(labels, "_account", "left")
+        # every record id takes part, so rows without a label do not pile up on a missing key
+        planted.join(labels, "record_id", "left")
         .join(found, ["expected_check", "record_id"], "left")
         .select(
             *planted.columns,
-            "enrichment_industry_label",
+            F.when(is_industry, label).alias("enrichment_industry_label"),
             F.when(
                 is_industry, label.isNotNull() & ~F.coalesce("label_is_generic", F.lit(False))
             ).alias("is_detectable"),

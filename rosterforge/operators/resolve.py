@@ -32,10 +32,7 @@ def join_enrichment(accounts: DataFrame, enrichment: DataFrame) -> DataFrame:
 
 
 def lookup_labels(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    """What the mapping says about each row's label, from one join with one row per label.
-
-    No broadcast hint: the mapping is broadcast when Spark measures it small enough.
-    """
+    """What the mapping says about each row's label, from one join with one row per label."""
     labels = label_lookup(mapping).withColumnRenamed("provider_label", "industry_label")
     generic = F.coalesce("label_is_generic", F.lit(False))
     mapped = F.col("label_buckets").isNotNull()
