@@ -64,6 +64,10 @@ def salted_join(
         raise ValueError(f"cannot salt a {how} join")
     if not hot:
         return _join(left, right, keys, how, null_safe)
+    for k in keys:
+        # equal values of different types hash differently
+        if left.schema[k].dataType != right.schema[k].dataType:
+            raise TypeError(f"key {k!r} has different types on the two sides")
     listed = left.sparkSession.createDataFrame([(h,) for h in hot], "_hot bigint")
     is_hot = F.col("_hot").isNotNull()
     slice_no = F.pmod(F.xxhash64(spread), F.lit(cfg.salts)).cast("int")

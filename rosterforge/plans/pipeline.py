@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -37,8 +37,8 @@ LAYERS = {
 class Build:
     """Every table of a build, worked out when first asked for.
 
-    Tables that several others read are stored once in the shared scratch folder; the rest stay
-    lazy. `materialize` writes all layers to a place of the caller's choice instead.
+    Tables that several others read are stored once, below `root` if there is one and otherwise
+    in the shared scratch folder; the rest stay lazy.
     """
 
     accounts: DataFrame
@@ -47,6 +47,17 @@ class Build:
     enrichment: DataFrame   # long form, matched to accounts
     cfg: Config
     mapping: DataFrame | None = None
+    root: str | None = None
+    written: set[str] = field(default_factory=set)
+
+    def _write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{LAYERS[name]}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        self.written.add(name)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return stored(df, name) if self.root is None else self._write(df, name)
 
     @cached_property
     def stg_accounts(self) -> DataFrame:
@@ -70,7 +81,7 @@ class Build:
 
     @cached_property
     def int_accounts_resolved(self) -> DataFrame:
-        return stored(
+        return self._keep(
             resolve.resolve_accounts(self.stg_accounts, self.stg_enrichment, self.industry_mapping), "int_accounts_resolved"
         )
 
@@ -80,7 +91,7 @@ class Build:
 
     @cached_property
     def int_contacts_deduped(self) -> DataFrame:
-        return stored(
+        return self._keep(
             dedupe.dedupe_contacts(self.stg_contacts, self.cfg), "int_contacts_deduped"
         )
 
@@ -90,7 +101,7 @@ class Build:
 
     @cached_property
     def dim_contact(self) -> DataFrame:
-        return stored(
+        return self._keep(
             contacts.dim_contact(self.int_contacts_deduped, self.stg_accounts, self.cfg), "dim_contact"
         )
 
@@ -136,18 +147,17 @@ class Build:
         Staging tables are recomputed on read. A stored table survives the loss of executors
         and cuts the lineage of everything built on it.
         """
-        spark = self.accounts.sparkSession
+        self.root = root
         for name, layer in LAYERS.items():
             if layer == "staging":
                 continue
             df = getattr(self, name)
-            path = f"{root}/{layer}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            self.__dict__[name] = spark.read.schema(df.schema).parquet(path)
+            if name not in self.written:
+                self.__dict__[name] = self._write(df, name)
         return self.tables()
 
     def create_views(self) -> None:
-        """Temp views named layer_table, for SQL users."""
+        """A temp view per table, for SQL users."""
         for name, df in self.tables().items():
             df.createOrReplaceTempView(name)
 

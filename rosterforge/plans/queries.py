@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from rosterforge.operators import (
     changes, constraints, dedupe, enrichment, planting, quality, recall, report, resolve, scoring, standardize,
 )
 from rosterforge.plans.bindings import RawTables, bind, bind_clean, binding_config, table
-from rosterforge.plans.pipeline import Build, build
+from rosterforge.plans.pipeline import LAYERS, Build, build
 from rosterforge.sources import export, provider, raw, state
 from rosterforge.sources.staging import scratch_path, stored
 
@@ -103,6 +104,16 @@ def industry_labels(spark, sf_dir):
     )
 
 
+@query
+def layer_tables(spark, sf_dir):
+    """A whole build written layer by layer, and the rows of every table it wrote."""
+    tables = built(spark, sf_dir).materialize(scratch_path(spark, "warehouse"))
+    counts = [
+        df.select(F.lit(LAYERS[name]).alias("layer"), F.lit(name).alias("table_name")) for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, counts).groupBy("layer", "table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # standardising -------------------------------------------------------------------------------
 
 @query

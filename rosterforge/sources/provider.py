@@ -49,6 +49,7 @@ def _headers(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
 
 
 def _columns(spark: SparkSession, header: str) -> list[str]:
+    header = header.removeprefix("\ufeff")
     fields = spark.createDataFrame([(header,)], "h string").select(
         F.from_csv("h", ", ".join(f"c{i} string" for i in range(header.count(",") + 1)), {"escape": '"'}).alias("f")
     ).first()["f"]

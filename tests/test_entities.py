@@ -154,6 +154,12 @@ def test_salted_join_equals_plain_join(spark, how, null_safe):
     assert rows(got.select(sorted(got.columns))) == rows(want.select(sorted(want.columns)))
 
 
+def test_salting_refuses_keys_of_different_types(spark):
+    left, right = spark.createDataFrame([(1, 1)], "id int, k int"), spark.createDataFrame([(1,)], "k bigint")
+    with pytest.raises(TypeError):
+        salted_join(left, right, ["k"], "inner", [1], "id", Config())
+
+
 def test_hot_rows_are_spread_over_slices(spark):
     many = spark.range(3000).select(F.col("id").cast("string").alias("id"),
                                     F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
