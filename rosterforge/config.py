@@ -76,9 +76,9 @@ class Config:
     error_rates: Mapping[str, float] = field(default_factory=lambda: dict(ERROR_RATES))
 
     # Scale controls. They change plans, never results.
-    hot_key_rows: int = 1_000_000   # a key with at least this many rows is salted
-    hot_key_limit: int = 10_000     # most keys salted at once; 8 bytes each in the broadcast
-    salts: int = 64                 # slices a hot key is cut into
+    hot_key_rows: int = 1_000_000   # a key with at least this many rows is salted into slices of this size
+    hot_key_limit: int = 10_000     # most keys salted at once; 12 bytes each in the broadcast
+    salts: int = 64                 # fewest slices a hot key is cut into
     block_names_max: int = 64       # name blocks larger than this get sub-keys before pairing
     merged_list_max: int = 10_000   # longer merge lists stay in merged_links only
 

@@ -52,7 +52,7 @@ def survivor_links(deduped: DataFrame, contacts: DataFrame, cfg: Config) -> Data
     hot = hot_keys(sizes, ["survivor_contact_id"], "group_size", cfg)
     clean = contacts.select(F.col("contact_id").alias("survivor_contact_id"))
     return salted_join(
-        links.drop("group_size"), clean, ["survivor_contact_id"], "left_semi", hot, "contact_id", cfg
+        links.drop("group_size"), clean, ["survivor_contact_id"], "left_semi", hot, "contact_id"
     ).select("contact_id", "survivor_contact_id")
 
 

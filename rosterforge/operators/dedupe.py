@@ -41,7 +41,7 @@ def dedupe_exact(
         "duplicate_groups",
     )
     hot = hot_keys(groups, [key], "_size", cfg)
-    joined = salted_join(df, groups, [key], "left", hot, id_col, cfg, null_safe=True)
+    joined = salted_join(df, groups, [key], "left", hot, id_col, null_safe=True)
     return joined.select(
         *df.columns,
         F.coalesce("_size", F.lit(1).cast("bigint")).alias("group_size"),
@@ -84,7 +84,7 @@ def _candidates(names: DataFrame, on: list[str], crowd: int, cfg: Config) -> Dat
     if crowd > cfg.block_names_max:
         blocks = names.groupBy(*on).agg(F.count(F.lit(1)).alias("_names")).filter("_names > 1")
         hot = hot_keys(blocks, on, "_names", cfg)
-        sized = salted_join(keyed, blocks, on, "inner", hot, "_text", cfg)
+        sized = salted_join(keyed, blocks, on, "inner", hot, "_text")
         # few bytes but much work per name: a fixed number of partitions keeps all cores busy
         parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         sized = sized.repartition(parts, *on, "_text")
@@ -153,9 +153,9 @@ def fuzzy_pairs(
         .filter("_first < _high")
         .drop("_high")
     )
-    hot = hot_keys(names, [*on, "_text"], "_rows", cfg) if (most or 0) >= cfg.hot_key_rows else []
+    hot = hot_keys(names, [*on, "_text"], "_rows", cfg) if (most or 0) >= cfg.hot_key_rows else {}
     return (
-        salted_join(rows, answers, [*on, "_text"], "inner", hot, "_id", cfg)
+        salted_join(rows, answers, [*on, "_text"], "inner", hot, "_id")
         .filter("_first < _id")
         .select(F.col("_id").alias(id_col), F.col("_first").alias("possible_duplicate_of"))
     )

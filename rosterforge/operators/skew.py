@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,11 +13,12 @@ from pyspark.sql import Window as W
 from rosterforge.config import Config
 
 
-def hot_keys(sizes: DataFrame, keys: Sequence[str], size: str, cfg: Config) -> list[int]:
-    """Hashes of the keys worth salting, measured from a table with one row count per key.
+def hot_keys(sizes: DataFrame, keys: Sequence[str], size: str, cfg: Config) -> dict[int, int]:
+    """Hash and number of slices of the keys worth salting, from a table with one row count per key.
 
-    Runs a job and brings at most `hot_key_limit` numbers to the driver, whatever the data.
-    Which keys are listed never changes a result: a hash collision only salts one more key.
+    A slice holds about `hot_key_rows` rows, however large the key. Runs a job and brings at most
+    `hot_key_limit` pairs of numbers to the driver, whatever the data. Which keys are listed
+    never changes a result: a hash collision only salts one more key.
     """
     largest = (
         sizes.filter(F.col(size) >= cfg.hot_key_rows)
@@ -24,7 +26,10 @@ def hot_keys(sizes: DataFrame, keys: Sequence[str], size: str, cfg: Config) -> l
         .orderBy(F.desc("n"), "h")
         .limit(cfg.hot_key_limit)
     )
-    return sorted({row["h"] for row in largest.collect()})
+    slices: dict[int, int] = {}
+    for row in largest.collect():
+        slices.setdefault(row["h"], max(cfg.salts, math.ceil(row["n"] / cfg.hot_key_rows)))
+    return slices
 
 
 def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -48,12 +53,11 @@ def salted_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str,
-    hot: Sequence[int],
+    hot: Mapping[int, int],
     spread: str,
-    cfg: Config,
     null_safe: bool = False,
 ) -> DataFrame:
-    """`left.join(right, keys, how)` with the rows of hot left keys cut into `salts` slices.
+    """`left.join(right, keys, how)` with the rows of hot left keys cut into slices.
 
     `spread` is a left column that varies inside a key, normally the row id. The right side
     is repeated once per slice for the hot keys only; without hot keys this is a plain join.
@@ -68,12 +72,13 @@ def salted_join(
         # equal values of different types hash differently
         if left.schema[k].dataType != right.schema[k].dataType:
             raise TypeError(f"key {k!r} has different types on the two sides")
-    listed = left.sparkSession.createDataFrame([(h,) for h in hot], "_hot bigint")
+    listed = left.sparkSession.createDataFrame(sorted(hot.items()), "_hot bigint, _slices int")
     is_hot = F.col("_hot").isNotNull()
-    slice_no = F.pmod(F.xxhash64(spread), F.lit(cfg.salts)).cast("int")
-    sliced = _marked(left, keys, listed).withColumn("_salt", F.when(is_hot, slice_no).otherwise(0)).drop("_hot")
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(cfg.salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = _marked(right, keys, listed).withColumn("_salt", F.explode(copies)).drop("_hot")
+    slice_no = F.pmod(F.xxhash64(spread), F.col("_slices")).cast("int")
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.col("_slices") - 1)).otherwise(F.array(F.lit(0)))
+    sliced = _marked(left, keys, listed).withColumn("_salt", F.when(is_hot, slice_no).otherwise(0))
+    repeated = _marked(right, keys, listed).withColumn("_salt", F.explode(copies))
+    sliced, repeated = sliced.drop("_hot", "_slices"), repeated.drop("_hot", "_slices")
     return _join(sliced, repeated, [*keys, "_salt"], how, null_safe).drop("_salt")
 
 
@@ -85,7 +90,7 @@ def join_many_to_one(
     The count reads only the key columns and is combined before its shuffle.
     """
     hot = hot_keys(key_sizes(many.select(*keys), keys), keys, "_rows", cfg)
-    return salted_join(many, one, keys, how, hot, spread, cfg)
+    return salted_join(many, one, keys, how, hot, spread)
 
 
 def running_totals(histogram: DataFrame, order: Sequence[Column], count: str) -> DataFrame:

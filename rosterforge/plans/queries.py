@@ -418,12 +418,12 @@ def unexplained_alarms(spark, sf_dir):
 
 def _strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     b, manifest = planted(spark, sf_dir)
-    return report.strict_conflicts(b.int_accounts_resolved, b.industry_mapping, manifest)
+    return stored(report.strict_conflicts(b.int_accounts_resolved, b.industry_mapping, manifest), "strict")
 
 
 @query
 def strict_tradeoff(spark, sf_dir):
-    return report.strict_tradeoff(_strict(spark, sf_dir))
+    return report.strict_tradeoff(_strict(spark, sf_dir), binding_config())
 
 
 @query

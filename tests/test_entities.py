@@ -148,16 +148,18 @@ def test_salted_join_equals_plain_join(spark, how, null_safe):
     right = spark.createDataFrame([("hot", 1), (None, 2), ("k2", 3), ("k5", 4), ("gone", 5)], "k string, v int")
     cfg = Config(hot_key_rows=10, salts=7)
     hot = hot_keys(key_sizes(left, ["k"]), ["k"], "_rows", cfg)
-    assert len(hot) == 2
-    got = salted_join(left, right, ["k"], how, hot, "id", cfg, null_safe)
-    want = salted_join(left, right, ["k"], how, [], "id", cfg, null_safe)
+    assert sorted(hot.values()) == [7, 7]
+    many = hot_keys(key_sizes(left, ["k"]), ["k"], "_rows", Config(hot_key_rows=3, salts=2))
+    assert max(many.values()) == 10      # thirty rows in slices of three
+    got = salted_join(left, right, ["k"], how, hot, "id", null_safe)
+    want = salted_join(left, right, ["k"], how, {}, "id", null_safe)
     assert rows(got.select(sorted(got.columns))) == rows(want.select(sorted(want.columns)))
 
 
 def test_salting_refuses_keys_of_different_types(spark):
     left, right = spark.createDataFrame([(1, 1)], "id int, k int"), spark.createDataFrame([(1,)], "k bigint")
     with pytest.raises(TypeError):
-        salted_join(left, right, ["k"], "inner", [1], "id", Config())
+        salted_join(left, right, ["k"], "inner", {1: 2}, "id")
 
 
 def test_hot_rows_are_spread_over_slices(spark):
