@@ -7,8 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import table
+from rosterforge.llm.common import crc_mod, table
+from rosterforge.llm.langid import fit_langid, predict_languages
+from rosterforge.llm.pii import find_pii, fit_pii
+from rosterforge.llm.secrets import find_secrets, identifier_dictionary
 from rosterforge.llm.simhash import simhash_components
+from rosterforge.llm.toxicity import fit_toxicity, score_toxicity
+from rosterforge.llm.warc import archive_round_trip
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("_fold", crc_mod("doc_id", 4))
+    model = fit_langid(docs.filter("_fold <> 2"))
+    found = predict_languages(docs, model)
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = crc_mod("doc_id", 5)
+    model = fit_toxicity(docs.filter(fold != 0), table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select(
+        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return find_secrets(docs, identifier_dictionary(docs))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return find_pii(docs, fit_pii(docs)).drop("redacted")
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +52,24 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
+    "op3_warc": op3_warc,
+    "op5_secrets": op5_secrets,
+    "op6_pii": op6_pii,
     "op7_simhash_dedup": op7_simhash_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), f AS (
+            SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first_id < page_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)
+    """,
+}
