@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of text handed to a Python worker at once.
 BATCH_ROWS = 256
 BATCH_BYTES = 16 << 20
+#: Bytes of one text that are cut into words at once.
+PIECE = 4 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,3 +40,13 @@ def hash_order(*cols: str, seed: int = 0) -> Column:
 
 def parts_for(rows: int, per_part: int) -> int:
     return max(1, -(-int(rows) // per_part))
+
+
+def pieces(data: bytes) -> Iterator[bytes]:
+    """The text cut at white space into pieces of about PIECE bytes; every word stays whole."""
+    at = 0
+    while at < len(data):
+        cut = _SPACE.search(data, at + PIECE) if at + PIECE < len(data) else None
+        end = cut.start() if cut else len(data)
+        yield data[at:end]
+        at = end

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterforge.llm.common import crc_mod, table
+from rosterforge.llm.decontaminate import contaminated
 from rosterforge.llm.langid import fit_langid, predict_languages
+from rosterforge.llm.mixture import mix_sources
+from rosterforge.llm.neighbours import nearest_neighbours
 from rosterforge.llm.pii import find_pii, fit_pii
 from rosterforge.llm.secrets import find_secrets, identifier_dictionary
 from rosterforge.llm.simhash import simhash_components
@@ -36,6 +39,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return find_secrets(docs, identifier_dictionary(docs))
@@ -51,13 +58,28 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mix_sources(docs).select(
+        "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
+        F.col("_probability").alias("probability"), F.col("_weight").alias("weight"), F.col("_sampled").alias("sampled"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op3_warc": op3_warc,
+    "op4_neighbours": op4_neighbours,
     "op5_secrets": op5_secrets,
     "op6_pii": op6_pii,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_mixture": op10_mixture,
 }
 ORACLE: dict[str, str] = {
     "op3_warc": """

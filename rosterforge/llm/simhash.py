@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -13,29 +12,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import parts_for, small_batches
+from rosterforge.llm.common import parts_for, pieces, small_batches
 from rosterforge.llm.components import connected_components
 from rosterforge.sources.staging import stored
 
 SEED = 42
-PIECE = 4 << 20            # bytes of a text that are tokenised at once
 BLOCK = 4096               # fingerprints of one bucket that meet in one unit of work
 PART_ROWS = 200_000        # fingerprints handled by one task
 ENTRIES = 1 << 18          # (fingerprint, word of 64 fingerprints) pairs compared at once
-_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def _pieces(data: bytes) -> Iterator[bytes]:
-    """The text cut at white space into pieces of about PIECE bytes."""
-    at = 0
-    while at < len(data):
-        cut = _SPACE.search(data, at + PIECE) if at + PIECE < len(data) else None
-        end = cut.start() if cut else len(data)
-        yield data[at:end]
-        at = end
-
-
 def _count_bits(hashes: np.ndarray) -> np.ndarray:
     """How many of the hashes have each of the 64 bits."""
     lanes = hashes.view(np.uint8).reshape(-1, 8)
@@ -46,7 +33,7 @@ def fingerprint(data: bytes | None, width: int = 3) -> int:
     """SimHash of a text's shingles, as an unsigned number; bit 1 where over half the hashes have 1."""
     counts, total, carried = np.zeros(64, np.int64), 0, []
     words: list[bytes] = []
-    for piece in _pieces(data or b""):
+    for piece in pieces(data or b""):
         words = carried + piece.lower().split()
         n = len(words) - width + 1
         if n > 0:
