@@ -8,17 +8,19 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from rosterforge.llm.common import hash_order, small_batches
 from rosterforge.sources.staging import stored
 
-#: Most labelled rows of each class, and most unlabelled rows, that the model is fitted on.
+#: Most toxic, clean and unlabelled rows that the lexicon is counted on (in Spark), and most of each
+#: that the label model and the classifier are fitted on (in the driver).
 FIT_ROWS = 6_000
+TRAIN_ROWS = 2_000
 SLICES = 8                 # lexicon voters, and as many pattern voters
 PREFIXES = (4, 5)          # a pattern is "a longer word that begins with these letters"
 MIN_CONTEXTS = 4           # different words before an entry in toxic documents, of 64 hash places,
@@ -212,7 +214,7 @@ def _fit_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str)
         some = marked.filter(F.col("gold") == gold).orderBy(hash_order(id_col), id_col).limit(FIT_ROWS)
         chosen = some if chosen is None else chosen.unionByName(some)
     picked = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(chosen), id_col)
-    return stored(picked.select(id_col, "text", "gold"), "toxicity_sample")
+    return stored(picked.select(F.col(id_col).alias("id"), "text", "gold"), "toxicity_sample")
 
 
 def _lexicon(sample: DataFrame) -> frozenset[str]:
@@ -292,14 +294,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             )
 
     schema = "id string, gold int, idx array<int>, weight array<float>, share array<double>"
-    rows = sample.mapInArrow(read, schema).toPandas().sort_values(["id", "gold"], kind="stable")
+    by_hash = W.partitionBy("gold").orderBy(hash_order("id"), "id")
+    fewer = sample.withColumn("_at", F.row_number().over(by_hash)).filter(F.col("_at") <= TRAIN_ROWS)
+    picked = fewer.select("id", "text", "gold")
+    rows = picked.mapInArrow(read, schema).toPandas().sort_values(["id", "gold"], kind="stable")
     shares = np.array(rows["share"].tolist(), float).reshape(-1, N_VOTERS)
     gold = rows["gold"].to_numpy()
     if not len(rows) or not (gold == 1).any():
         tables = np.full((2, N_VOTERS, 3), 1 / 3)
         return LinearModel(entries, -4.0, np.zeros(1 << BITS), np.zeros(2 * N_VOTERS), tables, np.eye(N_VOTERS))
     post, tables, correlation = label_model(votes_of(shares), gold)
-    pairs = [(np.asarray(i, int), np.asarray(w, float)) for i, w in zip(rows["idx"], rows["weight"])]
+    pairs = list(zip(rows["idx"], rows["weight"]))
     return LinearModel(entries, *fit_linear(pairs, shares, post), tables, correlation)
 
 
