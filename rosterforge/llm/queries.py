@@ -15,6 +15,7 @@ from rosterforge.llm.neighbours import nearest_neighbours
 from rosterforge.llm.pii import find_pii, fit_pii
 from rosterforge.llm.secrets import find_secrets, identifier_dictionary
 from rosterforge.llm.simhash import simhash_components
+from rosterforge.llm.substrings import remove_repeats
 from rosterforge.llm.toxicity import fit_toxicity, score_toxicity
 from rosterforge.llm.warc import archive_round_trip
 
@@ -58,6 +59,10 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_pii": op6_pii,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_repeated_substrings": op8_repeated_substrings,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixture": op10_mixture,
 }
