@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -44,7 +43,6 @@ def substitutions(window: int) -> int:
     return window // WORDS_PER_SUBSTITUTION
 
 
-@lru_cache(maxsize=None)
 def seed_masks(window: int) -> tuple[tuple[int, ...], ...]:
     """Fixed masks, as positions looked at, of which one fits any window with the allowed substitutions.
 
@@ -96,8 +94,9 @@ class SeedIndex:
         self.windows = [min(len(w), WINDOW) for w in self.words]
         self.tables: list[tuple[tuple[int, ...], np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         masks: dict[tuple[int, ...], list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        family = {window: seed_masks(window) for window in set(self.windows)}
         for number, words in enumerate(self.words):
-            for mask in seed_masks(self.windows[number]):
+            for mask in family[self.windows[number]]:
                 seeds = seed_hashes(words, mask)
                 masks.setdefault(mask, []).append(
                     (seeds, np.full(len(seeds), number), np.arange(len(seeds)))
@@ -168,10 +167,10 @@ def contaminated(
         hashes = WordHashes()
         mine = items.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == block).collect()
         rows = sorted(((r["item"], hashes.read(r["words"])) for r in mine), key=lambda r: (r[0], r[1].tobytes()))
-        shared = spark.sparkContext.broadcast(SeedIndex(rows))
+        index = SeedIndex(rows)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, table = shared.value, WordHashes()
+        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            table = WordHashes()
             for batch in batches:
                 at, found = [], []
                 for i, data in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):

@@ -186,11 +186,10 @@ def predict_languages(docs: DataFrame, model: CentroidModel, id_col: str = "doc_
     Null texts and texts without a letter are `und` with score 0. Rows are judged on their own.
     """
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t) for t in batch.column(1).to_pylist()]
+            found = [model.predict(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],

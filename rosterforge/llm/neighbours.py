@@ -192,12 +192,11 @@ def nearest_neighbours(
         return empty
     sample = points.select("vec").orderBy(hash_order("first", seed=3), "first").limit(FIT_ROWS).toPandas()
     forest = fit_forest(_matrix(sample["vec"]), n, longest)
-    spark, depth = vectors.sparkSession, forest.depth
-    shared = spark.sparkContext.broadcast(forest)
+    depth = forest.depth
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaves = shared.value.route(_matrix(batch.column(0).to_numpy(zero_copy_only=False)))
+            leaves = forest.route(_matrix(batch.column(0).to_numpy(zero_copy_only=False)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(list(leaves.astype(np.int32)), pa.list_(pa.int32()))],
                 [*batch.schema.names, "leaves"],
@@ -223,7 +222,7 @@ def nearest_neighbours(
             at, units, leaves = [], [], []
             for i, query in enumerate(_matrix(batch.column(1).to_numpy(zero_copy_only=False))):
                 own: dict[int, list[int]] = {}
-                for tree, leaf in shared.value.visits(query, budget):
+                for tree, leaf in forest.visits(query, budget):
                     own.setdefault(tree << bits | leaf >> low, []).append(leaf)
                 at += [i] * len(own)
                 units += own.keys()

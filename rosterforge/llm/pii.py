@@ -434,7 +434,6 @@ def find_pii(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", tex
     Rows are judged on their own, so repeated ids stay repeated.
     """
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(tagger)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -442,7 +441,7 @@ def find_pii(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", tex
             # only texts with a digit or an @ are decoded; the others hold nothing
             at = [i for i, data in enumerate(raw) if data and _TRIGGER_BYTES.search(data)]
             texts = [raw[i].decode("utf-8", "replace") for i in at]
-            found = dict(zip(at, zip(texts, all_spans(texts, shared.value))))
+            found = dict(zip(at, zip(texts, all_spans(texts, tagger))))
             empty = ("", ([], []))
             rows = [found.get(i, empty) for i in range(len(raw))]
             base = [r[1][0] for r in rows]

@@ -315,13 +315,11 @@ def score_toxicity(docs: DataFrame, model: LinearModel, id_col: str = "doc_id",
     Rows are scored on their own, so repeated ids stay repeated and equal texts score alike.
     """
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        linear = shared.value
-        table = WordTable(linear.entries)
+        table = WordTable(model.entries)
         for batch in batches:
-            score = linear.score(batch.column(1).to_pylist(), table)
+            score = model.score(batch.column(1).to_pylist(), table)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], [id_col, "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
