@@ -69,18 +69,18 @@ class Config:
     default_provider: str = "clay"
 
     email_rewrite: str = "example_com"
-    field_prefix: str = "gtm_"
+    field_prefix: str = "sync_"
     listed_tiers: tuple[str, ...] = ("A", "B")
 
     random_seed: int = 42
     error_rates: Mapping[str, float] = field(default_factory=lambda: dict(ERROR_RATES))
 
-    # Scale controls. They change plans, never results.
+    # Scale controls. They change plans and the size of slices, never which rows there are.
     hot_key_rows: int = 1_000_000   # a key with at least this many rows is salted into slices of this size
-    hot_key_limit: int = 10_000     # most keys salted at once; 12 bytes each in the broadcast
+    max_hot_keys: int = 10_000      # a hot key also holds at least this part of all rows, so no more can exist
     salts: int = 64                 # fewest slices a hot key is cut into
     block_names_max: int = 64       # name blocks larger than this get sub-keys before pairing
-    merged_list_max: int = 10_000   # longer merge lists stay in merged_links only
+    list_slice: int = 10_000        # ids of a merge list that stand in one row, about
 
     def __post_init__(self) -> None:
         weights = (self.w_fit, self.w_role, self.w_engagement, self.w_intent)
@@ -94,5 +94,5 @@ class Config:
             raise ValueError("fuzzy_threshold must be in (0.7, 1]")
         if self.email_rewrite not in ("example_com", "as_is"):
             raise ValueError(f"unknown email_rewrite mode {self.email_rewrite!r}")
-        if min(self.salts, self.hot_key_rows, self.hot_key_limit, self.batch_size) < 1:
-            raise ValueError("salts, hot_key_rows, hot_key_limit and batch_size must be positive")
+        if min(self.salts, self.hot_key_rows, self.max_hot_keys, self.list_slice, self.batch_size) < 1:
+            raise ValueError("salts, hot_key_rows, max_hot_keys, list_slice and batch_size must be positive")

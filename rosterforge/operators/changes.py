@@ -6,11 +6,12 @@ link to person ids. Every entity has one row per local id on each side of each j
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from rosterforge.config import Config
 from rosterforge.functions.ids import fingerprint, target_id
@@ -103,6 +104,21 @@ class RejectRule:
     pattern: str
 
 
+def _refused(entity: str, fields: StructType, rejects: Sequence[RejectRule]) -> dict[str, Column]:
+    """Field -> whether any rule of the entity refuses its value, or one of them."""
+    def matches(value: Column, is_list: bool, pattern: str) -> Column:
+        found = F.exists(value, lambda v: v.rlike(pattern)) if is_list else value.cast("string").rlike(pattern)
+        return F.coalesce(found, F.lit(False))
+
+    out: dict[str, Column] = {}
+    for rule in rejects:
+        if rule.entity == entity and rule.field in fields.fieldNames():
+            is_list = isinstance(fields[rule.field].dataType, ArrayType)
+            bad = matches(F.col("payload")[rule.field], is_list, rule.pattern)
+            out[rule.field] = out[rule.field] | bad if rule.field in out else bad
+    return out
+
+
 def plan_changes(
     current: DataFrame, entity: str, state: DataFrame, cfg: Config, target: DataFrame | None = None,
     force: bool = False, rejects: tuple[RejectRule, ...] = (),
@@ -125,20 +141,21 @@ def plan_changes(
     same = F.col("_state_id").isNotNull() & (F.col("_old_hash") == F.col("payload_hash")) & (not force)
     action = F.when(F.coalesce(same, F.lit(False)), "unchanged").when(found.isNotNull(), "update").otherwise("create")
     path = PATHS[entity].format(prefix=cfg.field_prefix)
-    payload_json, dropped = F.to_json("payload"), F.lit(0)
-    for rule in rejects:
-        if rule.entity != entity:
-            continue
-        bad = F.coalesce(F.exists(F.col(f"payload.{rule.field}"), lambda v: v.rlike(rule.pattern)), F.lit(False))
-        reduced = F.to_json(F.col("payload").dropFields(rule.field))
-        payload_json = F.when(bad, reduced).otherwise(payload_json)
-        dropped = dropped + bad.cast("int")
+    fields = current.schema["payload"].dataType
+    refused = _refused(entity, fields, rejects)
+    # a missing value leaves its field out of the JSON, so every refused one goes, whatever the others do
+    sent = F.struct(*[
+        F.when(~refused[name], F.col("payload")[name]).alias(name) if name in refused
+        else F.col("payload")[name].alias(name) for name in fields.fieldNames()
+    ])
+    dropped = sum((bad.cast("int") for bad in refused.values()), F.lit(0))
     return df.select(
         F.lit(entity).alias("entity"),
         "local_id",
         action.alias("action"),
         F.coalesce(found, target_id(path, F.coalesce("parent_id", "local_id"))).alias("target_id"),
-        payload_json.alias("payload"),
+        "parent_id",
+        F.to_json(sent).alias("payload"),
         "payload_hash",
         F.when(action == "unchanged", 0).otherwise(dropped).alias("dropped_values"),
     )
@@ -158,10 +175,12 @@ def entity_ids(state: DataFrame, entity: str) -> DataFrame:
     return state.filter(F.col("entity") == entity).select("local_id", "target_id")
 
 
-def plan_people(scores: DataFrame, companies: DataFrame, state: DataFrame, cfg: Config, **options) -> DataFrame:
+def plan_people(
+    scores: DataFrame, companies: DataFrame, state: DataFrame, cfg: Config, hot: Mapping[int, int] | None = None, **options
+) -> DataFrame:
     """People linked to company ids (local_id, target_id); the link is left out when there is none."""
     ids = companies.select(F.col("local_id").alias("account_id"), F.col("target_id").alias("_company"))
-    df = join_many_to_one(scores, ids, ["account_id"], "left", "contact_id", cfg)
+    df = join_many_to_one(scores, ids, ["account_id"], "left", "contact_id", cfg, hot)
     payload = person_payload(F.col("_company"), cfg)
     current = df.select(
         F.col("contact_id").alias("local_id"), F.lit(None).cast("string").alias("parent_id"),
@@ -191,7 +210,7 @@ def plan_entries(scores: DataFrame, people: DataFrame, state: DataFrame, cfg: Co
         .join(state.filter("entity = 'entry' and target_id is not null"), "local_id")
         .select(
             "entity", "local_id", F.lit("remove").alias("action"), "target_id",
-            F.lit(None).cast("string").alias("payload"), F.lit(None).cast("string").alias("payload_hash"),
+            F.lit(None).cast("string").alias("parent_id"), F.lit(None).cast("string").alias("payload"), F.lit(None).cast("string").alias("payload_hash"),
             F.lit(0).alias("dropped_values"),
         )
     )
@@ -245,12 +264,13 @@ def error_log(failures: DataFrame, run_id: str) -> DataFrame:
 def plan_run(
     accounts: DataFrame, scores: DataFrame, state: DataFrame, cfg: Config,
     targets: Mapping[str, DataFrame] | None = None, force: bool = False,
-    rejects: tuple[RejectRule, ...] = (), failures: DataFrame | None = None,
+    rejects: tuple[RejectRule, ...] = (), failures: DataFrame | None = None, hot: Mapping[int, int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(outcomes of all three entities, state after the run).
 
     Each entity sees the ids that exist after the one before it: a company whose write failed
-    gives its people no link, and a person that failed gets no list entry.
+    gives its people no link, and a person that failed gets no list entry. `hot` are hot account
+    ids, where they are known.
     """
     targets = targets or {}
 
@@ -262,7 +282,7 @@ def plan_run(
 
     companies = done(plan_companies(accounts, state, cfg, **options("company")))
     ids = entity_ids(merge_state(state, companies), "company")
-    people = done(plan_people(scores, ids, state, cfg, **options("person")))
+    people = done(plan_people(scores, ids, state, cfg, hot, **options("person")))
     ids = entity_ids(merge_state(state, people), "person")
     entries = done(plan_entries(scores, ids, state, cfg, force))
     outcomes = companies.unionByName(people).unionByName(entries)
@@ -270,7 +290,10 @@ def plan_run(
 
 
 def requests(plan: DataFrame, cfg: Config) -> DataFrame:
-    """The writes of a plan as (method, path, params, body), ready for a JSON-lines file."""
+    """The writes of a plan as (method, path, params, body), ready for a JSON-lines file.
+
+    A list entry names the person record it hangs on.
+    """
     path, key = F.lit(None).cast("string"), F.lit(None).cast("string")
     external = {"company": f"{cfg.field_prefix}account_id", "person": f"{cfg.field_prefix}contact_id"}
     for entity, template in PATHS.items():
@@ -278,12 +301,15 @@ def requests(plan: DataFrame, cfg: Config) -> DataFrame:
         if entity in external:
             key = F.when(F.col("entity") == entity, external[entity]).otherwise(key)
     removed = F.col("action") == "remove"
+    entry = (F.col("entity") == "entry") & ~removed
     return plan.filter("action <> 'unchanged'").select(
         "entity",
         "local_id",
         F.when(removed, "DELETE").otherwise("PUT").alias("method"),
         F.when(removed, F.concat(path, F.lit("/"), "target_id")).otherwise(path).alias("path"),
         key.alias("matching_attribute"),
+        F.when(entry, "people").alias("parent_object"),
+        F.when(entry, F.col("parent_id")).alias("parent_record_id"),
         "payload",
     )
 

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.config import Config
 from rosterforge.functions.text import persona
-from rosterforge.operators.dedupe import merged_ids
 from rosterforge.operators.skew import hot_keys, join_many_to_one, salted_join
 
 
-def dim_contact(deduped: DataFrame, accounts: DataFrame, cfg: Config) -> DataFrame:
-    """Survivors with a valid email and a known account, and what was merged into them.
+def dim_contact(
+    deduped: DataFrame, accounts: DataFrame, cfg: Config, hot: Mapping[int, int] | None = None
+) -> DataFrame:
+    """Survivors with a valid email and a known account, and how many were merged into them.
 
-    `merged_contact_ids` is NULL only for a group above `merged_list_max`; see `merged_links`.
+    The merged ids are rows of `merged_links` and lists of `merged_ids`. `hot` are hot account
+    ids, where they are known.
     """
     clean = deduped.filter(F.col("is_survivor") & F.col("is_valid_email"))
-    known = join_many_to_one(clean, accounts.select("account_id"), ["account_id"], "inner", "contact_id", cfg)
-    # the key is valid or not for a whole group, so invalid groups need no list either
-    lists = merged_ids(deduped.filter("is_valid_email"), cfg).withColumnRenamed(
-        "survivor_contact_id", "contact_id"
-    )
-    listed = F.col("group_size") <= cfg.merged_list_max
-    return known.join(lists, "contact_id", "left").select(
+    ids = accounts.select("account_id").distinct()
+    known = join_many_to_one(clean, ids, ["account_id"], "inner", "contact_id", cfg, hot)
+    return known.select(
         "contact_id",
         "account_id",
         "first_name",
@@ -37,9 +37,7 @@ def dim_contact(deduped: DataFrame, accounts: DataFrame, cfg: Config) -> DataFra
         F.col("title").isNull().alias("is_missing_title"),
         "is_stale",
         "possible_duplicate_of",
-        F.when(listed, F.coalesce("merged_contact_ids", F.array().cast("array<string>"))).alias(
-            "merged_contact_ids"
-        ),
+        (F.col("group_size") - 1).alias("merged_count"),
         "source_updated_at",
     )
 

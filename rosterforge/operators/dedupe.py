@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from rosterforge.config import Config
 from rosterforge.functions import similarity as sim
-from rosterforge.operators.skew import hot_keys, salted_join
+from rosterforge.operators.skew import hot_keys, key_sizes, salted_join
 from rosterforge.sources.staging import stored
 
 
@@ -22,31 +23,50 @@ def _nulls_last(order: Sequence[Column]) -> list[Column]:
     return [part for c in order for part in (c.isNull(), c)]
 
 
+def _ordinary_groups(df: DataFrame, key: str, id_col: str, prefer: Sequence[Column]) -> DataFrame:
+    """Size and survivor by one window: one exchange of the rows."""
+    group = W.partitionBy(key)
+    best_first = group.orderBy(*_nulls_last(prefer), F.col(id_col))
+    return df.withColumns({
+        "_size": F.count(F.lit(1)).over(group), "_survivor": F.first(id_col).over(best_first)
+    })
+
+
+def _hot_groups(
+    df: DataFrame, key: str, id_col: str, prefer: Sequence[Column], hot: dict[int, int]
+) -> DataFrame:
+    """The same for groups too large for a window: minima per slice, then per group, and a salted join."""
+    order = F.struct(*[p.alias(f"_{i}") for i, p in enumerate(_nulls_last(prefer))], F.col(id_col))
+    slices = df.select(key, order.alias("_order"), F.pmod(F.xxhash64(id_col), F.lit(max(hot.values()))).alias("_slice"))
+    per_slice = slices.groupBy(key, "_slice").agg(F.min("_order").alias("_best"), F.count(F.lit(1)).alias("_n"))
+    groups = per_slice.groupBy(key).agg(
+        F.sum("_n").alias("_size"), F.min("_best").getField(id_col).alias("_survivor")
+    )
+    return salted_join(df, groups, [key], "inner", hot, id_col, null_safe=True)
+
+
 def dedupe_exact(
     df: DataFrame, key: str, id_col: str, prefer: Sequence[Column], cfg: Config
 ) -> DataFrame:
     """Add group_size, survivor id, is_survivor and match_rule for rows that share `key`.
 
-    NULL keys form one group. No group is ever gathered in one place: its size and best id come
-    from a combined aggregate, only groups of two or more are joined back, and the rows of a
-    very large group (typically the missing key) are salted across that join.
+    NULL keys form one group. Ordinary keys are settled by a window; keys with at least
+    `hot_key_rows` rows (typically the missing key) are never gathered in one place.
     """
     survivor = f"survivor_{id_col}"
-    best = F.min(F.struct(*[p.alias(f"_{i}") for i, p in enumerate(_nulls_last(prefer))], F.col(id_col)))
-    groups = stored(
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_size"), best.alias("_best"))
-        .filter("_size > 1")
-        .select(key, "_size", F.col(f"_best.{id_col}").alias("_survivor")),
-        "duplicate_groups",
-    )
-    hot = hot_keys(groups, [key], "_size", cfg)
-    joined = salted_join(df, groups, [key], "left", hot, id_col, null_safe=True)
-    return joined.select(
+    hot = hot_keys(key_sizes(df.select(key), [key]), [key], "_rows", cfg)
+    if hot:
+        is_hot = F.xxhash64(key).isin(list(hot))
+        grouped = _ordinary_groups(df.filter(~is_hot), key, id_col, prefer).unionByName(
+            _hot_groups(df.filter(is_hot), key, id_col, prefer, hot)
+        )
+    else:
+        grouped = _ordinary_groups(df, key, id_col, prefer)
+    return grouped.select(
         *df.columns,
-        F.coalesce("_size", F.lit(1).cast("bigint")).alias("group_size"),
-        F.coalesce("_survivor", F.col(id_col)).alias(survivor),
-        (F.col("_survivor").isNull() | (F.col("_survivor") == F.col(id_col))).alias("is_survivor"),
+        F.col("_size").alias("group_size"),
+        F.col("_survivor").alias(survivor),
+        F.col("_survivor").eqNullSafe(F.col(id_col)).alias("is_survivor"),
         F.when(F.col("_size") > 1, "exact_email").alias("match_rule"),
     )
 
@@ -59,15 +79,16 @@ def merged_links(deduped: DataFrame) -> DataFrame:
 
 
 def merged_ids(deduped: DataFrame, cfg: Config) -> DataFrame:
-    """Sorted list of merged ids per survivor, for groups of at most `merged_list_max` rows.
+    """Sorted merged ids per survivor, cut by hash into rows of about `list_slice` ids.
 
-    The group size is already on every row, so larger groups are left out before anything is
-    gathered; all of their rows stay available in `merged_links`.
+    (survivor_contact_id, slice, merged_contact_ids): a group has as many slices as its size
+    asks for, so no list grows with the data and every id is in one of them.
     """
+    slices = F.ceil(F.col("group_size") / cfg.list_slice)
     return (
         merged_links(deduped)
-        .filter(F.col("group_size") <= cfg.merged_list_max)
-        .groupBy("survivor_contact_id")
+        .withColumn("slice", F.pmod(F.xxhash64("merged_contact_id"), slices).cast("int"))
+        .groupBy("survivor_contact_id", "slice")
         .agg(F.array_sort(F.collect_list("merged_contact_id")).alias("merged_contact_ids"))
     )
 
@@ -80,7 +101,6 @@ def _candidates(names: DataFrame, on: list[str], crowd: int, cfg: Config) -> Dat
     only the texts with such a key and just the common prefix the key was made for.
     """
     keyed = names.select(*on, "_text", "_low")
-    key = []
     if crowd > cfg.block_names_max:
         blocks = names.groupBy(*on).agg(F.count(F.lit(1)).alias("_names")).filter("_names > 1")
         hot = hot_keys(blocks, on, "_names", cfg)
@@ -90,22 +110,40 @@ def _candidates(names: DataFrame, on: list[str], crowd: int, cfg: Config) -> Dat
         sized = sized.repartition(parts, *on, "_text")
         large = F.col("_names") > cfg.block_names_max
         keys = sim.pairing_keys_udf(cfg.fuzzy_threshold)(F.when(large, F.col("_text")))
-        key = ["_key"]
+        written = sized.select(*on, "_text", "_low", F.explode(F.coalesce(keys, F.array(F.lit("")))).alias("_key"))
+        # a key is made for two lengths: a text meets only texts of the other one
+        own, lengths = F.octet_length("_text"), F.split("_key", r"\.")
+        other = lengths[2].cast("int") + lengths[3].cast("int") - own
+        for_all = F.col("_key") == ""
         keyed = stored(
-            sized.select(*on, "_text", "_low", F.explode(F.coalesce(keys, F.array(F.lit("")))).alias("_key")),
+            written.withColumns({"_own": F.when(for_all, 0).otherwise(own), "_other": F.when(for_all, 0).otherwise(other)}),
             "name_keys",
         )
-    earlier = keyed.select(*on, *key, F.col("_text").alias("_text2"), F.col("_low").alias("_low2"))
+        return _meet(keyed, [*on, "_key"], on, cfg)
+    earlier = keyed.select(*on, F.col("_text").alias("_text2"), F.col("_low").alias("_low2"))
     ratio = sim.min_length_ratio(cfg.fuzzy_threshold)
     size1, size2 = F.octet_length("_text"), F.octet_length("_text2")
-    pairs = keyed.join(earlier, [*on, *key]).filter(
+    return keyed.join(earlier, on).filter(
         (F.col("_low2") < F.col("_low")) & (F.least(size1, size2) >= ratio * F.greatest(size1, size2) - 1e-9)
     )
-    if key:
-        made_for = F.split_part("_key", F.lit("."), F.lit(1))
-        common = sim.common_prefix(F.col("_text"), F.col("_text2")).cast("string")
-        pairs = pairs.filter((F.col("_key") == "") | (made_for == common))
-    return pairs
+
+
+def _meet(keyed: DataFrame, by: list[str], on: list[str], cfg: Config) -> DataFrame:
+    """Distinct pairs of texts with a common key that was made for their lengths and common prefix.
+
+    Keys that very many texts write are cut into slices on the later side.
+    """
+    keys = [*by, "_own"]
+    earlier = keyed.select(
+        *by, F.col("_other").alias("_own"), F.col("_text").alias("_text2"), F.col("_low").alias("_low2")
+    )
+    hot = hot_keys(key_sizes(keyed, keys), keys, "_rows", cfg)
+    made_for = F.split_part("_key", F.lit("."), F.lit(1))
+    common = sim.common_prefix(F.col("_text"), F.col("_text2")).cast("string")
+    pairs = salted_join(keyed.drop("_other"), earlier, keys, "inner", hot, "_text").filter(
+        (F.col("_low2") < F.col("_low")) & ((F.col("_key") == "") | (made_for == common))
+    )
+    return pairs.select(*on, "_text", "_low", "_text2", "_low2").distinct()
 
 
 def fuzzy_pairs(
@@ -162,7 +200,10 @@ def fuzzy_pairs(
 
 
 def dedupe_contacts(contacts: DataFrame, cfg: Config) -> DataFrame:
-    """Exact groups on every row, plus the review hint for survivors that look alike."""
-    exact = dedupe_exact(contacts, "email", "contact_id", contact_preference(), cfg)
+    """Exact groups on every row, plus the review hint for survivors that look alike.
+
+    The groups are stored, so contacts are read and standardised once.
+    """
+    exact = stored(dedupe_exact(contacts, "email", "contact_id", contact_preference(), cfg), "exact")
     hints = fuzzy_pairs(exact.filter("is_survivor"), cfg)
     return exact.join(hints, "contact_id", "left")

@@ -82,8 +82,23 @@ def swap_last_two(name: Column) -> Column:
     return F.when(n > 3, swapped).otherwise(name)
 
 
-def plant_contact_errors(contacts: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
-    """(contacts with errors, manifest). Expects the raw contact columns, all text."""
+def largest_number(df: DataFrame, id_col: str) -> int:
+    """Largest number at the end of an id; ids that start above it are not taken."""
+    number = F.try_to_number(F.regexp_extract(id_col, r"([0-9]{1,18})\z", 1), F.lit("9" * 18))
+    return int(df.agg(F.max(number)).first()[0] or 0)
+
+
+def plant_contact_errors(
+    contacts: DataFrame, cfg: Config, accounts: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(contacts with errors, manifest). Expects the raw contact columns, all text.
+
+    New contact ids start above the largest there is, and invented account ids above the largest
+    of `accounts` and of the contacts' own, so neither can be a real one.
+    """
+    first_copy = largest_number(contacts, "contact_id")
+    known = [contacts, *([accounts] if accounts is not None else [])]
+    first_orphan = max(90_000, *(largest_number(df, "account_id") for df in known))
     marked, rest = assign_kinds(contacts, "contact_id", CONTACT_KINDS, cfg)
     kind = F.col("_kind")
     low, high = STALE_DAYS
@@ -92,7 +107,7 @@ def plant_contact_errors(contacts: DataFrame, cfg: Config) -> tuple[DataFrame, D
         "missing_title": ("title", F.lit("")),
         "invalid_email": ("email", break_email(F.col("email"), _draw("contact_id", "break", 5, cfg))),
         "stale_record": ("source_updated_at", aged.cast("string")),
-        "orphan_contact": ("account_id", F.format_string("ACC-9%04d", "_nth")),
+        "orphan_contact": ("account_id", F.format_string("ACC-%05d", F.lit(first_orphan) + F.col("_nth"))),
     }
     original = F.lit(None).cast("string")
     value, changed_field = original, original
@@ -102,7 +117,7 @@ def plant_contact_errors(contacts: DataFrame, cfg: Config) -> tuple[DataFrame, D
         changed_field = F.when(kind == name, column).otherwise(changed_field)
     form = _pick([F.lit(f) for f in DUPLICATE_FORMS], _draw("contact_id", "form", 4, cfg))
     is_copy = kind == "duplicate_contact"
-    copy_id = F.format_string("CON-%08d", F.col("_total") + F.col("_nth"))
+    copy_id = F.format_string("CON-%08d", F.lit(first_copy) + F.col("_nth"))
     marked = marked.withColumns({
         "_original": original,
         "_value": value,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,9 +53,12 @@ def _run_checks(df: DataFrame, entity: str, id_col: str, tests: dict[str, tuple[
     return df.select(F.explode(F.array_compact(F.array(*lines))).alias("f")).select("f.*")
 
 
-def contact_failures(deduped: DataFrame, accounts: DataFrame, cfg: Config) -> DataFrame:
-    known = accounts.select("account_id", F.lit(True).alias("_known"))
-    df = join_many_to_one(deduped, known, ["account_id"], "left", "contact_id", cfg)
+def contact_failures(
+    deduped: DataFrame, accounts: DataFrame, cfg: Config, hot: Mapping[int, int] | None = None
+) -> DataFrame:
+    """An account that is listed twice is still one known account."""
+    known = accounts.select("account_id").distinct().withColumn("_known", F.lit(True))
+    df = join_many_to_one(deduped, known, ["account_id"], "left", "contact_id", cfg, hot)
     title = F.col("title")
     tests = {
         "invalid_email": (~F.col("is_valid_email"), F.col("email_raw")),
@@ -99,9 +104,11 @@ def account_failures(resolved: DataFrame) -> DataFrame:
     return _run_checks(resolved, "account", "account_id", tests)
 
 
-def dq_failures(deduped: DataFrame, accounts: DataFrame, resolved: DataFrame, cfg: Config) -> DataFrame:
-    """One row per (check, record): two passes for sixteen checks."""
-    return contact_failures(deduped, accounts, cfg).unionByName(account_failures(resolved))
+def dq_failures(
+    deduped: DataFrame, accounts: DataFrame, resolved: DataFrame, cfg: Config, hot: Mapping[int, int] | None = None
+) -> DataFrame:
+    """One row per (check, record): two passes for sixteen checks. `hot` are hot account ids, if known."""
+    return contact_failures(deduped, accounts, cfg, hot).unionByName(account_failures(resolved))
 
 
 def check_catalogue(df: DataFrame) -> DataFrame:

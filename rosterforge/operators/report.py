@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.config import Config
 from rosterforge.functions.mapping import label_lookup
 
 # Findings about providers, in report order.
@@ -81,23 +80,14 @@ def strict_conflicts(resolved: DataFrame, mapping: DataFrame, manifest: DataFram
     )
 
 
-def strict_tradeoff(conflicts: DataFrame, cfg: Config, provider: str = "clay") -> DataFrame:
+def strict_tradeoff(conflicts: DataFrame, provider: str = "clay") -> DataFrame:
     """Planted conflicts a strict mapping would find, and correct seeds it would overwrite.
 
-    `companies` names the latter in order. They are counted first: more than `merged_list_max`
-    names are not gathered into one text, and stay available in `strict_overridden`.
+    The companies behind the second number are the rows of `strict_overridden`.
     """
     overridden = ~F.col("was_planted") & (F.col("enrichment_provider") == provider)
-    most = cfg.merged_list_max
-    if conflicts.filter(overridden).limit(most + 1).count() <= most:
-        names = F.collect_list(F.when(overridden, F.col("company_name")))
-        companies = F.nullif(F.array_join(F.array_sort(names), ", "), F.lit(""))
-    else:
-        companies = F.lit(None).cast("string")
     return conflicts.agg(
-        F.count_if("was_planted").alias("planted_caught"),
-        F.count_if(overridden).alias("false_overrides"),
-        companies.alias("companies"),
+        F.count_if("was_planted").alias("planted_caught"), F.count_if(overridden).alias("false_overrides")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -155,15 +157,17 @@ def segment(tier_col: Column, persona_col: Column) -> Column:
     return F.concat(tier_col, F.lit(" / "), persona_col)
 
 
-def score_contacts(contacts: DataFrame, accounts: DataFrame, engagement: DataFrame, cfg: Config) -> DataFrame:
-    """Every part of the score for each clean contact; all but the rank."""
+def score_contacts(
+    contacts: DataFrame, accounts: DataFrame, engagement: DataFrame, cfg: Config, hot: Mapping[int, int] | None = None
+) -> DataFrame:
+    """Every part of the score for each clean contact; all but the rank. `hot` are hot account ids, if known."""
     attributes = account_fit(
         accounts,
         cfg,
         ("account_id", "company_name", "domain", "industry", "employee_count", "country",
          "enrichment_status", F.col("description").alias("company_description")),
     )
-    joined = join_many_to_one(contacts, attributes, ["account_id"], "inner", "contact_id", cfg).join(
+    joined = join_many_to_one(contacts, attributes, ["account_id"], "inner", "contact_id", cfg, hot).join(
         engagement, "contact_id"
     )
     scored = joined.withColumn("role_score", role_score(F.col("seniority"), F.col("department")))
@@ -176,8 +180,10 @@ def score_contacts(contacts: DataFrame, accounts: DataFrame, engagement: DataFra
     ).withColumns({"tier": tier(F.col("priority_score"), cfg), "stage": stage()})
 
 
-def prospect_scores(contacts: DataFrame, accounts: DataFrame, engagement: DataFrame, cfg: Config) -> DataFrame:
-    scored = stored(score_contacts(contacts, accounts, engagement, cfg), "scored")
+def prospect_scores(
+    contacts: DataFrame, accounts: DataFrame, engagement: DataFrame, cfg: Config, hot: Mapping[int, int] | None = None
+) -> DataFrame:
+    scored = stored(score_contacts(contacts, accounts, engagement, cfg, hot), "scored")
     return rank_desc(scored, "priority_score", "priority_rank")
 
 

@@ -16,19 +16,19 @@ from rosterforge.config import Config
 def hot_keys(sizes: DataFrame, keys: Sequence[str], size: str, cfg: Config) -> dict[int, int]:
     """Hash and number of slices of the keys worth salting, from a table with one row count per key.
 
-    A slice holds about `hot_key_rows` rows, however large the key. Runs a job and brings at most
-    `hot_key_limit` pairs of numbers to the driver, whatever the data. Which keys are listed
-    never changes a result: a hash collision only salts one more key.
+    A slice holds about `hot_key_rows` rows, however large the key. A hot key has at least
+    `hot_key_rows` rows and at least 1 / `max_hot_keys` of all rows, so no more than
+    `max_hot_keys` pairs of numbers can reach the driver. One job where there is none. Which keys
+    are listed never changes a result: a hash collision only salts one more key.
     """
-    largest = (
-        sizes.filter(F.col(size) >= cfg.hot_key_rows)
-        .select(F.xxhash64(*keys).alias("h"), F.col(size).alias("n"))
-        .orderBy(F.desc("n"), "h")
-        .limit(cfg.hot_key_limit)
-    )
+    total, most = sizes.agg(F.sum(size), F.max(size)).first()
+    if (most or 0) < cfg.hot_key_rows:
+        return {}
+    least = max(cfg.hot_key_rows, total / cfg.max_hot_keys)
+    listed = sizes.filter(F.col(size) >= least).select(F.xxhash64(*keys).alias("h"), F.col(size).alias("n"))
     slices: dict[int, int] = {}
-    for row in largest.collect():
-        slices.setdefault(row["h"], max(cfg.salts, math.ceil(row["n"] / cfg.hot_key_rows)))
+    for row in listed.collect():
+        slices[row["h"]] = max(slices.get(row["h"], cfg.salts), math.ceil(row["n"] / cfg.hot_key_rows))
     return slices
 
 
@@ -83,13 +83,16 @@ def salted_join(
 
 
 def join_many_to_one(
-    many: DataFrame, one: DataFrame, keys: Sequence[str], how: str, spread: str, cfg: Config
+    many: DataFrame, one: DataFrame, keys: Sequence[str], how: str, spread: str, cfg: Config,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Join a large table to a dimension; keys are counted on the large side to find hot ones.
 
-    The count reads only the key columns and is combined before its shuffle.
+    The count reads only the key columns and is combined before its shuffle. A caller that
+    joins several tables by one key counts once, on the largest, and passes `hot` on.
     """
-    hot = hot_keys(key_sizes(many.select(*keys), keys), keys, "_rows", cfg)
+    if hot is None:
+        hot = hot_keys(key_sizes(many.select(*keys), keys), keys, "_rows", cfg)
     return salted_join(many, one, keys, how, hot, spread)
 
 

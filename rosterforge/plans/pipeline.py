@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from rosterforge.config import Config
 from rosterforge.functions.mapping import default_mapping
 from rosterforge.operators import contacts, dedupe, enrichment, quality, resolve, scoring, standardize
+from rosterforge.operators.skew import hot_keys, key_sizes
 from rosterforge.operators.constraints import LAYER_CONSTRAINTS, constraint_report
 from rosterforge.sources.staging import stored
 
@@ -44,7 +45,7 @@ class Build:
     accounts: DataFrame
     contacts: DataFrame
     engagement: DataFrame
-    enrichment: DataFrame   # long form, matched to accounts
+    enrichment_wide: DataFrame
     cfg: Config
     mapping: DataFrame | None = None
     root: str | None = None
@@ -71,6 +72,11 @@ class Build:
     def stg_engagement(self) -> DataFrame:
         return standardize.standardize_events(self.engagement)
 
+    @cached_property
+    def enrichment(self) -> DataFrame:
+        """Long form, matched to accounts."""
+        return enrichment.enrichment_long(self.enrichment_wide, self.accounts, self.cfg)
+
     @cached_property
     def stg_enrichment(self) -> DataFrame:
         return enrichment.standardize_enrichment(self.enrichment, self.cfg)
@@ -79,6 +85,12 @@ class Build:
     def industry_mapping(self) -> DataFrame:
         return self.mapping if self.mapping is not None else default_mapping(self.accounts.sparkSession)
 
+    @cached_property
+    def hot_accounts(self) -> dict[int, int]:
+        """Hot account ids among all contacts; every later table of contacts has fewer rows of each."""
+        keys = ["account_id"]
+        return hot_keys(key_sizes(self.contacts.select(*keys), keys), keys, "_rows", self.cfg)
+
     @cached_property
     def int_accounts_resolved(self) -> DataFrame:
         return self._keep(
@@ -102,7 +114,7 @@ class Build:
     @cached_property
     def dim_contact(self) -> DataFrame:
         return self._keep(
-            contacts.dim_contact(self.int_contacts_deduped, self.stg_accounts, self.cfg), "dim_contact"
+            contacts.dim_contact(self.int_contacts_deduped, self.stg_accounts, self.cfg, self.hot_accounts), "dim_contact"
         )
 
     @cached_property
@@ -123,12 +135,14 @@ class Build:
 
     @cached_property
     def fct_prospect_scores(self) -> DataFrame:
-        return scoring.prospect_scores(self.dim_contact, self.dim_account, self.int_contact_engagement, self.cfg)
+        return scoring.prospect_scores(
+            self.dim_contact, self.dim_account, self.int_contact_engagement, self.cfg, self.hot_accounts
+        )
 
     @cached_property
     def dq_failures(self) -> DataFrame:
         return quality.dq_failures(
-            self.int_contacts_deduped, self.stg_accounts, self.int_accounts_resolved, self.cfg
+            self.int_contacts_deduped, self.stg_accounts, self.int_accounts_resolved, self.cfg, self.hot_accounts
         )
 
     @cached_property
@@ -139,7 +153,11 @@ class Build:
         return {name: getattr(self, name) for name in LAYERS}
 
     def constraints(self) -> DataFrame:
-        return constraint_report(self.tables(), LAYER_CONSTRAINTS)
+        """The report reads each table several times, so lazy ones are written first."""
+        tables = self.tables()
+        for name in ("stg_enrichment", "fct_engagement"):
+            tables[name] = stored(tables[name], name) if name not in self.written else tables[name]
+        return constraint_report(tables, LAYER_CONSTRAINTS)
 
     def materialize(self, root: str) -> dict[str, DataFrame]:
         """Write each layer table once, in order; later tables read the stored copies.
@@ -164,5 +182,4 @@ class Build:
 
 def build(accounts: DataFrame, contacts: DataFrame, engagement: DataFrame, enrichment_wide: DataFrame, cfg: Config,
           mapping: DataFrame | None = None) -> Build:
-    long = enrichment.enrichment_long(enrichment_wide, accounts, cfg)
-    return Build(accounts, contacts, engagement, long, cfg, mapping)
+    return Build(accounts, contacts, engagement, enrichment_wide, cfg, mapping)

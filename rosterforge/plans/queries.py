@@ -203,6 +203,18 @@ def fuzzy_pairs(spark, sf_dir):
     return dedupe.fuzzy_pairs(exact.filter("is_survivor"), b.cfg)
 
 
+@query
+def fuzzy_part_names(spark, sf_dir):
+    """Blocks with far more names than are paired in full: the sub-key path on a given table."""
+    parts = table(spark, sf_dir, "part").select(
+        F.format_string("P%09d", "p_partkey").alias("part_id"), "p_type",
+        F.concat_ws(" ", "p_name", "p_brand").alias("label"),
+    )
+    return dedupe.fuzzy_pairs(
+        parts, binding_config(fuzzy_threshold=0.95), id_col="part_id", block=("p_type",), text="label", other="part_id"
+    )
+
+
 @query
 def merged_links(spark, sf_dir):
     return dedupe.merged_links(built(spark, sf_dir).int_contacts_deduped)
@@ -212,15 +224,13 @@ def merged_links(spark, sf_dir):
 def merged_ids(spark, sf_dir):
     b = built(spark, sf_dir)
     return dedupe.merged_ids(b.int_contacts_deduped, b.cfg).select(
-        "survivor_contact_id", F.array_join("merged_contact_ids", ",").alias("merged_contact_ids")
+        "survivor_contact_id", "slice", F.array_join("merged_contact_ids", ",").alias("merged_contact_ids")
     )
 
 
 @query
 def clean_contacts(spark, sf_dir):
-    return with_text(built(spark, sf_dir).dim_contact, "source_updated_at").withColumn(
-        "merged_contact_ids", F.array_join("merged_contact_ids", ",")
-    )
+    return with_text(built(spark, sf_dir).dim_contact, "source_updated_at")
 
 
 @query
@@ -281,6 +291,14 @@ def dq_failures(spark, sf_dir):
     return built(spark, sf_dir).dq_failures
 
 
+@query
+def dq_failures_repeated_accounts(spark, sf_dir):
+    """Contact checks against accounts that were loaded twice: still one line per check and record."""
+    b = built(spark, sf_dir)
+    twice = b.stg_accounts.unionAll(b.stg_accounts)
+    return quality.contact_failures(b.int_contacts_deduped, twice, b.cfg)
+
+
 @query
 def dq_summary(spark, sf_dir):
     return built(spark, sf_dir).dq_summary
@@ -322,11 +340,25 @@ def quarantine_leaks(spark, sf_dir):
     return quality.quarantine_leaks(b.dim_contact, b.dq_failures)
 
 
+@query
+def quarantine_leaks_unclean(spark, sf_dir):
+    """The assertion on contacts that were never cleaned: every removed record shows."""
+    b = built(spark, sf_dir)
+    return quality.quarantine_leaks(b.int_contacts_deduped, b.dq_failures)
+
+
 @query
 def scores_out_of_range(spark, sf_dir):
     return quality.scores_out_of_range(built(spark, sf_dir).fct_prospect_scores)
 
 
+@query
+def scores_out_of_range_doubled(spark, sf_dir):
+    """The assertion on scores that were scaled wrongly."""
+    scores = built(spark, sf_dir).fct_prospect_scores
+    return quality.scores_out_of_range(scores.withColumn("priority_score", F.col("priority_score") * 2))
+
+
 @query
 def reconciliation(spark, sf_dir):
     b = built(spark, sf_dir)
@@ -362,7 +394,7 @@ def planted(spark: SparkSession, sf_dir: str) -> tuple[Build, DataFrame]:
     """A build over the clean tables with errors planted, and the manifest."""
     cfg = binding_config()
     r: RawTables = bind_clean(spark, sf_dir)
-    contacts, contact_errors = planting.plant_contact_errors(r.contacts, cfg)
+    contacts, contact_errors = planting.plant_contact_errors(r.contacts, cfg, r.accounts)
     accounts, account_errors = planting.plant_account_errors(r.accounts, cfg)
     manifest = stored(account_errors.unionByName(contact_errors), "manifest")
     b = build(stored(accounts, "dirty_accounts"), stored(contacts, "dirty_contacts"), r.engagement,
@@ -372,7 +404,8 @@ def planted(spark: SparkSession, sf_dir: str) -> tuple[Build, DataFrame]:
 
 @query
 def planted_contacts(spark, sf_dir):
-    return planting.plant_contact_errors(bind_clean(spark, sf_dir).contacts, binding_config())[0]
+    r = bind_clean(spark, sf_dir)
+    return planting.plant_contact_errors(r.contacts, binding_config(), r.accounts)[0]
 
 
 @query
@@ -385,10 +418,19 @@ def planted_accounts(spark, sf_dir):
 def planted_manifest(spark, sf_dir):
     r, cfg = bind_clean(spark, sf_dir), binding_config()
     return planting.plant_account_errors(r.accounts, cfg)[1].unionByName(
-        planting.plant_contact_errors(r.contacts, cfg)[1]
+        planting.plant_contact_errors(r.contacts, cfg, r.accounts)[1]
     )
 
 
+@query
+def planted_sparse_manifest(spark, sf_dir):
+    """Errors planted in contacts whose ids have gaps: no new id is one that exists."""
+    r, cfg = bind_clean(spark, sf_dir), binding_config()
+    number = F.substring("contact_id", 5, 20).cast("bigint")
+    sparse = r.contacts.withColumn("contact_id", F.format_string("CON-%08d", number * 2))
+    return planting.plant_contact_errors(sparse, cfg, r.accounts)[1]
+
+
 @query
 def planted_detail(spark, sf_dir):
     b, manifest = planted(spark, sf_dir)
@@ -410,6 +452,29 @@ def missed_detectable(spark, sf_dir):
     return recall.missed_detectable(planted_detail(spark, sf_dir))
 
 
+def _recall_without(spark: SparkSession, sf_dir: str, check: str) -> DataFrame:
+    """Planted errors against a failure log from which one check is missing."""
+    b, manifest = planted(spark, sf_dir)
+    return recall.planted_detail(manifest, b.dq_failures.filter(F.col("check_name") != check), b.int_accounts_resolved)
+
+
+@query
+def missed_by_rules_unchecked(spark, sf_dir):
+    return recall.missed_by_rules(_recall_without(spark, sf_dir, "stale_contact"))
+
+
+@query
+def missed_detectable_unchecked(spark, sf_dir):
+    return recall.missed_detectable(_recall_without(spark, sf_dir, "industry_conflict"))
+
+
+@query
+def unexplained_alarms_partial(spark, sf_dir):
+    """The assertion with a manifest that lacks one kind of error."""
+    b, manifest = planted(spark, sf_dir)
+    return quality.unexplained_alarms(b.dq_failures, manifest.filter("error_type <> 'stale_record'"))
+
+
 @query
 def unexplained_alarms(spark, sf_dir):
     b, manifest = planted(spark, sf_dir)
@@ -423,7 +488,7 @@ def _strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def strict_tradeoff(spark, sf_dir):
-    return report.strict_tradeoff(_strict(spark, sf_dir), binding_config())
+    return report.strict_tradeoff(_strict(spark, sf_dir))
 
 
 @query
@@ -433,6 +498,10 @@ def strict_overridden(spark, sf_dir):
 
 # change plan ---------------------------------------------------------------------------------
 
+REQUEST_SCHEMA = (
+    "entity string, local_id string, method string, path string, matching_attribute string, parent_object string, "
+    "parent_record_id string, payload string"
+)
 REJECTS = (changes.RejectRule("company", "domains", r"\.example\z"),)
 
 
@@ -467,7 +536,7 @@ def two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
 @query
 def change_plan(spark, sf_dir):
     second = two_runs(spark, sf_dir)[2]
-    return second.select("entity", "local_id", "action", "target_id", "payload", "payload_hash",
+    return second.select("entity", "local_id", "action", "target_id", "parent_id", "payload", "payload_hash",
                          F.col("dropped_values").cast("bigint").alias("dropped_values"))
 
 
@@ -526,8 +595,43 @@ def dry_run_requests(spark, sf_dir):
     cfg = binding_config()
     folder = scratch_path(spark, "requests")
     state.write_requests(two_runs(spark, sf_dir)[2], folder, cfg)
-    lines = spark.read.schema("entity string, local_id string, method string, path string, matching_attribute string, payload string").json(folder)
-    return lines.select("entity", "local_id", "method", "path", "matching_attribute", "payload")
+    return spark.read.schema(REQUEST_SCHEMA).json(folder)
+
+
+@query
+def forced_dry_run(spark, sf_dir):
+    """A forced run against the state of an earlier one: every record is written, nothing is saved."""
+    cfg = binding_config()
+    b = built(spark, sf_dir, cfg)
+    _, state1, _, _ = two_runs(spark, sf_dir)
+    accounts, scores = stored(account_view(b), "scope"), stored(b.fct_prospect_scores, "scores")
+    outcomes, _ = changes.plan_run(accounts, scores, state1, cfg, force=True, rejects=REJECTS)
+    folder = scratch_path(spark, "requests")
+    state.write_requests(outcomes, folder, cfg)
+    return spark.read.schema(REQUEST_SCHEMA).json(folder)
+
+
+@query
+def two_rule_payloads(spark, sf_dir):
+    """Company payloads under two reject rules, of which one, both or none hits a record."""
+    cfg = binding_config()
+    rules = (*REJECTS, changes.RejectRule("company", "name", "[0-4]$"), changes.RejectRule("company", "name", "2$"))
+    empty = spark.createDataFrame([], changes.STATE_SCHEMA)
+    plan = changes.plan_companies(account_view(built(spark, sf_dir, cfg)), empty, cfg, rejects=rules)
+    return plan.select("local_id", "payload", F.col("dropped_values").cast("bigint").alias("dropped_values"))
+
+
+@query
+def run_log(spark, sf_dir):
+    """Run and error log of two runs, the first with failures, read back from the store."""
+    root = scratch_path(spark, "run_log")
+    first, state1, second, state2 = two_runs(spark, sf_dir)
+    failed = first.filter("failed").select("entity", "local_id", F.lit(400).alias("status"), F.lit("refused").alias("message"))
+    state.save_run(first, state1, root, "run-1", failed)
+    state.save_run(second, state2, root, "run-2")
+    errors = spark.read.parquet(f"{root}/errors").groupBy("run_id", "entity").agg(F.count(F.lit(1)).alias("errors"))
+    runs = spark.read.parquet(f"{root}/runs").drop("finished_at")
+    return runs.join(errors, ["run_id", "entity"], "left").withColumn("errors", F.coalesce("errors", F.lit(0).cast("bigint")))
 
 
 @query

@@ -6,12 +6,13 @@ import warnings
 from collections import defaultdict
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterforge.config import Config
 from rosterforge.operators.enrichment import FIELDS
-from rosterforge.sources.raw import CSV_OPTIONS, text_schema
+from rosterforge.sources.raw import csv_options, text_schema
 
 # Words a provider file uses for a missing value.
 NULL_WORDS = (
@@ -35,7 +36,13 @@ def provider_of(source_file: Column, cfg: Config) -> Column:
 
 def _headers(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
     """Files per header line. One line per file reaches the driver, which lists the files anyway."""
-    lines = spark.read.text(pattern).select(
+    try:
+        text = spark.read.text(pattern)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    lines = text.select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -61,10 +68,14 @@ def missing_columns(columns, cfg: Config) -> list[str]:
     return [c for c in cfg.column_map if c not in columns and c not in cfg.optional_columns]
 
 
-def _read_group(spark: SparkSession, paths: list[str], columns: list[str], cfg: Config) -> DataFrame:
+def _read_group(
+    spark: SparkSession, paths: list[str], columns: list[str], cfg: Config, multi_line: bool
+) -> DataFrame:
     name = _export_name(F.col("_metadata.file_path"))
-    modified = F.date_format(F.col("_metadata.file_modification_time").cast("date"), "yyyy-MM-dd")
-    raw = spark.read.schema(text_schema(columns)).options(**CSV_OPTIONS).csv(paths).select(
+    # the day in UTC, whatever the session's zone
+    day = F.floor(F.unix_seconds(F.col("_metadata.file_modification_time")) / 86_400).cast("int")
+    modified = F.date_format(F.date_from_unix_date(day), "yyyy-MM-dd")
+    raw = spark.read.schema(text_schema(columns)).options(**csv_options(multi_line)).csv(paths).select(
         "*", name.alias("source_file"), modified.alias("_modified")
     )
     cleaned = raw.withColumns({
@@ -78,10 +89,11 @@ def _read_group(spark: SparkSession, paths: list[str], columns: list[str], cfg:
     )
 
 
-def read_exports(spark: SparkSession, folder: str, cfg: Config) -> DataFrame | None:
+def read_exports(spark: SparkSession, folder: str, cfg: Config, multi_line: bool = True) -> DataFrame | None:
     """All exports below a folder as wide rows with provenance; None where there are none.
 
     Files are read together per distinct header, so a thousand files of one layout are one scan.
+    Without `multi_line` no value may hold a line break, and large files are split between tasks.
     """
     paths = [f"{folder}/*.csv"]
     grouped = _headers(spark, paths)
@@ -91,7 +103,7 @@ def read_exports(spark: SparkSession, folder: str, cfg: Config) -> DataFrame | N
         absent = missing_columns(columns, cfg)
         if absent:
             warnings.warn(f"{len(files)} export file(s) lack the columns {absent}", stacklevel=2)
-        parts.append(_read_group(spark, sorted(files), columns, cfg))
+        parts.append(_read_group(spark, sorted(files), columns, cfg, multi_line))
     if not parts:
         return None
     wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

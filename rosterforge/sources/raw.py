@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+def csv_options(multi_line: bool) -> dict:
+    """Values may hold line breaks only with `multi_line`, which makes a file one task."""
+    return {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+
 
 # The columns of the raw files.
 RAW_COLUMNS = {
@@ -30,14 +33,15 @@ def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def load_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
+def load_raw(spark: SparkSession, table: str, path: str, multi_line: bool = True) -> DataFrame:
     """A raw table from CSV: every column text, whitespace and casing kept, plus `_loaded_at`.
 
     `path` may be a file or a folder of files with the same header. The header is checked
-    against the expected columns.
+    against the expected columns. Without `multi_line` no value may hold a line break, and large
+    files are split between tasks.
     """
     try:
-        df = spark.read.schema(text_schema(RAW_COLUMNS[table])).options(**CSV_OPTIONS, enforceSchema=False).csv(path)
+        df = spark.read.schema(text_schema(RAW_COLUMNS[table])).options(**csv_options(multi_line), enforceSchema=False).csv(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"source of {table} not found: {path}") from e

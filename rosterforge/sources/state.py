@@ -25,8 +25,9 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def latest_run(spark: SparkSession, root: str) -> str | None:
+    """The run that finished last; ids are names and have no order."""
     runs = _read_or_none(spark, f"{root}/runs")
-    return None if runs is None else runs.agg(F.max("run_id")).first()[0]
+    return None if runs is None else runs.agg(F.max_by("run_id", F.struct("finished_at", "run_id"))).first()[0]
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
@@ -37,8 +38,11 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
 
 
 def save_run(outcomes: DataFrame, state: DataFrame, root: str, run_id: str, failures: DataFrame | None = None) -> None:
-    """Write the state after a run and the logs. The run log comes last: it makes the run count."""
-    state.write.mode("overwrite").parquet(f"{root}/record_map/{run_id}")
+    """Write the state after a run and the logs. The run log comes last: it makes the run count.
+
+    A run id is used once: the folder of an earlier run is never written again, and Spark refuses.
+    """
+    state.write.mode("errorifexists").parquet(f"{root}/record_map/{run_id}")
     if failures is not None:
         error_log(failures, run_id).write.mode("append").parquet(f"{root}/errors")
     stats = run_stats(outcomes).select(

@@ -72,13 +72,37 @@ def test_failures_of_missing_and_orphan_values(spark, deduped):
 
 def test_group_with_orphan_survivor_vanishes(spark, deduped):
     clean = ct.dim_contact(deduped, accounts(spark), Config())
-    assert rows(clean.select("contact_id", "merged_contact_ids")) == [("C2", ["C1", "C3"]), ("C4", [])]
+    assert rows(clean.select("contact_id", "merged_count")) == [("C2", 2), ("C4", 0)]
 
 
-def test_long_merge_lists_move_to_the_links(spark, deduped):
-    cfg = Config(merged_list_max=2)
-    clean = ct.dim_contact(deduped, accounts(spark), cfg)
-    assert rows(clean.select("contact_id", "merged_contact_ids")) == [("C2", None), ("C4", [])]
+@pytest.mark.parametrize("limits", [{}, dict(hot_key_rows=20, salts=3)])
+def test_every_id_of_a_long_merge_list_is_in_a_slice(spark, limits):
+    """One group far larger than a slice, settled by the window and by salted minima."""
+    lines = [(f"C{i:04d}", "A1", "Ann", "Roe", None if i % 2 else f"m{i}@x.test", "CEO", "2026-01-01") for i in range(900)]
+    cfg = Config(list_slice=50, **limits)
+    contacts = standardize.standardize_contacts(raw_contacts(spark, lines), cfg)
+    got = dedupe.merged_ids(dedupe.dedupe_exact(contacts, "email", "contact_id", dedupe.contact_preference(), cfg), cfg)
+    parts = got.collect()
+    ids = [i for r in parts for i in r["merged_contact_ids"]]
+    assert {r["survivor_contact_id"] for r in parts} == {"C0001"} and len(parts) == 9
+    assert sorted(ids) == [f"C{i:04d}" for i in range(3, 900, 2)]
+    assert max(len(r["merged_contact_ids"]) for r in parts) < 100
+
+
+def test_a_contact_fails_a_check_once_though_its_account_is_listed_twice(spark, deduped):
+    once = rows(quality.contact_failures(deduped, accounts(spark), Config()))
+    assert rows(quality.contact_failures(deduped, accounts(spark).unionAll(accounts(spark)), Config())) == once
+
+
+def test_hot_keys_are_bounded_by_their_share_of_the_rows(spark):
+    sizes = spark.createDataFrame([(f"k{i}", 10 + i) for i in range(50)], "k string, n bigint")
+    assert hot_keys(sizes, ["k"], "n", Config(hot_key_rows=100)) == {}
+    assert len(hot_keys(sizes, ["k"], "n", Config(hot_key_rows=1, max_hot_keys=10_000))) == 50
+    # a thirtieth of all rows is 57.5
+    assert len(hot_keys(sizes, ["k"], "n", Config(hot_key_rows=1, max_hot_keys=30))) == 2
+
+
+def test_merged_links_carry_the_group_size(spark, deduped):
     links = rows(dedupe.merged_links(deduped).filter("survivor_contact_id = 'C2'"))
     assert links == [("C2", "C1", 3), ("C2", "C3", 3)]
 
@@ -140,6 +164,24 @@ def test_fuzzy_pairs_equal_brute_force(spark, limits):
     assert len(got) > 200
 
 
+def test_crowded_blocks_give_few_candidates(spark, monkeypatch):
+    """The sub-keys bring together distinct pairs only, a small multiple of the similar ones."""
+    rng = random.Random(3)
+    syllables = ["ka", "tha", "ri", "na", "ste", "ven", "mar", "lo", "bert", "ing"]
+    names = sorted({"".join(rng.choice(syllables) for _ in range(rng.randint(2, 4))) for _ in range(1500)})
+    people = [(f"P{i:05d}", "A", n, "Roe", f"m{i}") for i, n in enumerate(names)]
+    df = spark.createDataFrame(people, "contact_id string, account_id string, first_name string, last_name string, email string")
+    seen = []
+    original = dedupe._candidates
+    monkeypatch.setattr(dedupe, "_candidates", lambda *a: seen.append(original(*a).cache()) or seen[0])
+    got = rows(dedupe.fuzzy_pairs(df, Config(block_names_max=64)))
+    assert got == brute_force_pairs(people)
+    candidates = seen[0]
+    assert candidates.count() == candidates.distinct().count()
+    similar = candidates.filter(dedupe.sim.jaro_winkler_similarity("_text", "_text2") >= 0.9).count()
+    assert similar > 500 and candidates.count() < 6 * similar < len(names) ** 2 / 8
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_salted_join_equals_plain_join(spark, how, null_safe):
@@ -205,7 +247,7 @@ def test_scores_do_not_depend_on_partitions_or_salting(spark):
     want = rows(built(spark, SMALL).fct_prospect_scores)
     spark.conf.set("spark.sql.shuffle.partitions", "7")
     try:
-        salted = built(spark, SMALL, binding_config(hot_key_rows=3, salts=5, block_names_max=2, hot_key_limit=20))
+        salted = built(spark, SMALL, binding_config(hot_key_rows=3, salts=5, block_names_max=2, max_hot_keys=20))
         assert rows(salted.fct_prospect_scores) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")

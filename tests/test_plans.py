@@ -23,15 +23,44 @@ def plan_of(df) -> str:
 SMALL_WINDOWS = {"fct_prospect_scores"}
 
 
+@pytest.fixture
+def plans(monkeypatch):
+    """Plans of all tables that a build stores, taken before they are written."""
+    from rosterforge.sources import staging
+
+    seen, original = [], staging.stored
+
+    def recording(df, name):
+        seen.append((name, plan_of(df)))
+        return original(df, name)
+
+    for module in [m for n, m in sys.modules.items() if n.startswith("rosterforge") and hasattr(m, "stored")]:
+        monkeypatch.setattr(module, "stored", recording)
+    return seen
+
+
 @pytest.mark.parametrize("name", [
-    "stg_accounts", "stg_contacts", "stg_enrichment", "int_accounts_resolved", "int_contacts_deduped", "dim_contact",
-    "fct_engagement", "int_contact_engagement", "fct_prospect_scores", "dq_failures",
+    "stg_enrichment", "int_contacts_deduped", "dim_contact", "int_contact_engagement", "fct_prospect_scores", "dq_failures",
 ])
-def test_no_plan_gathers_or_crosses_rows(built, name):
-    plan = plan_of(getattr(built, name))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    if name not in SMALL_WINDOWS:
-        assert "SinglePartition" not in plan
+def test_no_plan_gathers_or_crosses_rows(spark, plans, name):
+    from rosterforge.plans.queries import built as fresh
+
+    last = plan_of(getattr(fresh(spark, SMALL), name))
+    for table, plan in [*plans, (name, last)]:
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, table
+        if name not in SMALL_WINDOWS:
+            assert "SinglePartition" not in plan, table
+
+
+def test_duplicates_take_one_read_and_one_exchange_of_the_contacts(spark, plans):
+    from rosterforge.plans.queries import built as fresh
+
+    fresh(spark, SMALL).int_contacts_deduped
+    exact = dict(plans)["exact"].split("== Physical Plan ==")[1]
+    assert "SortAggregate" not in exact and "Join" not in exact
+    assert exact.count("Exchange") == 1 and exact.count("FileScan") == 1
+    others = [plan.split("== Physical Plan ==")[1] for name, plan in plans if name != "exact"]
+    assert not any("orders.parquet" in plan for plan in others)
 
 
 def test_latest_enrichment_limits_before_the_shuffle(built):
@@ -44,13 +73,18 @@ def test_scan_reads_only_what_is_needed(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from rosterforge.plans.oracle import oracle_queries
+    from rosterforge.plans.queries import QUERIES
+
+    assert set(QUERIES) == set(oracle_queries())
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 SAMPLE = [
     "raw_load", "provider_ingest", "batch_export_index", "normalize_page_domains", "contact_emails_titles",
     "enrichment_latest", "fuzzy_pairs", "clean_contacts", "accounts_resolved", "prospect_scores", "dq_summary",
-    "constraint_report", "layer_tables", "planted_manifest", "strict_tradeoff", "change_plan",
+    "constraint_report", "layer_tables", "planted_manifest", "strict_tradeoff", "change_plan", "merged_ids",
+    "two_rule_payloads", "forced_dry_run", "planted_sparse_manifest", "quarantine_leaks_unclean",
 ]
 
 

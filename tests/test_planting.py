@@ -48,6 +48,18 @@ def test_manifest_tells_the_truth(dirty, spark):
     assert manifest.filter("error_type = 'conflicting_industry' and original_value = planted_value").count() == 0
 
 
+def test_new_ids_are_free_where_ids_have_gaps(spark, cfg):
+    clean = bind_clean(spark, SMALL)
+    number = F.substring("contact_id", 5, 20).cast("bigint")
+    contacts = clean.contacts.withColumn("contact_id", F.format_string("CON-%08d", number * 2))
+    taken = F.format_string("ACC-%05d", 90_000 + F.monotonically_increasing_id())
+    accounts = clean.accounts.coalesce(1).withColumn("account_id", taken)
+    dirty, manifest = planting.plant_contact_errors(contacts, cfg, accounts)
+    assert dirty.select("contact_id").distinct().count() == dirty.count()
+    orphans = manifest.filter("error_type = 'orphan_contact'").select(F.col("planted_value").alias("account_id"))
+    assert orphans.count() > 0 and orphans.join(accounts, "account_id").count() == 0
+
+
 def test_planting_does_not_depend_on_partitions(spark, cfg):
     contacts = bind_clean(spark, SMALL).contacts
     a = planting.plant_contact_errors(contacts.repartition(1), cfg)

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -61,6 +62,40 @@ def test_provider_exports(spark, exports):
     assert fourth["size_band"] is None and fourth["founded_year"] is None
 
 
+def test_an_empty_export_folder_gives_none(spark, tmp_path):
+    assert provider.read_exports(spark, str(tmp_path), Config()) is None
+    assert provider.read_exports(spark, str(tmp_path / "absent"), Config()) is None
+
+
+def test_a_file_is_dated_in_utc_whatever_the_session_zone(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("Domain,Industry,Employee Count,Country,Founded\na.example,Retail,1,US,2000\n")
+    evening = dt.datetime(2026, 1, 1, 20, tzinfo=dt.timezone.utc).timestamp()
+    os.utime(tmp_path / "x.csv", (evening, evening))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("Asia/Tokyo", "America/Los_Angeles", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            assert provider.read_exports(spark, str(tmp_path), Config()).first()["enriched_at"] == "2026-01-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_single_line_sources_are_split(spark, tmp_path):
+    from rosterforge.sources import raw
+
+    lines = "".join(f"E{i},C{i},reply,2026-01-01 00:00:00\n" for i in range(4000))
+    (tmp_path / "e.csv").write_text("event_id,contact_id,event_type,event_ts\n" + lines)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        whole = raw.load_raw(spark, "raw_engagement", str(tmp_path / "e.csv"))
+        split = raw.load_raw(spark, "raw_engagement", str(tmp_path / "e.csv"), multi_line=False)
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert rows(whole.drop("_loaded_at")) == rows(split.drop("_loaded_at"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_missing_required_columns_are_reported(spark, tmp_path):
     (tmp_path / "x.csv").write_text("Domain,Industry\na.example,Retail\n")
     with pytest.warns(UserWarning, match="Employee Count"):
@@ -158,4 +193,10 @@ def test_state_is_read_from_the_last_finished_run(spark, tmp_path):
     state.save_run(outcomes, one("h3"), root, "20260103T000000Z")
     assert [r["payload_hash"] for r in state.read_state(spark, root).collect()] == ["h3"]
     assert spark.read.parquet(f"{root}/runs").count() == 2
+    for n in range(8, 12):      # names have no order: run-9 is above run-10 as text
+        state.save_run(outcomes, one(f"n{n}"), root, f"run-{n}")
+    assert [r["payload_hash"] for r in state.read_state(spark, root).collect()] == ["n11"]
+    with pytest.raises(AnalysisException):
+        state.save_run(outcomes, one("again"), root, "run-9")
+    assert [r["payload_hash"] for r in state.read_state(spark, root).collect()] == ["n11"]
     assert spark.read.parquet(f"{root}/errors").select(F.length("message")).first()[0] == 500
