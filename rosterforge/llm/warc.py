@@ -1,75 +1,73 @@
-"""WARC archives: index first, then coalesced byte-range reads of the selected records."""
+"""WARC archives: records with an index of byte ranges, and coalesced reads of the selected ones."""
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import os
+import uuid
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rosterforge.llm.common import parts_for
+from rosterforge.llm.common import parts_for, small_batches
 from rosterforge.sources.staging import scratch_path, stored
 
 MIN_REVISIT_BYTES = 100      # equal payloads below this size are all stored
-ARCHIVE_BYTES = 32 << 20     # aim of an archive file
+ARCHIVE_BYTES = 64 << 20     # payload bytes, before compression, that an archive aims at
 RANGE_BYTES = 4 << 20        # most bytes of several records fetched by one read
 GAP_BYTES = 64 << 10         # unwanted bytes read through rather than skipped
-GROUP_BYTES = 16 << 20       # bytes of records that one reading task group covers
+GROUP_BYTES = 16 << 20       # bytes of an archive that one reading task covers
+LEVEL = 3                    # of the compression of records
 RECORD_DATE = "2020-01-01T00:00:00Z"
 END = "\r\n\r\n"
 
 
-def _header(df: DataFrame) -> Column:
-    """The record's head as text. Bytes below space in the address are percent-encoded blanks."""
-    url = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
-    line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    revisit = F.col("record_type") == "revisit"
-    return F.concat(
-        F.lit("WARC/1.1\r\n"),
-        line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("record"), F.lit(">"))),
-        line("WARC-Date", F.lit(RECORD_DATE)),
-        F.when(F.col("url").isNotNull(), line("WARC-Target-URI", url)).otherwise(""),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
-        F.when(
-            revisit,
-            F.concat(
-                line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-                line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
-                line("X-Payload-Length", F.col("payload_bytes").cast("string")),
-            ),
-        ).otherwise(""),
-        line("Content-Type", F.lit("text/html; charset=utf-8")),
-        line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes")).cast("string")),
-        F.lit("\r\n"),
-    )
+def record_head(row: dict) -> bytes:
+    """The head of a record. White space and control characters of an address are percent-encoded."""
+    revisit = row["record_type"] == "revisit"
+    lines = [
+        "WARC/1.1",
+        f"WARC-Type: {row['record_type']}",
+        f"WARC-Record-ID: <urn:page:{row['record']}>",
+        f"WARC-Date: {RECORD_DATE}",
+    ]
+    if row["url"] is not None:
+        lines.append("WARC-Target-URI: " + "".join(f"%{ord(c):02X}" if c <= " " or c == "\x7f" else c for c in row["url"]))
+    lines.append(f"WARC-Payload-Digest: sha256:{row['payload_digest']}")
+    if revisit:
+        lines += [
+            "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+            f"WARC-Refers-To: <urn:page:{row['refers_to']}>",
+            f"X-Payload-Length: {row['payload_bytes']}",
+        ]
+    lines += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {0 if revisit else row['payload_bytes']}"]
+    return ("\r\n".join(lines) + END).encode("utf-8", "replace")
 
 
-def _narrow(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+def _uniform(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """The pages in uniform names; `tie` tells rows with the same id but other contents apart."""
     return pages.select(
         F.col(id_col).cast("bigint").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
-        F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("payload"),
+        F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("tie", F.xxhash64("url", "payload"))
 
 
-def build_index(pages: DataFrame) -> DataFrame:
-    """Where each record will stand, worked out before anything is written.
+def record_kinds(pages: DataFrame) -> DataFrame:
+    """One narrow row per page: digest, size, response or revisit, what it refers to, and its archive.
 
-    The first of equal payloads is found by a combined minimum per digest; the narrow rows go
-    back to it by a plain join with one row per digest, whose large partitions Spark may split.
-    Records are dealt over archives by hash of the id, so neither a hot payload nor a hot site
-    fills one archive, and stand there by id; offsets are running sums of record lengths.
+    The first of equal payloads is found by a combined minimum per digest; the rows go back to it
+    by a plain join with one row per digest, whose large partitions Spark may split. Records are
+    dealt over archives by hash of the id, so neither a hot payload nor a hot site fills one.
     """
     rows = stored(
         pages.select(
-            "page_id", "tie", "url",
-            F.sha2(F.col("payload").cast("binary"), 256).alias("payload_digest"),
+            "page_id", "tie", F.sha2("payload", 256).alias("payload_digest"),
             F.octet_length("payload").cast("bigint").alias("payload_bytes"),
         ),
         "payloads",
@@ -81,72 +79,115 @@ def build_index(pages: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("page_id", "tie")).alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1").select("payload_digest", "first")
     )
-    same = W.partitionBy("archive", "page_id", "tie").orderBy("tie")
+    nth = F.row_number().over(W.partitionBy("page_id", "tie").orderBy("tie"))
     leads = (F.col("first.page_id") == F.col("page_id")) & (F.col("first.tie") == F.col("tie")) & (F.col("nth") == 1)
-    kinds = (
-        rows.join(firsts, "payload_digest", "left")
-        .withColumn("archive", F.pmod(F.xxhash64("page_id", "tie"), F.lit(n_archives)).cast("int"))
-        .withColumn("nth", F.row_number().over(same))
-        .withColumn(
-            "record_type",
-            F.when(F.col("first").isNotNull() & F.col("page_id").isNotNull() & ~leads, "revisit").otherwise("response"),
-        )
-        .withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("first.page_id")))
-    )
-    record = F.concat_ws("-", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.hex("tie"), "nth")
-    headed = kinds.withColumn("record", record)
-    headed = headed.withColumn("header", _header(headed))
-    kept = F.when(F.col("record_type") == "revisit", F.lit(0)).otherwise(F.col("payload_bytes"))
-    placed = headed.withColumn("length", F.octet_length("header") + kept + len(END))
-    in_order = W.partitionBy("archive").orderBy("page_id", "tie", "nth").rowsBetween(W.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("length").over(in_order), F.lit(0)).cast("bigint")
-    return placed.withColumn("offset", offset).withColumn("length", F.col("length").cast("bigint")).select(
-        "page_id", "tie", "nth", "url", "payload_digest", "payload_bytes", "record_type", "refers_to", "record",
-        "header", "archive", "offset", "length",
-    )
+    again = F.col("first").isNotNull() & F.col("page_id").isNotNull() & ~leads
+    return (
+        rows.join(firsts, "payload_digest", "left").withColumn("nth", nth)
+        .withColumn("record_type", F.when(again, "revisit").otherwise("response"))
+        .withColumn("refers_to", F.when(again, F.col("first.page_id")))
+        .withColumn("archive", _archive(n_archives))
+        .drop("first")
+    ).withColumn("n_archives", F.lit(n_archives))
+
+
+def _archive(n: int):
+    return F.pmod(F.xxhash64("page_id", "tie"), F.lit(n)).cast("int")
+
+
+def _store(path: str):
+    """(file system or None for the local disk, name) of a path in a store that all executors share."""
+    if path.startswith("/") or urlparse(path).scheme == "file":
+        return None, unquote(urlparse(path).path)
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
+def _create(path: str):
+    store, name = _store(path)
+    if store is None:
+        os.makedirs(os.path.dirname(name), exist_ok=True)
+        return open(name, "xb")  # noqa: SIM115
+    return store.open_output_stream(name)
+
+
+def _open(path: str):
+    store, name = _store(path)
+    return open(name, "rb") if store is None else store.open_input_file(name)  # noqa: SIM115
+
+
+_INDEX = (
+    "page_id bigint, url string, payload_digest string, payload_bytes bigint, record_type string, refers_to bigint, "
+    "record string, path string, offset bigint, length bigint"
+)
 
 
-def write_archives(pages: DataFrame, index: DataFrame, folder: str) -> None:
-    """Write the records in the order of the index, one file per archive.
+def write_archives(pages: DataFrame, kinds: DataFrame, folder: str) -> DataFrame:
+    """Write a record per row into archives below `folder`; returns the index, to be stored at once.
 
-    Pages and index rows are dealt by archive in one exchange and meet there in a window, so the
-    page texts move once. The files come from Spark's text writer, whose line end is the blank
-    line that ends a record: a lost task is written again, and any store Spark can write will do.
+    Index: page_id, url, payload_digest, payload_bytes, record_type, refers_to, record, path,
+    offset, length. Payloads are compressed where they are read, so each moves once and small,
+    and meet their narrow row by a sorted exchange over archives. A record is a gzip member for
+    its head and one for its payload, streamed to a file of the task's own name: what a lost
+    task leaves behind is in no index, and its rerun writes anew.
     """
-    n_archives = index.agg(F.max("archive")).first()[0]
-    if n_archives is None:
-        return
-    heads = index.select(
-        "archive", "page_id", "tie", "nth", "header", F.col("record_type").alias("kind"),
-        F.lit(None).cast("string").alias("payload"),
-    )
-    archive = F.pmod(F.xxhash64("page_id", "tie"), F.lit(n_archives + 1)).cast("int")
-    texts = pages.select(archive.alias("archive"), "page_id", "tie", "payload").withColumn("side", F.lit(1))
-    both = heads.withColumn("side", F.lit(0)).unionByName(texts, allowMissingColumns=True)
-    both = both.repartition(n_archives + 1, "archive")
-    nth = F.row_number().over(W.partitionBy("archive", "page_id", "tie", "side").orderBy("side"))
-    # rows of one (page_id, tie) are equal, so any of them may take any head
-    met = W.partitionBy("archive", "page_id", "tie", "nth").orderBy("side")
-    lines = (
-        both.withColumn("nth", nth)
-        .withColumn("header", F.lag("header").over(met)).withColumn("kind", F.lag("kind").over(met))
-        .filter("side = 1")
-        .withColumn("value", F.concat("header", F.when(F.col("kind") == "response", F.col("payload")).otherwise("")))
+    spark = pages.sparkSession
+    small_batches(spark)
+    n_archives = kinds.agg(F.max("n_archives")).first()[0] or 1
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [gzip.compress(p + END.encode(), LEVEL, mtime=0) for p in batch.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(packed, pa.binary())], ["archive", "page_id", "tie", "url", "packed"]
+            )
+
+    texts = pages.select(_archive(n_archives).alias("archive"), "page_id", "tie", "url", "payload").mapInArrow(
+        shrink, "archive int, page_id bigint, tie bigint, url string, packed binary"
     )
-    (
-        lines.sortWithinPartitions("archive", "page_id", "tie", "nth").select("archive", "value")
-        .write.partitionBy("archive").option("lineSep", END).text(folder)
+    both = kinds.drop("n_archives").withColumn("side", F.lit(0)).unionByName(
+        texts.withColumn("side", F.lit(1)), allowMissingColumns=True
     )
+    dealt = both.repartition(n_archives, "archive").sortWithinPartitions("archive", "page_id", "tie", "side", "nth")
 
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, archive, path, offset, heads = None, None, "", 0, []
+        try:
+            for batch in batches:
+                out = []
+                for row in batch.to_pylist():
+                    if row["side"] == 0:  # the heads of equal rows come before their payloads
+                        heads.append(row)
+                        continue
+                    head = heads.pop(0)
+                    if archive != row["archive"]:
+                        if file:
+                            file.close()
+                        archive, offset = row["archive"], 0
+                        path = f"{folder}/{archive:06d}-{uuid.uuid4().hex}.warc.gz"
+                        file = _create(path)
+                    name = "none" if row["page_id"] is None else row["page_id"]
+                    record = f"{name}-{row['tie'] & (2**64 - 1):016x}-{head['nth']}"
+                    head = {**head, "url": row["url"], "record": record}
+                    data = gzip.compress(record_head(head), LEVEL, mtime=0)
+                    data += row["packed"] if head["record_type"] == "response" else gzip.compress(END.encode(), mtime=0)
+                    file.write(data)
+                    out.append({**head, "path": path, "offset": offset, "length": len(data)})
+                    offset += len(data)
+                yield pa.RecordBatch.from_pylist(out, schema=_ARROW_INDEX)
+        finally:
+            if file:
+                file.close()
+
+    return dealt.mapInArrow(write, _INDEX)
 
-def _open(path: str):
-    """A seekable file on the local disk or in a store that pyarrow knows."""
-    if path.startswith("/") or urlparse(path).scheme == "file":
-        return open(unquote(urlparse(path).path), "rb")  # noqa: SIM115
-    from pyarrow.fs import FileSystem
 
-    store, name = FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    return store.open_input_file(name)
+_ARROW_INDEX = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()),
+    ("record_type", pa.string()), ("refers_to", pa.int64()), ("record", pa.string()), ("path", pa.string()),
+    ("offset", pa.int64()), ("length", pa.int64()),
+])
 
 
 def coalesce_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int, list[int]]]:
@@ -164,8 +205,8 @@ def coalesce_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int, list[
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Head and payload of one record; the bytes must be exactly a record."""
-    head, sep, rest = data.partition(END.encode())
+    """Head and payload of one compressed record; the bytes must be exactly a record."""
+    head, sep, rest = gzip.decompress(data).partition(END.encode())
     lines = head.decode().split("\r\n")
     fields = dict(x.split(": ", 1) for x in lines[1:])
     size = int(fields["Content-Length"])
@@ -174,15 +215,14 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:size]
 
 
-def read_records(selected: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Fetch the selected index rows from the archives: page_id, payload_bytes, payload_digest,
-    record_type, refers_to, url and record, all taken from the bytes read.
+def read_records(selected: DataFrame) -> DataFrame:
+    """Fetch the selected index rows from their archives: page_id, payload_bytes, payload_digest,
+    record_type, refers_to and url, all taken from the bytes read.
 
     Rows are grouped by archive and stretch of GROUP_BYTES, sorted by offset, and fetched by a
     few coalesced reads, so each task holds at most RANGE_BYTES or one record of an archive.
     """
-    files = spark.read.format("binaryFile").load(folder).select("archive", "path")
-    placed = selected.select("page_id", "record", "archive", "offset", "length").join(F.broadcast(files), "archive")
+    placed = selected.select("page_id", "record", "path", "offset", "length")
     stretch = F.floor(F.col("offset") / GROUP_BYTES)
 
     def fetch(table: pa.Table) -> pa.Table:
@@ -212,27 +252,23 @@ def read_records(selected: DataFrame, spark: SparkSession, folder: str) -> DataF
     schema = (
         "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string"
     )
-    return placed.withColumn("stretch", stretch).groupBy("archive", "stretch").applyInArrow(fetch, schema)
+    return placed.withColumn("stretch", stretch).groupBy("path", "stretch").applyInArrow(fetch, schema)
 
 
 def archive_round_trip(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """Index, write, read back: page_id, payload_bytes, payload_digest, record_type, refers_to, url.
+    """Write, index and read back: page_id, payload_bytes, payload_digest, record_type, refers_to, url.
 
     A null html is an empty payload and a null url leaves its line out. Of rows that repeat an id
     each gets a record of its own; of equal rows one leads. A record without an id cannot be
     referred to and is always a response. An empty table gives no rows. A revisit whose target is
     missing or has another payload raises an error.
     """
-    spark = pages.sparkSession
-    uniform = _narrow(pages, id_col, url_col, html_col)
-    index = stored(build_index(uniform), "warc_index")
-    folder = scratch_path(spark, "warc")
-    write_archives(uniform, index, folder)
-    if not index.head(1):
-        return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
-    found = stored(read_records(index, spark, folder), "warc_records")
+    uniform = _uniform(pages, id_col, url_col, html_col)
+    kinds = stored(record_kinds(uniform), "record_kinds")
+    index = stored(write_archives(uniform, kinds, scratch_path(pages.sparkSession, "warc")), "warc_index")
+    found = stored(read_records(index), "warc_records")
     # a hot payload shrinks to one line here before it meets its response
     links = found.filter("record_type = 'revisit'").select("refers_to", "payload_bytes", "payload_digest").distinct()
     kept = found.filter("record_type = 'response'").select(
