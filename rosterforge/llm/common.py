@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows and bytes of text handed to a Python worker at once.
 BATCH_ROWS = 256
@@ -28,6 +29,19 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def id_schema(df: DataFrame, id_col: str, rest: str) -> T.StructType:
+    """The id column as it is, of whatever type, and the fields of `rest`."""
+    return T.StructType([T.StructField(id_col, df.schema[id_col].dataType), *T.StructType.fromDDL(rest).fields])
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """The name, with underscores added until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n

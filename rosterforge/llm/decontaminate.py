@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import parts_for, pieces, small_batches
+from rosterforge.llm.common import id_schema, parts_for, pieces, small_batches
 
 WINDOW = 13                # words that must line up, or the whole item where it is shorter
 LEAST_WORDS = 5            # items with fewer words are too short to tell anything
@@ -158,8 +158,8 @@ def contaminated(
     ).distinct()
     total = items.agg(F.sum(F.size(F.split("words", r"\s+")))).first()[0] or 0
     n_blocks = parts_for(total, BLOCK_WORDS)
-    kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, item_id {item_kind}, window int, matched int, matched_item int"
+    item_kind = benchmark.schema[item_col].dataType.simpleString()
+    schema = id_schema(docs, id_col, f"item_id {item_kind}, window int, matched int, matched_item int")
     item_type = pa.int64() if item_kind == "bigint" else None
     picked = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     out = None

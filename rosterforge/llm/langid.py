@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rosterforge.llm.common import hash_order, small_batches
+from rosterforge.llm.common import hash_order, id_schema, small_batches
 from rosterforge.sources.staging import stored
 
 DIMS = 1 << 13             # hashed character n-grams
@@ -196,7 +196,6 @@ def predict_languages(docs: DataFrame, model: CentroidModel, id_col: str = "doc_
                 [id_col, "lang_pred", "score", "rejected"],
             )
 
-    kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        run, f"`{id_col}` {kind}, lang_pred string, score double, rejected boolean"
+        run, id_schema(docs, id_col, "lang_pred string, score double, rejected boolean")
     )

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rosterforge.llm.common import small_batches
+from rosterforge.llm.common import id_schema, small_batches
 
 # The base patterns. They start where the written-out patterns can start, so that a
 # long run of one character is not tried again from each of its places.
@@ -32,7 +32,7 @@ _TRIGGER_BYTES = re.compile(rb"[0-9@]")
 FIT_WINDOWS = 1_200        # most labelled windows, about half of them with a span
 WINDOW, STRIDE = 64, 32    # characters of a window and between window starts
 EMBED, HIDDEN = 10, 14
-ROUNDS, LEARNING_RATE, BATCH = 10, 0.02, 48
+ROUNDS, LEARNING_RATE, BATCH = 14, 0.02, 48
 DECODE_BATCH = 1_024       # windows that are decoded together
 CONFIDENCE = 0.9           # least mean probability of an added span
 N_TAGS = 1 + 2 * len(KINDS)  # outside, and beginning and inside of each kind
@@ -456,8 +456,7 @@ def find_pii(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", tex
                 [id_col, *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_model", "redacted"],
             )
 
-    kind = docs.schema[id_col].dataType.simpleString()
     counted = ", ".join(f"n_{k} bigint" for k in KINDS)
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        run, f"`{id_col}` {kind}, {counted}, base_sha256 string, spans string, n_model bigint, redacted string"
+        run, id_schema(docs, id_col, f"{counted}, base_sha256 string, spans string, n_model bigint, redacted string")
     )

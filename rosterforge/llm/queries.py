@@ -70,8 +70,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mix_sources(docs).select(
-        "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
-        F.col("_probability").alias("probability"), F.col("_weight").alias("weight"), F.col("_sampled").alias("sampled"),
+        "row.doc_id", "row.source", "row.lang", "topic", "tokens", "probability", "weight", "sampled"
     )
 
 

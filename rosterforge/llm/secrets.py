@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import small_batches
+from rosterforge.llm.common import id_schema, small_batches
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -151,9 +151,5 @@ def find_secrets(docs: DataFrame, dictionary: bytes, id_col: str = "doc_id", tex
                 [batch.column(0), *columns], [id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel"]
             )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        run,
-        f"`{id_col}` {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, "
-        "n_novel bigint",
-    )
+    counts = "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_novel bigint"
+    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, id_schema(docs, id_col, counts))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import parts_for, pieces, small_batches
+from rosterforge.llm.common import id_schema, parts_for, pieces, small_batches
 from rosterforge.llm.components import connected_components
 from rosterforge.sources.staging import stored
 
@@ -59,8 +59,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["id", "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, fp bigint")
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string"))
+    return picked.mapInArrow(run, id_schema(picked, "id", "fp bigint"))
 
 
 def _planes(words: np.ndarray) -> np.ndarray:

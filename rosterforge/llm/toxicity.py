@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rosterforge.llm.common import hash_order, small_batches
+from rosterforge.llm.common import hash_order, id_schema, small_batches
 from rosterforge.sources.staging import stored
 
 #: Most toxic, clean and unlabelled rows that the lexicon is counted on (in Spark), and most of each
@@ -176,14 +176,14 @@ class LinearModel:
         return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 
 
-def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], shares: np.ndarray, target: np.ndarray, rounds: int = 200):
-    """Logistic regression on soft labels by accelerated gradient steps; bias, words, voters."""
-    sizes = np.array([len(i) for i, _ in rows])
-    idx = np.concatenate([i for i, _ in rows]) if len(rows) else np.zeros(0, int)
-    val = np.concatenate([w for _, w in rows]) if len(rows) else np.zeros(0)
-    row = np.repeat(np.arange(len(rows)), sizes)
-    dense = voter_features(shares)
-    n, n_words = max(len(rows), 1), 1 << BITS
+def fit_linear(
+    row: np.ndarray, idx: np.ndarray, val: np.ndarray, shares: np.ndarray, target: np.ndarray, rounds: int = 200
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Logistic regression on soft labels by accelerated gradient steps; bias, words, voters.
+
+    Word features come as (row, place, value) lists.
+    """
+    dense, n, n_words = voter_features(shares), len(target), 1 << BITS
     # classes weigh alike, so a rare class is not swamped
     mass = np.where(target >= 0.5, 0.5 / max((target >= 0.5).sum(), 1), 0.5 / max((target < 0.5).sum(), 1))
     theta = np.zeros(1 + n_words + dense.shape[1])
@@ -191,7 +191,7 @@ def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], shares: np.ndarray, ta
     ahead, speed = theta.copy(), 1.0
     step = 4.0 / (2.0 + (dense**2).sum(axis=1).max(initial=0))
     for _ in range(rounds):
-        logit = ahead[0] + np.bincount(row, val * ahead[1 + idx], len(rows))[: len(rows)] + dense @ ahead[1 + n_words :]
+        logit = ahead[0] + np.bincount(row, val * ahead[1 + idx], n) + dense @ ahead[1 + n_words :]
         error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target) * mass
         slope = np.concatenate([[error.sum()], np.bincount(idx, val * error[row], n_words), dense.T @ error])
         new = ahead - step * (slope + decay * ahead)
@@ -297,15 +297,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     by_hash = W.partitionBy("gold").orderBy(hash_order("id"), "id")
     fewer = sample.withColumn("_at", F.row_number().over(by_hash)).filter(F.col("_at") <= TRAIN_ROWS)
     picked = fewer.select("id", "text", "gold")
-    rows = picked.mapInArrow(read, schema).toPandas().sort_values(["id", "gold"], kind="stable")
-    shares = np.array(rows["share"].tolist(), float).reshape(-1, N_VOTERS)
-    gold = rows["gold"].to_numpy()
-    if not len(rows) or not (gold == 1).any():
+    rows = picked.mapInArrow(read, schema).toArrow().sort_by([("id", "ascending"), ("gold", "ascending")])
+    idx, weight, share = (rows.column(c).combine_chunks() for c in ("idx", "weight", "share"))
+    shares, gold = share.flatten().to_numpy().reshape(-1, N_VOTERS), rows.column("gold").to_numpy()
+    if not (gold == 1).any():
         tables = np.full((2, N_VOTERS, 3), 1 / 3)
         return LinearModel(entries, -4.0, np.zeros(1 << BITS), np.zeros(2 * N_VOTERS), tables, np.eye(N_VOTERS))
     post, tables, correlation = label_model(votes_of(shares), gold)
-    pairs = list(zip(rows["idx"], rows["weight"]))
-    return LinearModel(entries, *fit_linear(pairs, shares, post), tables, correlation)
+    row = np.repeat(np.arange(len(gold)), idx.value_lengths().to_numpy())
+    words = row, idx.flatten().to_numpy(), weight.flatten().to_numpy()
+    return LinearModel(entries, *fit_linear(*words, shares, post), tables, correlation)
 
 
 def score_toxicity(docs: DataFrame, model: LinearModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -322,6 +323,5 @@ def score_toxicity(docs: DataFrame, model: LinearModel, id_col: str = "doc_id",
             score = model.score(batch.column(1).to_pylist(), table)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], [id_col, "score"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    return picked.mapInArrow(run, f"`{id_col}` {kind}, score double")
+    return picked.mapInArrow(run, id_schema(docs, id_col, "score double"))
