@@ -65,13 +65,14 @@ def label_lookup(mapping: DataFrame) -> DataFrame:
     """One row per label: its primary bucket, whether it is generic, and all of its buckets.
 
     The bucket list holds one entry per distinct bucket, so it is as short as the taxonomy.
-    The mapping is counted, and only one of at most `BROADCAST_MAX_ROWS` rows is broadcast; a
-    larger one takes part in an ordinary join.
     """
-    is_small = mapping.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
-    lookup = mapping.groupBy("provider_label").agg(
+    return mapping.groupBy("provider_label").agg(
         F.min(F.when(F.col("is_primary"), F.col("industry_bucket"))).alias("enriched_industry"),
         F.coalesce(F.bool_or("is_generic"), F.lit(False)).alias("label_is_generic"),
         F.collect_set("industry_bucket").alias("label_buckets"),
     )
-    return F.broadcast(lookup) if is_small else lookup
+
+
+def is_small(mapping: DataFrame) -> bool:
+    """Whether a mapping may be broadcast: it is counted, up to `BROADCAST_MAX_ROWS` rows."""
+    return mapping.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS

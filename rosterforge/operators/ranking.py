@@ -10,6 +10,9 @@ from rosterforge.operators.skew import running_totals
 from rosterforge.sources.staging import stored
 
 
+BROADCAST_MAX_VALUES = 100_000  # distinct scores whose ranks are broadcast; more are joined
+
+
 def rank_desc(df: DataFrame, score: str, out: str) -> DataFrame:
     """Competition rank, highest first and NULL last, for a score with few distinct values.
 
@@ -21,7 +24,9 @@ def rank_desc(df: DataFrame, score: str, out: str) -> DataFrame:
     ranks = running_totals(per_value, [F.desc_nulls_last(score)], "_n").select(
         F.col(score).alias("_value"), (F.col("_before") + 1).cast("bigint").alias(out)
     )
-    return df.join(F.broadcast(ranks), df[score].eqNullSafe(ranks["_value"]), "inner").drop("_value")
+    few = per_value.limit(BROADCAST_MAX_VALUES + 1).count() <= BROADCAST_MAX_VALUES
+    ranks = F.broadcast(ranks) if few else ranks
+    return df.join(ranks, df[score].eqNullSafe(ranks["_value"]), "inner").drop("_value")
 
 
 def first_by_hash(
@@ -56,21 +61,24 @@ def first_by_hash(
 def position_by_column(df: DataFrame, column: str, out: str) -> DataFrame:
     """0-based position in the ascending order of a column with few repeats, such as an id.
 
-    Rows are range-partitioned and written down once, so that slice numbers cannot change if
-    a task runs again. Each slice is then sorted on its own and shifted by the rows before it.
+    Rows are range-partitioned, sorted, numbered inside their partition and written down once, so
+    that no number can change if a task runs again. Each slice is then shifted by the rows before it.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.asc_nulls_last(column)
     sliced = stored(
-        df.repartitionByRange(parts, F.asc_nulls_last(column)).withColumn("_slice", F.spark_partition_id()),
+        df.repartitionByRange(parts, order).sortWithinPartitions(order).withColumns({
+            "_slice": F.spark_partition_id(),
+            # the lower 33 bits count the rows of a partition
+            "_inside": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+        }),
         "slices",
     )
     offsets = running_totals(
         sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n")), [F.asc("_slice")], "_n"
     ).drop("_n")
-    inside = W.partitionBy("_slice").orderBy(F.asc_nulls_last(column))
     return (
-        sliced.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_slice")
-        .withColumn(out, (F.col("_before") + F.col("_inside") - 1).cast("bigint"))
+        sliced.join(F.broadcast(offsets), "_slice")
+        .withColumn(out, (F.col("_before") + F.col("_inside")).cast("bigint"))
         .drop("_slice", "_inside", "_before")
     )

@@ -31,12 +31,14 @@ def planted_detail(manifest: DataFrame, failures: DataFrame, resolved: DataFrame
         "error_id", "error_type", "record_id", "field", "original_value", "planted_value",
         expected.alias("expected_check"),
     )
+    # a manifest is small beside the tables: only its records are looked at
+    ids = planted.select("record_id").distinct()
     labels = resolved.select(
         F.col("account_id").alias("record_id"),
         F.col("industry_label").alias("_label"),
         "label_is_generic",
-    )
-    found = failures.select(
+    ).join(ids, "record_id", "left_semi")
+    found = failures.join(ids, "record_id", "left_semi").select(
         F.col("check_name").alias("expected_check"), "record_id", F.lit(True).alias("_found")
     ).distinct()
     label = F.col("_label")

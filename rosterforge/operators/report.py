@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.functions.mapping import label_lookup
+from rosterforge.config import Config
+from rosterforge.functions.mapping import is_small, label_lookup
+from rosterforge.operators.resolve import join_labels
 
 # Findings about providers, in report order.
 PROVIDER_CHECKS = (
@@ -53,7 +55,7 @@ def headline_counts(raw_contacts: DataFrame, contacts: DataFrame, accounts: Data
     )
 
 
-def strict_conflicts(resolved: DataFrame, mapping: DataFrame, manifest: DataFrame) -> DataFrame:
+def strict_conflicts(resolved: DataFrame, mapping: DataFrame, manifest: DataFrame, cfg: Config) -> DataFrame:
     """Accounts that a mapping without the generic-label exception would override.
 
     `was_planted` tells a planted error apart from a correct seed that would be overwritten.
@@ -71,7 +73,7 @@ def strict_conflicts(resolved: DataFrame, mapping: DataFrame, manifest: DataFram
     return (
         resolved.select("account_id", "company_name", "enrichment_provider", "industry_label", "seed_industry",
                         "has_industry_conflict")
-        .join(labels, "industry_label")
+        .transform(join_labels, labels, is_small(mapping), "inner", cfg)
         .filter(~fits)
         .join(planted, "account_id", "left")
         .withColumn("was_planted", F.coalesce("_planted", F.lit(False)))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.functions.mapping import label_lookup
+from rosterforge.config import Config
+from rosterforge.functions.mapping import is_small, label_lookup
+from rosterforge.operators.skew import join_many_to_one
 
 
 def join_enrichment(accounts: DataFrame, enrichment: DataFrame) -> DataFrame:
@@ -31,14 +33,22 @@ def join_enrichment(accounts: DataFrame, enrichment: DataFrame) -> DataFrame:
     )
 
 
-def lookup_labels(df: DataFrame, mapping: DataFrame) -> DataFrame:
+def join_labels(df: DataFrame, labels: DataFrame, small: bool, how: str, cfg: Config) -> DataFrame:
+    """Rows of accounts with what is known of their label; frequent and missing labels are salted
+    where the label table is too large to be broadcast."""
+    if small:
+        return df.join(F.broadcast(labels), "industry_label", how)
+    return join_many_to_one(df, labels, ["industry_label"], how, "account_id", cfg)
+
+
+def lookup_labels(df: DataFrame, mapping: DataFrame, cfg: Config) -> DataFrame:
     """What the mapping says about each row's label, from one join with one row per label."""
     labels = label_lookup(mapping).withColumnRenamed("provider_label", "industry_label")
     generic = F.coalesce("label_is_generic", F.lit(False))
     mapped = F.col("label_buckets").isNotNull()
     fits = mapped & (generic | F.coalesce(F.array_contains("label_buckets", F.col("seed_industry")), F.lit(False)))
     return (
-        df.join(labels, "industry_label", "left")
+        join_labels(df, labels, is_small(mapping), "left", cfg)
         .withColumns(
             {"label_is_mapped": mapped, "label_is_generic": generic, "seed_industry_compatible": fits}
         )
@@ -88,8 +98,8 @@ def headcount_plausibility(df: DataFrame) -> DataFrame:
     })
 
 
-def resolve_accounts(accounts: DataFrame, enrichment: DataFrame, mapping: DataFrame) -> DataFrame:
-    joined = lookup_labels(join_enrichment(accounts, enrichment), mapping)
+def resolve_accounts(accounts: DataFrame, enrichment: DataFrame, mapping: DataFrame, cfg: Config) -> DataFrame:
+    joined = lookup_labels(join_enrichment(accounts, enrichment), mapping, cfg)
     return headcount_plausibility(resolve_country(resolve_industry(joined)))
 
 

@@ -94,7 +94,10 @@ class Build:
     @cached_property
     def int_accounts_resolved(self) -> DataFrame:
         return self._keep(
-            resolve.resolve_accounts(self.stg_accounts, self.stg_enrichment, self.industry_mapping), "int_accounts_resolved"
+            resolve.resolve_accounts(
+                self.stg_accounts, self.stg_enrichment, self.industry_mapping, self.cfg
+            ),
+            "int_accounts_resolved",
         )
 
     @cached_property

@@ -483,7 +483,7 @@ def unexplained_alarms(spark, sf_dir):
 
 def _strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     b, manifest = planted(spark, sf_dir)
-    return stored(report.strict_conflicts(b.int_accounts_resolved, b.industry_mapping, manifest), "strict")
+    return stored(report.strict_conflicts(b.int_accounts_resolved, b.industry_mapping, manifest, b.cfg), "strict")
 
 
 @query

@@ -251,3 +251,23 @@ def test_scores_do_not_depend_on_partitions_or_salting(spark):
         assert rows(salted.fct_prospect_scores) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_labels_and_ranks_are_the_same_with_and_without_broadcast(spark, monkeypatch):
+    from rosterforge.functions import mapping as mp
+    from rosterforge.operators import ranking
+
+    labels = ["Software Development", None, "Unheard of", "Retail"]
+    df = spark.createDataFrame(
+        [(f"A{i}", labels[0] if i % 3 == 0 else labels[i % 4], "Software", float(i % 7) if i % 5 else None) for i in range(120)],
+        "account_id string, industry_label string, seed_industry string, score double",
+    )
+    mapping = mp.default_mapping(spark)
+    columns = ["account_id", "industry_label", "label_is_mapped", "label_is_generic", "seed_industry_compatible"]
+    want = rows(resolve.lookup_labels(df, mapping, Config()).select(columns))
+    ranks = rows(ranking.rank_desc(df, "score", "place").select("account_id", "place"))
+    monkeypatch.setattr(mp, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(ranking, "BROADCAST_MAX_VALUES", 0)
+    assert rows(resolve.lookup_labels(df, mapping, Config(hot_key_rows=5, salts=3)).select(columns)) == want
+    assert rows(ranking.rank_desc(df, "score", "place").select("account_id", "place")) == ranks
+    assert len(want) == 120

@@ -108,3 +108,13 @@ def test_layers_are_written_once_and_read_back(spark, tmp_path):
     b.create_views()
     per_tier = spark.sql("select tier, count(*) from fct_prospect_scores group by tier").collect()
     assert sum(r[1] for r in per_tier) == tables["dim_contact"].count()
+
+
+@pytest.mark.parametrize("gone", ["corpus_pipeline", "rosterforge.llm", "rosterforge.llm.queries"])
+def test_the_library_stands_without_the_training_data_operators(monkeypatch, gone):
+    from rosterforge.plans.queries import QUERIES
+
+    for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("rosterforge.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, gone, None)    # imports of it fail as if it were not there
+    assert set(entry.queries()) == set(QUERIES) == set(entry.oracle_sql())
