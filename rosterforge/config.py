@@ -77,6 +77,7 @@ class Config:
 
     # Scale controls. They change plans and the size of slices, never which rows there are.
     hot_key_rows: int = 1_000_000   # a key with at least this many rows is salted into slices of this size
+    most_rows: int | None = None    # rows of the largest input table, if known; fewer than hot_key_rows: no hot keys
     max_hot_keys: int = 10_000      # a hot key also holds at least this part of all rows, so no more can exist
     salts: int = 64                 # fewest slices a hot key is cut into
     block_names_max: int = 64       # name blocks larger than this get sub-keys before pairing

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,7 +138,8 @@ def _meet(keyed: DataFrame, by: list[str], on: list[str], cfg: Config) -> DataFr
     earlier = keyed.select(
         *by, F.col("_other").alias("_own"), F.col("_text").alias("_text2"), F.col("_low").alias("_low2")
     )
-    hot = hot_keys(key_sizes(keyed, keys), keys, "_rows", cfg)
+    # a name writes many keys, so the size of the input tables says nothing here
+    hot = hot_keys(key_sizes(keyed, keys), keys, "_rows", replace(cfg, most_rows=None))
     made_for = F.split_part("_key", F.lit("."), F.lit(1))
     common = sim.common_prefix(F.col("_text"), F.col("_text2")).cast("string")
     pairs = salted_join(keyed.drop("_other"), earlier, keys, "inner", hot, "_text").filter(

@@ -18,9 +18,12 @@ def hot_keys(sizes: DataFrame, keys: Sequence[str], size: str, cfg: Config) -> d
 
     A slice holds about `hot_key_rows` rows, however large the key. A hot key has at least
     `hot_key_rows` rows and at least 1 / `max_hot_keys` of all rows, so no more than
-    `max_hot_keys` pairs of numbers can reach the driver. One job where there is none. Which keys
-    are listed never changes a result: a hash collision only salts one more key.
+    `max_hot_keys` pairs of numbers can reach the driver. No job where `cfg.most_rows` already
+    rules hot keys out. Which keys are listed never changes a result: a hash collision only salts
+    one more key.
     """
+    if cfg.most_rows is not None and cfg.most_rows < cfg.hot_key_rows:
+        return {}
     total, most = sizes.agg(F.sum(size), F.max(size)).first()
     if (most or 0) < cfg.hot_key_rows:
         return {}

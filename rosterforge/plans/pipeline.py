@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from functools import cached_property
+from dataclasses import dataclass, field, replace
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rosterforge.config import Config
 from rosterforge.functions.mapping import default_mapping
@@ -185,4 +186,9 @@ class Build:
 
 def build(accounts: DataFrame, contacts: DataFrame, engagement: DataFrame, enrichment_wide: DataFrame, cfg: Config,
           mapping: DataFrame | None = None) -> Build:
+    if cfg.most_rows is None:
+        # read from file footers; no table that is joined by a key has more rows than the largest input
+        tables = (accounts, contacts, engagement, enrichment_wide)
+        counts = reduce(DataFrame.unionAll, [t.agg(F.count(F.lit(1)).alias("n")) for t in tables])
+        cfg = replace(cfg, most_rows=counts.agg(F.max("n")).first()[0])
     return Build(accounts, contacts, engagement, enrichment_wide, cfg, mapping)

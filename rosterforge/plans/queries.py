@@ -527,9 +527,11 @@ def two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     failures = no_title.unionByName(no_country).withColumns(
         {"status": F.lit(400), "message": F.lit("rejected")}
     )
-    first, state1 = changes.plan_run(accounts, before, empty, strict, rejects=REJECTS, failures=failures)
+    first, state1 = changes.plan_run(
+        accounts, before, empty, strict, rejects=REJECTS, failures=failures, hot=b.hot_accounts
+    )
     state1 = stored(state1, "state")
-    second, state2 = changes.plan_run(accounts, scores, state1, cfg, rejects=REJECTS)
+    second, state2 = changes.plan_run(accounts, scores, state1, cfg, rejects=REJECTS, hot=b.hot_accounts)
     return first, state1, second, state2
 
 
