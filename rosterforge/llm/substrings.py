@@ -19,10 +19,11 @@ from rosterforge.sources.staging import scratch_path, stored
 
 LENGTH = 100               # bytes of a string that counts as repeated
 GRAM = 32                  # bytes of the strings that anchors are chosen by
-CHUNK = 1 << 20            # bytes hashed at once
-PART_ROWS = 400_000        # anchor rows of one task
-FINE_ROWS = 100_000        # context rows of one task
-BUCKET_BYTES = 24 << 20    # text of one bucket of the working copy
+CHUNK = 256 << 10          # bytes hashed at once
+TASK_ROWS = 1 << 18        # anchor rows a task compares among themselves before they are dealt
+PART_ROWS = 150_000        # anchor rows settled together
+FINE_ROWS = 40_000         # context rows of one task
+BUCKET_BYTES = 64 << 20    # most text of one bucket of the working copy, about
 BLOCK = 23                 # string starts before an anchor that are compared in one group
 WINDOW = LENGTH - GRAM + 1
 NO_ID = (1 << 63) - 1      # a missing id comes last
@@ -142,7 +143,7 @@ def _chunks(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[list[tuple[int,
 _ROW = "part int, h bigint, cls bigint, doc bigint, lo bigint, place int, last int, local boolean"
 
 
-def _anchor_rows(pieces: list[tuple[int, int, bytes]], n_parts: int) -> dict[str, np.ndarray]:
+def _anchor_rows(pieces: list[tuple[int, int, bytes]]) -> dict[str, np.ndarray]:
     """Anchor rows of a chunk. A row whose whole context stands earlier in the chunk is `local`:
     its bytes were compared here, all its starts are repeated, and it need not meet other rows."""
     data = np.frombuffer(b"".join(p for _, _, p in pieces), np.uint8)
@@ -168,14 +169,30 @@ def _anchor_rows(pieces: list[tuple[int, int, bytes]], n_parts: int) -> dict[str
         same &= (hi - lo)[at] == (hi - lo)[lead[at]]
         local[at[~same]] = False
         cls[at[~same]] ^= np.uint64(1)  # a collision: another class, which byte comparison will settle
-    # rows that meet nobody are dealt anywhere
-    part = _mixed(np.where(local, start.astype(np.uint64) * np.uint64(_BASES[0]) ^ doc.astype(np.uint64), h)) % np.uint64(n_parts)
     return {
-        "part": part.astype(np.int32), "h": h.view(np.int64), "cls": cls.view(np.int64), "doc": doc, "lo": start,
-        "place": (place - lo).astype(np.int32), "last": (hi - lo).astype(np.int32), "local": local,
+        "h": h, "cls": cls, "doc": doc, "lo": start, "place": (place - lo).astype(np.int32),
+        "last": (hi - lo).astype(np.int32), "local": local,
     }
 
 
+def _combine(chunks: list[dict[str, np.ndarray]], n_parts: int) -> dict[str, np.ndarray]:
+    """Rows of several chunks of a task, with the later rows of a class marked `local` as well.
+
+    So a line that very many texts share leaves a task as one row per TASK_ROWS, not one per text.
+    """
+    rows = {k: np.concatenate([c[k] for c in chunks]) for k in chunks[0]}
+    order = np.lexsort((rows["lo"], rows["doc"], rows["cls"], rows["h"], rows["local"]))
+    rows = {k: v[order] for k, v in rows.items()}
+    same = (rows["h"][1:] == rows["h"][:-1]) & (rows["cls"][1:] == rows["cls"][:-1])
+    once = ~((rows["doc"][1:] == rows["doc"][:-1]) & (rows["lo"][1:] == rows["lo"][:-1]))
+    lead = np.r_[True, ~same][: len(order)]
+    rows["local"] = rows["local"] | (~lead & np.r_[True, once][: len(order)])
+    # rows that meet nobody are dealt anywhere
+    anywhere = rows["lo"].astype(np.uint64) * np.uint64(_BASES[0]) ^ rows["doc"].astype(np.uint64)
+    part = _mixed(np.where(rows["local"], anywhere, rows["h"])) % np.uint64(n_parts)
+    return {"part": part.astype(np.int32), **rows, "h": rows["h"].view(np.int64), "cls": rows["cls"].view(np.int64)}
+
+
 def _settle(rows: pd.DataFrame) -> pd.DataFrame:
     """Repeated stretches of starts (fine = false), and rows that must be compared by their bytes.
 
@@ -342,8 +359,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts are shuffled once, into a working copy bucketed by id that all later joins by id use
     without moving them. Every string has an anchor, about one in 35 bytes; anchors, not
     positions, are dealt by hash, after each task has settled the repeats it can see itself, so a
-    line that is in a third of all texts is one row per chunk. Contexts that are wholly equal are
-    settled by two independent 64-bit hashes; the rest by sorted suffixes and their bytes.
+    line that is in a third of all texts leaves a task as a few rows. Contexts that are wholly equal
+    are settled by their bytes inside a chunk, and beyond it by two independent 64-bit hashes; all
+    others by sorted suffixes and their bytes.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -351,7 +369,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     raw = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"), data.alias("data"))
     raw = raw.withColumns({"digest": F.sha2("data", 256), "n": F.octet_length("data").cast("bigint")})
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    name, n_buckets = f"working_copy_{uuid.uuid4().hex}", parts_for(total, BUCKET_BYTES)
+    # with fewer buckets than shuffle partitions Spark would deal the texts anew for each join
+    n_buckets = max(parts_for(total, BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name = f"working_copy_{uuid.uuid4().hex}"
     (
         raw.repartition(n_buckets, "doc").write.bucketBy(n_buckets, "doc").sortBy("doc")
         .option("path", scratch_path(spark, "working_copy")).option("compression", "zstd").saveAsTable(name)
@@ -375,15 +395,24 @@ def _from_copy(copy: DataFrame, total: int, id_col: str, id_kind: str) -> DataFr
     texts = texts.filter("base IS NOT NULL")
     n_parts = parts_for(total // 30, PART_ROWS)
 
+    def batches_of(found: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(found["h"]), 1 << 16):
+            yield pa.RecordBatch.from_pydict({k: pa.array(v[at : at + (1 << 16)]) for k, v in found.items()})
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple[int, int, bytes]]:
             for batch in batches:
                 yield from zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1).to_pylist())
 
+        held, n = [], 0
         for chunk in _chunks(rows()):
-            found = _anchor_rows(chunk, n_parts)
-            for at in range(0, len(found["h"]), 1 << 17):
-                yield pa.RecordBatch.from_pydict({k: pa.array(v[at : at + (1 << 17)]) for k, v in found.items()})
+            held.append(_anchor_rows(chunk))
+            n += len(held[-1]["h"])
+            if n >= TASK_ROWS:
+                yield from batches_of(_combine(held, n_parts))
+                held, n = [], 0
+        if held:
+            yield from batches_of(_combine(held, n_parts))
 
     settled = stored(
         texts.select("doc", "data", "base").mapInArrow(scan, _ROW).groupBy("part").applyInPandas(

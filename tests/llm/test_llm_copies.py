@@ -150,6 +150,15 @@ def passages(rng: random.Random) -> list[tuple]:
     return given
 
 
+def test_rows_of_a_class_leave_a_task_once():
+    texts = [b"x" * 3 + b"the same long line in many texts " * 8 + bytes([65 + i]) * 120 for i in range(20)]
+    chunks = [sb._anchor_rows([(i, 0, t)]) for i, t in enumerate(texts)]
+    rows_ = sb._combine(chunks, 7)
+    keys = list(zip(rows_["h"][~rows_["local"]], rows_["cls"][~rows_["local"]]))
+    assert len(keys) == len(set(keys)) and rows_["local"].sum() > 50
+    assert set(range(1, 20)) <= set(rows_["doc"][rows_["local"]])      # the first text leads
+
+
 def test_repeats_equal_brute_force(spark):
     given = passages(random.Random(5))
     frame = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
@@ -177,7 +186,7 @@ def test_every_start_has_one_anchor_whatever_the_chunk(monkeypatch, chunk):
     texts = [bytes(rng.choice(b"abc ") for _ in range(n)) for n in (0, 99, 100, 700, 1300)] + [b"a" * 900, b"xyz" * 300]
     seen = []
     for pieces in sb._chunks((i, 0, t) for i, t in enumerate(texts)):
-        found = sb._anchor_rows(pieces, 3)
+        found = sb._anchor_rows(pieces)
         for doc, lo, last in zip(found["doc"], found["lo"], found["last"]):
             seen += [(int(doc), int(s)) for s in range(lo, lo + last + 1)]
     assert sorted(seen) == [(i, s) for i, t in enumerate(texts) for s in range(len(t) - 99)]
