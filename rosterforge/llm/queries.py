@@ -69,7 +69,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return mix_sources(docs).select(
+    return mix_sources(docs, carry=("doc_id", "source", "lang")).select(
         "row.doc_id", "row.source", "row.lang", "topic", "tokens", "probability", "weight", "sampled"
     )
 
