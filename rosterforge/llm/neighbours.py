@@ -18,7 +18,7 @@ from rosterforge.llm.common import hash_order
 from rosterforge.sources.staging import stored
 
 TREES = 8
-LEAF_ROWS = 128            # aim of a leaf
+LEAF_ROWS = 512            # aim of a leaf
 FIT_ROWS = 32_768          # vectors that the split points are taken from; every vector is indexed
 MIN_SAMPLE_LEAF = 8        # sampled vectors a leaf must rest on, which bounds the depth
 UNIT_ROWS = 65_536         # vectors of neighbouring leaves that are searched by one task

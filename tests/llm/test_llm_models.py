@@ -277,7 +277,8 @@ def test_mixture_bears_odd_rows(spark):
 
 # neighbours ----------------------------------------------------------------------------------
 
-def test_neighbours_reach_the_recall_with_exact_scores(spark):
+def test_neighbours_reach_the_recall_with_exact_scores(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 32)
     got = QUERIES["op4_neighbours"](spark, SMALL).toPandas()
     given = table(spark, SMALL, "embeddings").toPandas()
     x, ids = np.array(given.embedding.tolist(), float), given.vec_id.to_numpy()
@@ -294,6 +295,7 @@ def test_neighbours_reach_the_recall_with_exact_scores(spark):
 
 @pytest.mark.parametrize("unit", [65_536, 64])
 def test_neighbours_bear_odd_vectors_and_many_equal_ones(spark, monkeypatch, unit):
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 16)
     monkeypatch.setattr(neighbours, "UNIT_ROWS", unit)
     monkeypatch.setattr(neighbours, "UNIT_QUERIES", unit)
     rng = np.random.default_rng(3)
