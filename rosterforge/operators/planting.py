@@ -82,10 +82,19 @@ def swap_last_two(name: Column) -> Column:
     return F.when(n > 3, swapped).otherwise(name)
 
 
-def largest_number(df: DataFrame, id_col: str) -> int:
-    """Largest number at the end of an id; ids that start above it are not taken."""
-    number = F.try_to_number(F.regexp_extract(id_col, r"([0-9]{1,18})\z", 1), F.lit("9" * 18))
-    return int(df.agg(F.max(number)).first()[0] or 0)
+def largest_numbers(contacts: DataFrame, accounts: DataFrame | None) -> tuple[int, int]:
+    """Largest number at the end of a contact id and of an account id, from one pass over the ids.
+
+    Ids that start above it are not taken. Ids that end in more than 18 digits or in none do not count.
+    """
+    def number(column: str) -> Column:
+        return F.regexp_extract(column, r"([0-9]{1,18})\z", 1).try_cast("bigint")
+
+    numbers = contacts.select(number("contact_id").alias("c"), number("account_id").alias("a"))
+    if accounts is not None:
+        numbers = numbers.unionAll(accounts.select(F.lit(None).cast("bigint"), number("account_id")))
+    contact, account = numbers.agg(F.max("c"), F.max("a")).first()
+    return contact or 0, account or 0
 
 
 def plant_contact_errors(
@@ -96,9 +105,8 @@ def plant_contact_errors(
     New contact ids start above the largest there is, and invented account ids above the largest
     of `accounts` and of the contacts' own, so neither can be a real one.
     """
-    first_copy = largest_number(contacts, "contact_id")
-    known = [contacts, *([accounts] if accounts is not None else [])]
-    first_orphan = max(90_000, *(largest_number(df, "account_id") for df in known))
+    first_copy, largest_account = largest_numbers(contacts, accounts)
+    first_orphan = max(90_000, largest_account)
     marked, rest = assign_kinds(contacts, "contact_id", CONTACT_KINDS, cfg)
     kind = F.col("_kind")
     low, high = STALE_DAYS
