@@ -25,6 +25,10 @@ PART_ROWS = 150_000        # anchor rows settled together
 FINE_ROWS = 40_000         # context rows of one task
 BUCKET_BYTES = 64 << 20    # most text of one bucket of the working copy, about
 BLOCK = 23                 # string starts before an anchor that are compared in one group
+HOT_CLASSES = 8            # classes of one anchor hash among TASK_ROWS rows from which they are dealt one by one
+KEY_ROWS = 1 << 16         # contexts of a task whose keys are counted together
+HOT_CONTEXTS = 32          # contexts of one key among KEY_ROWS from which its strings are dealt one by one
+STRING_ROWS = 400_000      # single strings settled together
 WINDOW = LENGTH - GRAM + 1
 NO_ID = (1 << 63) - 1      # a missing id comes last
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that they can be divided out again
@@ -140,7 +144,7 @@ def _chunks(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[list[tuple[int,
         yield held
 
 
-_ROW = "part int, h bigint, cls bigint, doc bigint, lo bigint, place int, last int, local boolean"
+_ROW = "part int, h bigint, cls bigint, doc bigint, lo bigint, place int, last int, local boolean, many boolean"
 
 
 def _anchor_rows(pieces: list[tuple[int, int, bytes]]) -> dict[str, np.ndarray]:
@@ -179,6 +183,9 @@ def _combine(chunks: list[dict[str, np.ndarray]], n_parts: int) -> dict[str, np.
     """Rows of several chunks of a task, with the later rows of a class marked `local` as well.
 
     So a line that very many texts share leaves a task as one row per TASK_ROWS, not one per text.
+    Where an anchor hash has many classes (a shared line in ever different surroundings), its rows
+    are marked `many` and dealt by class instead of by hash, since they need not be told that
+    there are others; a row with last = -1 tells the hash's remaining rows.
     """
     rows = {k: np.concatenate([c[k] for c in chunks]) for k in chunks[0]}
     order = np.lexsort((rows["lo"], rows["doc"], rows["cls"], rows["h"], rows["local"]))
@@ -187,9 +194,18 @@ def _combine(chunks: list[dict[str, np.ndarray]], n_parts: int) -> dict[str, np.
     once = ~((rows["doc"][1:] == rows["doc"][:-1]) & (rows["lo"][1:] == rows["lo"][:-1]))
     lead = np.r_[True, ~same][: len(order)]
     rows["local"] = rows["local"] | (~lead & np.r_[True, once][: len(order)])
+    open_ = np.flatnonzero(~rows["local"])
+    names, code, count = np.unique(rows["h"][open_], return_inverse=True, return_counts=True)
+    rows["many"] = np.zeros(len(order), bool)
+    rows["many"][open_] = count[code] >= HOT_CLASSES
+    told = names[count >= HOT_CLASSES]
+    filler = {"h": told, "last": np.full(len(told), -1, np.int32), "many": np.ones(len(told), bool)}
+    rows = {k: np.concatenate([v, filler.get(k, np.zeros(len(told), v.dtype))]) for k, v in rows.items()}
     # rows that meet nobody are dealt anywhere
     anywhere = rows["lo"].astype(np.uint64) * np.uint64(_BASES[0]) ^ rows["doc"].astype(np.uint64)
-    part = _mixed(np.where(rows["local"], anywhere, rows["h"])) % np.uint64(n_parts)
+    by_class = rows["h"] ^ _mixed(rows["cls"])
+    meets = np.where(rows["many"] & (rows["last"] >= 0), by_class, rows["h"])
+    part = _mixed(np.where(rows["local"], anywhere, meets)) % np.uint64(n_parts)
     return {"part": part.astype(np.int32), **rows, "h": rows["h"].view(np.int64), "cls": rows["cls"].view(np.int64)}
 
 
@@ -198,17 +214,18 @@ def _settle(rows: pd.DataFrame) -> pd.DataFrame:
 
     Rows of one anchor hash and one context hash are one class: all but its earliest are
     repeated throughout. Where an anchor hash has several classes, their earliest rows may still
-    share strings, and go on to the byte comparison.
+    share strings, and go on to the byte comparison. Rows marked `many` have such neighbours in
+    any case, in other parts.
     """
-    local = rows["local"].to_numpy()
-    done = rows[local]
-    rows = rows[~local].sort_values(["h", "cls", "doc", "lo"], kind="stable")
-    h, cls, doc, lo = (rows[c].to_numpy() for c in ("h", "cls", "doc", "lo"))
-    new_h = np.r_[True, h[1:] != h[:-1]][: len(h)]
+    local, told = rows["local"].to_numpy(), rows["last"].to_numpy() < 0
+    done, others = rows[local], rows["h"][told].unique()
+    rows = rows[~local & ~told].sort_values(["many", "h", "cls", "doc", "lo"], kind="stable")
+    many, h, cls, doc, lo = (rows[c].to_numpy() for c in ("many", "h", "cls", "doc", "lo"))
+    new_h = np.r_[True, (many[1:] != many[:-1]) | (h[1:] != h[:-1])][: len(h)]
     new = new_h | np.r_[True, cls[1:] != cls[:-1]][: len(h)]
     again = ~new & np.r_[False, (doc[1:] == doc[:-1]) & (lo[1:] == lo[:-1])][: len(h)]  # the same row read twice
     classes = np.bincount(np.cumsum(new_h) - 1, new, new_h.sum())[np.cumsum(new_h) - 1] if len(h) else np.zeros(0)
-    repeated, fine = rows[~new & ~again], rows[new & (classes > 1)]
+    repeated, fine = rows[~new & ~again], rows[new & ((classes > 1) | many | np.isin(h, others))]
     out = pd.concat([done, repeated, fine])
     return pd.DataFrame({
         "doc": out["doc"], "lo": out["lo"], "last": out["last"], "place": out["place"],
@@ -285,7 +302,7 @@ def repeated_starts(key: np.ndarray, doc: np.ndarray, lo: np.ndarray, place: np.
     """
     order = np.lexsort((lo, doc, key))
     key, doc, lo, place = key[order], doc[order], lo[order], place[order]
-    head = np.r_[True, key[1:] != key[:-1]]
+    head = np.r_[True, key[1:] != key[:-1]][: len(key)]
     groups = np.cumsum(head) - 1
     several = np.bincount(groups)[groups] > 1
     order, key, doc, lo, place = (x[several] for x in (order, key, doc, lo, place))
@@ -334,6 +351,125 @@ def _contexts(doc: int, base: int, data: bytes, rows: list[tuple[int, int, int]]
             out.append((key % n_parts, (key ^ (1 << 63)) - (1 << 63), doc, base + first, anchor - first, data[first:end]))
 
 
+def _strings(doc: np.ndarray, lo: np.ndarray, texts: list[bytes]) -> dict[str, np.ndarray]:
+    """(s, doc, start, again) of every string in the given contexts, s being a 128-bit cryptographic hash.
+
+    Of equal strings all but the earliest are marked `again` and need not meet others.
+    """
+    count = np.array([len(text) - LENGTH + 1 for text in texts], np.int64)
+    names, place = bytearray(16 * int(count.sum())), 0
+    for text, n in zip(texts, count.tolist()):
+        for at in range(n):
+            names[place : place + 16] = hashlib.blake2b(text[at : at + LENGTH], digest_size=16).digest()
+            place += 16
+    halves = np.frombuffer(bytes(names), np.int64).reshape(-1, 2)
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return _earliest(halves[:, 0], halves[:, 1], np.repeat(doc, count), np.repeat(lo, count) + step)
+
+
+def _earliest(s: np.ndarray, t: np.ndarray, doc: np.ndarray, start: np.ndarray) -> dict[str, np.ndarray]:
+    """Rows once each, by string and place, with all but the earliest of a string marked `again`."""
+    order = np.lexsort((start, doc, t, s))
+    s, t, doc, start = (x[order] for x in (s, t, doc, start))
+    again = np.r_[False, (s[1:] == s[:-1]) & (t[1:] == t[:-1])][: len(s)]
+    # the same row read twice is no earlier string
+    once = ~(again & np.r_[False, (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])][: len(s)])
+    return {"s": s[once], "t": t[once], "doc": doc[once], "lo": start[once], "again": again[once]}
+
+
+def _stretches(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, lo, last) of runs of successive starts."""
+    order = np.lexsort((start, doc))
+    doc, start = doc[order], start[order]
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)][: len(doc)]
+    ends = np.r_[new[1:], True][: len(doc)]
+    return doc[new], start[new], (start[ends] - start[new]).astype(np.int32)
+
+
+_CONTEXT = "part int, key bigint, doc bigint, lo bigint, place int, context binary, t bigint, kind int"
+_COMPARED = "part int, s bigint, t bigint, doc bigint, lo bigint, last int"
+_AS_CONTEXT, _AS_STRING, _AS_REPEAT, _TELL = range(4)
+
+
+def _deal(rows: list[tuple], n_parts: int) -> Iterator[pa.RecordBatch]:
+    """Contexts of a task (part, key, doc, lo, place, bytes) as they are, or as single strings.
+
+    Contexts meet by their key. A key that has HOT_CONTEXTS of the given ones or more leaves the
+    task as single strings, each once; a row of kind _TELL makes the few contexts of it that
+    other tasks send follow as strings. Strings pass the comparison untouched, so they are dealt
+    anywhere.
+    """
+    key = np.array([r[1] for r in rows], np.int64)
+    names, code, count = np.unique(key, return_inverse=True, return_counts=True)
+    hot = (count >= HOT_CONTEXTS)[code]
+    cold = [(*rows[i], 0, _AS_CONTEXT) for i in np.flatnonzero(~hot)]
+    at = np.flatnonzero(hot)
+    if len(at):
+        cold += [(k % (1 << 64) % n_parts, k, 0, 0, 0, None, 0, _TELL) for k in names[count >= HOT_CONTEXTS].tolist()]
+        found = _strings(
+            np.array([rows[i][2] for i in at]), np.array([rows[i][3] for i in at]), [rows[i][5] for i in at]
+        )
+        again = found["again"]
+        doc, lo, last = _stretches(found["doc"][again], found["lo"][again])
+        s, t, own, start = (found[k][~again] for k in ("s", "t", "doc", "lo"))
+        for n, columns in (
+            (len(doc), (_mixed(lo.astype(np.uint64) ^ _mixed(doc.astype(np.uint64))), np.zeros(len(doc), np.int64), doc,
+                        lo, last, np.zeros(len(doc), np.int64), np.full(len(doc), _AS_REPEAT))),
+            (len(s), (t.view(np.uint64), s, own, start, np.zeros(len(s), np.int32), t, np.full(len(s), _AS_STRING))),
+        ):
+            part, key, doc_, lo_, place, t_, kind = columns
+            part = (part % np.uint64(n_parts)).astype(np.int32)
+            for a in range(0, n, 1 << 16):
+                cut = slice(a, a + (1 << 16))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[cut]), pa.array(key[cut]), pa.array(doc_[cut]), pa.array(lo_[cut]),
+                     pa.array(place[cut], pa.int32()), pa.nulls(len(part[cut]), pa.binary()), pa.array(t_[cut]),
+                     pa.array(kind[cut], pa.int32())],
+                    _CONTEXT_NAMES,
+                )
+    for a in range(0, len(cold), 1 << 14):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*cold[a : a + (1 << 14)]), _CONTEXT_KINDS)], _CONTEXT_NAMES
+        )
+
+
+_CONTEXT_NAMES = ("part", "key", "doc", "lo", "place", "context", "t", "kind")
+_CONTEXT_KINDS = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32())
+
+
+def _compare(rows: pd.DataFrame, n_parts: int) -> pd.DataFrame:
+    """Repeated stretches (part = -1) among contexts of equal keys, and the strings that must meet others."""
+    kind = rows["kind"].to_numpy()
+    strings, repeats = rows[kind == _AS_STRING], rows[kind == _AS_REPEAT]
+    contexts = rows[kind == _AS_CONTEXT]
+    told = contexts["key"].isin(rows["key"][kind == _TELL]).to_numpy()
+    hot, contexts = contexts[told], contexts[~told]
+    doc, lo, last = _stretches(*repeated_starts(
+        contexts["key"].to_numpy(), contexts["doc"].to_numpy(), contexts["lo"].to_numpy(),
+        contexts["place"].to_numpy(), contexts["context"].tolist(),
+    ))
+    more = _strings(hot["doc"].to_numpy(), hot["lo"].to_numpy(), hot["context"].tolist())
+    again = more["again"]
+    also = _stretches(more["doc"][again], more["lo"][again])
+    s = np.concatenate([strings["key"].to_numpy(np.int64), more["s"][~again]])
+    t = np.concatenate([strings["t"].to_numpy(np.int64), more["t"][~again]])
+    n = len(doc) + len(also[0]) + len(repeats)
+    none = np.zeros(n, np.int64)
+    return pd.DataFrame({
+        "part": np.concatenate([none - 1, (_mixed(s.view(np.uint64)) % np.uint64(n_parts)).astype(np.int64)]).astype(np.int32),
+        "s": np.concatenate([none, s]), "t": np.concatenate([none, t]),
+        "doc": np.concatenate([doc, also[0], repeats["doc"], strings["doc"], more["doc"][~again]]).astype(np.int64),
+        "lo": np.concatenate([lo, also[1], repeats["lo"], strings["lo"], more["lo"][~again]]).astype(np.int64),
+        "last": np.concatenate([last, also[2], repeats["place"], np.zeros(len(s), np.int32)]).astype(np.int32),
+    })
+
+
+def _settle_strings(rows: pd.DataFrame) -> pd.DataFrame:
+    found = _earliest(*(rows[c].to_numpy() for c in ("s", "t", "doc", "lo")))
+    doc, lo, last = _stretches(found["doc"][found["again"]], found["lo"][found["again"]])
+    return pd.DataFrame({"doc": doc, "lo": lo, "last": last})
+
+
 def _merge(starts: list[tuple[int, int]], base: int, n: int) -> list[tuple[int, int]]:
     """Stretches (lo, hi) of repeated starts as maximal removed runs inside a text of n bytes."""
     runs: list[list[int]] = []
@@ -361,7 +497,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     positions, are dealt by hash, after each task has settled the repeats it can see itself, so a
     line that is in a third of all texts leaves a task as a few rows. Contexts that are wholly equal
     are settled by their bytes inside a chunk, and beyond it by two independent 64-bit hashes; all
-    others by sorted suffixes and their bytes.
+    others by sorted suffixes and their bytes. A line in very many different surroundings has as
+    many contexts as it has places: they are dealt as single strings, each once per KEY_ROWS
+    contexts of a task, and settled by a 128-bit cryptographic hash.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -425,32 +563,28 @@ def _from_copy(copy: DataFrame, total: int, id_col: str, id_kind: str) -> DataFr
     fine_parts = parts_for(2 * n_fine, FINE_ROWS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("part", "key", "doc", "lo", "place", "context")
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        out: list = []
         for batch in batches:
             for doc, data, base, rows in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                out: list = []
                 inside = [(r["lo"], r["last"], r["place"]) for r in rows if 0 <= r["lo"] - base < len(data)]
-                for at in range(0, len(inside), 1 << 14):
-                    out.clear()
-                    _contexts(doc, base, data, inside[at : at + (1 << 14)], fine_parts, out)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        doc, start = repeated_starts(
-            rows["key"].to_numpy(), rows["doc"].to_numpy(), rows["lo"].to_numpy(), rows["place"].to_numpy(),
-            rows["context"].tolist(),
-        )
-        order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
-        new = np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)][: len(doc)]
-        ends = np.r_[new[1:], True][: len(doc)]
-        return pd.DataFrame({"doc": doc[new], "lo": start[new], "last": (start[ends] - start[new]).astype(np.int32)})
-
-    contexts = texts.join(per_doc, "doc").select("doc", "data", "base", "rows").mapInArrow(
-        cut, "part int, key bigint, doc bigint, lo bigint, place int, context binary"
+                for at in range(0, len(inside), 1 << 12):
+                    _contexts(doc, base, data, inside[at : at + (1 << 12)], fine_parts, out)
+                    if len(out) >= KEY_ROWS:
+                        yield from _deal(out, fine_parts)
+                        out = []
+        if out:
+            yield from _deal(out, fine_parts)
+
+    contexts = texts.join(per_doc, "doc").select("doc", "data", "base", "rows").mapInArrow(cut, _CONTEXT)
+    compared = stored(
+        contexts.groupBy("part").applyInPandas(lambda rows: _compare(rows, 1 << 30), _COMPARED), "compared"
+    )
+    strings = compared.filter("part >= 0")
+    string_parts = parts_for(strings.count(), STRING_ROWS)
+    single = strings.withColumn("part", F.col("part") % string_parts).groupBy("part").applyInPandas(
+        _settle_strings, "doc bigint, lo bigint, last int"
     )
-    compared = contexts.groupBy("part").applyInPandas(compare, "doc bigint, lo bigint, last int")
+    compared = compared.filter("part < 0").select("doc", "lo", "last").unionByName(single)
     starts = settled.filter("NOT fine").select("doc", "lo", "last").unionByName(compared)
     found = starts.groupBy("doc").agg(F.collect_list(F.struct("lo", "last")).alias("starts"))
 

@@ -166,6 +166,47 @@ def test_repeats_equal_brute_force(spark):
     assert sorted(got, key=repr) == plain_repeats(given)
 
 
+def surrounded(rng: random.Random, n: int) -> list[tuple]:
+    """One line of 85 bytes and the ends of one long passage, in ever different surroundings."""
+    def noise(k):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(k))
+
+    line, passage = noise(85), noise(400)
+    return [(i, noise(150) + line + noise(150) + passage + noise(120)) for i in range(n)]
+
+
+def test_a_line_in_many_surroundings_is_dealt_to_many_parts():
+    texts = [t.encode() for _, t in surrounded(random.Random(3), 300)]
+    found = sb._combine([sb._anchor_rows([(i, 0, t)]) for i, t in enumerate(texts)], 40)
+    assert np.bincount(found["part"][~found["local"]], minlength=40).max() < 250
+
+
+def test_no_group_holds_a_context_of_every_text(spark, monkeypatch):
+    """The line's contexts leave their tasks as strings; the few that stay contexts follow."""
+    for name, value in (("HOT_CLASSES", 4), ("HOT_CONTEXTS", 4), ("KEY_ROWS", 300), ("TASK_ROWS", 2000)):
+        monkeypatch.setattr(sb, name, value, raising=False)
+    plain = sb.repeated_starts
+
+    def guarded(key, *rest):
+        assert not len(key) or np.unique(key, return_counts=True)[1].max() < 150
+        return plain(key, *rest)
+
+    monkeypatch.setattr(sb, "repeated_starts", guarded)
+    given = surrounded(random.Random(3), 300) + passages(random.Random(6))
+    frame = spark.createDataFrame([(i if i is None else i + 7, t) for i, t in given], "doc_id bigint, text string")
+    got = [tuple(r)[:5] for r in sb.remove_repeats(frame.repartition(3)).collect()]
+    assert sorted(got, key=repr) == plain_repeats([(i if i is None else i + 7, t) for i, t in given])
+
+
+@pytest.mark.parametrize("hot", [1, 2, 3])
+def test_strings_dealt_one_by_one_equal_brute_force(spark, monkeypatch, hot):
+    for name, value in (("HOT_CLASSES", hot), ("HOT_CONTEXTS", hot), ("KEY_ROWS", 40), ("TASK_ROWS", 60)):
+        monkeypatch.setattr(sb, name, value, raising=False)
+    given = passages(random.Random(hot))
+    frame = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
+    assert sorted((tuple(r)[:5] for r in sb.remove_repeats(frame).collect()), key=repr) == plain_repeats(given)
+
+
 def test_repeats_query_equals_brute_force(spark):
     got = QUERIES["op8_repeated_substrings"](spark, SMALL)
     want = plain_repeats([(i, t) for i, t, _ in documents(SMALL)])
