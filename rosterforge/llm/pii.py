@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,7 @@ WINDOW, STRIDE = 64, 32    # characters of a window and between window starts
 EMBED, HIDDEN = 10, 14
 ROUNDS, LEARNING_RATE, BATCH = 14, 0.02, 48
 DECODE_BATCH = 1_024       # windows that are decoded together
+REGION_CHARS = 1 << 17     # characters of regions that are scored and decoded together; longer ones in blocks
 CONFIDENCE = 0.9           # least mean probability of an added span
 N_TAGS = 1 + 2 * len(KINDS)  # outside, and beginning and inside of each kind
 _SYMBOLS = " \n@.+-()_%:/,;=#'\""
@@ -248,13 +249,14 @@ class Tagger:
         """Best tag sequence of each region of merged scores; regions are decoded side by side."""
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(scores)
         order = sorted(range(len(scores)), key=lambda i: len(scores[i]))
-        step = self.p["next"].copy()
-        for k in range(len(KINDS)):  # an inside tag follows only its own kind
-            allowed = [1 + 2 * k, 2 + 2 * k]
-            step[[t for t in range(N_TAGS) if t not in allowed], 2 + 2 * k] = -1e4
-        for at in range(0, len(order), 256):
-            some = order[at : at + 256]
-            longest = max(len(scores[i]) for i in some)
+        step, at = self._allowed(), 0
+        while at < len(order):
+            # all rows are padded to the longest, the last
+            end = at + 1
+            while end < len(order) and (end + 1 - at) * len(scores[order[end]]) <= REGION_CHARS:
+                end += 1
+            some, at = order[at:end], end
+            longest = len(scores[some[-1]])
             padded = np.zeros((len(some), longest, N_TAGS), np.float32)
             for r, i in enumerate(some):
                 padded[r, : len(scores[i])] = scores[i]
@@ -273,6 +275,40 @@ class Tagger:
                 out[i] = path[r, : len(scores[i])]
         return out
 
+    def _allowed(self) -> np.ndarray:
+        """Transition scores; an inside tag follows only its own kind."""
+        step = self.p["next"].copy()
+        for k in range(len(KINDS)):
+            allowed = [1 + 2 * k, 2 + 2 * k]
+            step[[t for t in range(N_TAGS) if t not in allowed], 2 + 2 * k] = -1e4
+        return step
+
+    def decode_blocks(self, blocks: Iterator[np.ndarray]) -> np.ndarray:
+        """Best tag sequence of one long region, whose merged scores come block by block.
+
+        The best scores are carried from block to block; only back-pointers of a byte are kept.
+        """
+        step, best, kept = self._allowed(), None, []
+        for scores in blocks:
+            came = np.zeros((len(scores), N_TAGS), np.int8)
+            for t in range(len(scores)):
+                if best is None:
+                    best = scores[t].copy()
+                    best[2::2] -= 1e4
+                    continue
+                ways = best[:, None] + step
+                came[t] = ways.argmax(axis=0)
+                best = ways.max(axis=0) + scores[t]
+            kept.append(came)
+        path = np.zeros(sum(map(len, kept)), np.int8)
+        at, tag = len(path), int(best.argmax()) if best is not None else 0
+        for came in reversed(kept):
+            for t in reversed(range(len(came))):
+                at -= 1
+                path[at] = tag
+                tag = int(came[t, tag])
+        return path
+
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis=axis, keepdims=True)
@@ -302,48 +338,93 @@ def model_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[str, int, i
     its windows' scores, weighted by its distance from the window's ends, and one Viterbi pass
     over the whole region then decides, so a span may be longer than a window.
     """
-    places = [(d, a, b) for d, text in enumerate(texts) for a, b in regions(text)]
-    jobs: list[tuple[int, int]] = []  # (region, start)
-    for r, (_, a, b) in enumerate(places):
-        starts = list(range(a, max(b - WINDOW, a) + 1, STRIDE))
-        if starts[-1] + WINDOW < b:
-            starts.append(b - WINDOW)
-        jobs += [(r, s) for s in starts]
+    found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    group: list[tuple[int, int, int]] = []
+    size = 0
+    for d, text in enumerate(texts):
+        for a, b in regions(text):
+            if b - a > REGION_CHARS:
+                found[d] += _long_region(tagger, text, a, b)
+                continue
+            if size + b - a > REGION_CHARS:
+                _regions_together(tagger, texts, group, found)
+                group, size = [], 0
+            group.append((d, a, b))
+            size += b - a
+    _regions_together(tagger, texts, group, found)
+    return [sorted(spans, key=lambda s: s[1]) for spans in found]
+
+
+def _starts(a: int, b: int) -> list[int]:
+    """Window starts of a region."""
+    starts = list(range(a, max(b - WINDOW, a) + 1, STRIDE))
+    if starts[-1] + WINDOW < b:
+        starts.append(b - WINDOW)
+    return starts
+
+
+def _merged(
+    tagger: Tagger, texts: list[str], places: list[tuple[int, int, int]], jobs: Iterable[tuple[int, int, int]]
+) -> list[np.ndarray]:
+    """Merged scores of stretches (text, a, b) from windows (stretch, start, end of the region)."""
     weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)[:, None]
     sums = [np.zeros((b - a, N_TAGS), np.float32) for _, a, b in places]
     mass = [np.zeros((b - a, 1), np.float32) for _, a, b in places]
-    coded: dict[int, np.ndarray] = {}
+    jobs = list(jobs)
     for at in range(0, len(jobs), DECODE_BATCH):
         some = jobs[at : at + DECODE_BATCH]
         ids = np.full((len(some), WINDOW), 29, np.int64)  # padded with line ends
-        for i, (r, s) in enumerate(some):
-            d, _, b = places[r]
-            if d not in coded:
-                coded = {d: symbols(texts[d])}
-            part = coded[d][s : min(s + WINDOW, b)]
+        for i, (r, s, limit) in enumerate(some):
+            part = symbols(texts[places[r][0]][s : min(s + WINDOW, limit)])
             ids[i, : len(part)] = part
         scores = tagger.emissions(ids)
-        for i, (r, s) in enumerate(some):
+        for i, (r, s, limit) in enumerate(some):
             _, a, b = places[r]
-            n = min(s + WINDOW, b) - s
-            sums[r][s - a : s - a + n] += scores[i, :n] * weight[:n]
-            mass[r][s - a : s - a + n] += weight[:n]
-    merged = [x / np.maximum(w, 1) for x, w in zip(sums, mass)]
-    found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+            low, high = max(s, a), min(s + WINDOW, limit, b)
+            sums[r][low - a : high - a] += scores[i, low - s : high - s] * weight[low - s : high - s]
+            mass[r][low - a : high - a] += weight[low - s : high - s]
+    return [x / np.maximum(w, 1) for x, w in zip(sums, mass)]
+
+
+def _chance(scores: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    chance = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return (chance / chance.sum(axis=1, keepdims=True))[np.arange(len(tags)), tags]
+
+
+def _spans_of(text: str, a: int, tags: np.ndarray, chance: np.ndarray) -> list[tuple[str, int, int]]:
+    out, kind = [], (tags + 1) // 2
+    for s in np.flatnonzero((tags > 0) & ((tags % 2 == 1) | (np.r_[0, kind[:-1]] != kind))):
+        e = s + 1
+        while e < len(tags) and tags[e] == 2 * kind[s]:
+            e += 1
+        if chance[s:e].mean() >= CONFIDENCE and _TRIGGER.search(text, a + int(s), a + int(e)):
+            out.append((KINDS[kind[s] - 1], a + int(s), a + int(e)))
+    return out
+
+
+def _regions_together(tagger: Tagger, texts: list[str], places: list[tuple[int, int, int]], found: list[list]) -> None:
+    merged = _merged(tagger, texts, places, [(r, s, b) for r, (_, a, b) in enumerate(places) for s in _starts(a, b)])
     for (d, a, _), tags, scores in zip(places, tagger.decode(merged), merged):
-        if not tags.any():
-            continue
-        chance = np.exp(scores - scores.max(axis=1, keepdims=True))
-        chance = (chance / chance.sum(axis=1, keepdims=True))[np.arange(len(tags)), tags]
-        kind = (tags + 1) // 2
-        starts = np.flatnonzero((tags > 0) & ((tags % 2 == 1) | (np.r_[0, kind[:-1]] != kind)))
-        for s in starts:
-            e = s + 1
-            while e < len(tags) and tags[e] == 2 * kind[s]:
-                e += 1
-            if chance[s:e].mean() >= CONFIDENCE and _TRIGGER.search(texts[d], a + int(s), a + int(e)):
-                found[d].append((KINDS[kind[s] - 1], a + int(s), a + int(e)))
-    return found
+        if tags.any():
+            found[d] += _spans_of(texts[d], a, tags, _chance(scores, tags))
+
+
+def _long_region(tagger: Tagger, text: str, a: int, b: int) -> list[tuple[str, int, int]]:
+    """Spans of a region that is scored block by block; only tags, back-pointers and chances are held whole."""
+    starts = np.array(_starts(a, b))
+    blocks = [(low, min(low + REGION_CHARS, b)) for low in range(a, b, REGION_CHARS)]
+
+    def scores(low: int, high: int) -> np.ndarray:
+        mine = starts[np.searchsorted(starts, low - WINDOW, "right") : np.searchsorted(starts, high)]
+        return _merged(tagger, [text], [(0, low, high)], [(0, int(s), b) for s in mine])[0]
+
+    tags = tagger.decode_blocks(scores(*block) for block in blocks)
+    chance = np.zeros(len(tags), np.float32)
+    for low, high in blocks:
+        own = tags[low - a : high - a]
+        if own.any():
+            chance[low - a : high - a] = _chance(scores(low, high), own)
+    return _spans_of(text, a, tags, chance)
 
 
 def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tagger | None:

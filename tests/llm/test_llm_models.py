@@ -224,6 +224,31 @@ def test_the_trained_tagger_finds_held_out_spans():
     assert hits >= 0.8 * sum(map(len, base)) and hits >= 0.8 * sum(map(len, found))
 
 
+def test_a_long_region_is_not_padded_to_by_short_ones():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    scores = [rng.normal(0, 1, (n, pii.N_TAGS)).astype(np.float32) for n in [30_000, *[66] * 255]]
+    tracemalloc.start()
+    tags = pii.Tagger.new().decode(scores)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [len(t) for t in tags] == [len(s) for s in scores] and peak < 40 << 20
+
+
+def test_regions_read_in_blocks_give_the_same_spans(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("0123456789 .-+@ab") for _ in range(n)) for n in (3000, 700, 90)] + ["no span", "a 1"]
+    tagger = pii.Tagger.new()
+    monkeypatch.setattr(pii, "CONFIDENCE", 0.0)
+    whole = pii.model_spans(tagger, texts)
+    scores = [np.random.default_rng(1).normal(0, 1, (500, pii.N_TAGS)).astype(np.float32)]
+    blocks = tagger.decode_blocks(scores[0][a : a + 70] for a in range(0, 500, 70))
+    assert (blocks == tagger.decode(scores)[0]).all() and blocks.any()
+    monkeypatch.setattr(pii, "REGION_CHARS", 200)
+    assert pii.model_spans(tagger, texts) == whole and any(whole)
+
+
 def test_pii_bears_odd_rows_and_redacts(spark):
     docs = odd_docs(spark)
     got = pii.find_pii(docs, pii.fit_pii(docs)).collect()
