@@ -293,6 +293,30 @@ def test_the_sample_meets_given_targets(spark):
     assert rows(got) == rows(mixture.mix_sources(docs.repartition(5), want, share=0.4).select(*["row.doc_id", "row.lang"], "tokens", "probability", "weight", "sampled"))
 
 
+@pytest.mark.parametrize("driver_cells", [50_000, 10])
+def test_every_source_meets_its_own_target(spark, monkeypatch, driver_cells):
+    """More sources than were kept apart before, raked on the driver and in Spark."""
+    monkeypatch.setattr(mixture, "DRIVER_CELLS", driver_cells, raising=False)
+    docs = spark.createDataFrame(
+        [(i, "wonderful language " * (1 + i % 300 // 20), "en", f"s{i % 300}") for i in range(900)],
+        "doc_id bigint, text string, lang string, source string",
+    )
+    got = mixture.mix_sources(docs, share=0.01).select("row.doc_id", "row.source", "tokens", "probability", "weight").toPandas()
+    assert sorted(got.doc_id) == list(range(900))
+    mass = got.tokens.groupby(got.source).sum()
+    expected = (got.tokens * got.probability * got.weight).groupby(got.source).sum()
+    assert np.allclose(expected / expected.sum(), mass**0.5 / (mass**0.5).sum(), atol=1e-9)
+    assert abs(expected.sum() / mass.sum() - 0.01) < 1e-9
+
+
+def test_unmet_marginals_are_told(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b", "en", "x"), (2, "c d", "de", "y")], "doc_id bigint, text string, lang string, source string"
+    )
+    with pytest.warns(UserWarning, match="off its target"):
+        mixture.mix_sources(docs, {"lang": {"en": 0.9, "de": 0.1}, "source": {"x": 0.1, "y": 0.9}})
+
+
 def test_mixture_bears_odd_rows(spark):
     got = mixture.mix_sources(odd_docs(spark)).collect()
     assert len(got) == len(odd_rows()) and {r["row"]["tokens"] for r in got} == {2}
