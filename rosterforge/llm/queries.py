@@ -16,6 +16,7 @@ from rosterforge.llm.pii import find_pii, fit_pii
 from rosterforge.llm.secrets import find_secrets, identifier_dictionary
 from rosterforge.llm.simhash import simhash_components
 from rosterforge.llm.substrings import remove_repeats
+from rosterforge.llm.survival import filter_audit
 from rosterforge.llm.toxicity import fit_toxicity, score_toxicity
 from rosterforge.llm.warc import archive_round_trip
 
@@ -74,6 +75,10 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_substrings": op8_repeated_substrings,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixture": op10_mixture,
+    "op13_filter_audit": op13_filter_audit,
 }
 ORACLE: dict[str, str] = {
     "op3_warc": """
@@ -99,4 +105,50 @@ ORACLE: dict[str, str] = {
             CASE WHEN first_id < page_id THEN first_id END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)
     """,
+    "op13_filter_audit": """
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents
+        ), flags AS (
+            SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS bad
+            FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+        ), judged AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad, [
+                len(words) < 200,
+                100 * len(list_distinct(words)) < 50 * len(words),
+                100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+                regexp_matches(t, '[#$%&*|]'),
+                coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)
+            ] AS fails
+            FROM d LEFT JOIN flags USING (doc_id)
+        ), letters AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+        ), orders AS (
+            SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+        ), steps AS (
+            SELECT filter_order, step, filter_order[step] AS f,
+                [ord(x) - 64 FOR x IN string_split(filter_order[:step - 1], '') IF x <> ''] AS earlier
+            FROM orders, (SELECT unnest([1, 2, 3, 4, 5])::INT AS step)
+        ), patterns AS (
+            SELECT part, fails, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM judged GROUP BY ALL
+        ), met AS (
+            SELECT part, filter_order, step, f, n, good, bad, fails[ord(f) - 64] AS own,
+                len([x FOR x IN earlier IF fails[x]]) > 0 AS gone, len([x FOR x IN fails IF x]) AS failed
+            FROM patterns, steps
+        ), counted AS (
+            SELECT part, filter_order, step, f,
+                sum(n) FILTER (NOT gone AND NOT own) AS kept, sum(n) FILTER (NOT gone AND own) AS removed,
+                sum(n) FILTER (gone AND own) AS redundant, sum(n) FILTER (own AND failed = 1) AS unique_fails,
+                sum(good) FILTER (NOT gone AND own) AS good_lost, sum(bad) FILTER (NOT gone AND own) AS toxic_lost
+            FROM met GROUP BY ALL
+        )
+        SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+            coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+            coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+            coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+        FROM counted
+    """,
 }
