@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from rosterforge.llm.common import crc_mod, table
 from rosterforge.llm.decontaminate import contaminated
 from rosterforge.llm.langid import fit_langid, predict_languages
+from rosterforge.llm.minhash import minhash_components
 from rosterforge.llm.mixture import mix_sources
 from rosterforge.llm.neighbours import nearest_neighbours
+from rosterforge.llm.phrases import mine_phrases
 from rosterforge.llm.pii import find_pii, fit_pii
 from rosterforge.llm.secrets import find_secrets, identifier_dictionary
 from rosterforge.llm.simhash import simhash_components
@@ -75,6 +77,14 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_components(table(spark, sf_dir, "documents"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -90,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_substrings": op8_repeated_substrings,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixture": op10_mixture,
+    "op11_minhash_dedup": op11_minhash_dedup,
+    "op12_phrases": op12_phrases,
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLE: dict[str, str] = {
@@ -105,6 +117,85 @@ ORACLE: dict[str, str] = {
             CASE WHEN first_id < page_id THEN first_id END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)
     """,
+    "op11_minhash_dedup": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+            ), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws
+                ELSE list_distinct([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) END AS shingles
+            FROM w
+        ), classes AS (
+            SELECT min(doc_id) AS cls, any_value(list_sort(shingles)) AS shingles, len(any_value(shingles)) AS n
+            FROM sets WHERE len(shingles) > 0 GROUP BY list_sort(shingles)
+        ), postings AS (
+            SELECT cls, n, unnest(shingles) AS shingle FROM classes
+        ), links AS (
+            SELECT a.cls AS x, b.cls AS y FROM postings a JOIN postings b ON a.shingle = b.shingle AND a.cls < b.cls
+                AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY a.cls, b.cls, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), both_ways AS (
+            SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+        ), reached AS (
+            SELECT cls AS node, cls AS root FROM classes
+            UNION
+            SELECT y, root FROM reached JOIN both_ways ON node = x AND root < y
+        ), roots AS (
+            SELECT node, min(root) AS root FROM reached GROUP BY node
+        ), named AS (
+            SELECT shingles, root FROM classes JOIN roots ON cls = node
+        )
+        SELECT doc_id, coalesce(len(s.shingles), 0) AS n_shingles, coalesce(root, doc_id) AS component_id,
+            doc_id = coalesce(root, doc_id) AS kept
+        FROM sets s LEFT JOIN named ON list_sort(s.shingles) = named.shingles
+    """,
+    "op12_phrases": """
+        WITH pieces AS (
+            SELECT lang, [w FOR w IN regexp_split_to_array(piece, '[ \\t]+') IF w <> ''] AS ws FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+                    text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+                ), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+            )
+        ), places AS (
+            SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces
+        ), f1 AS (
+            SELECT lang, ws[i] AS u, count(*) AS f FROM places GROUP BY ALL
+        ), f2 AS (
+            SELECT lang, ws[i] AS u, ws[i + 1] AS v, count(*) AS f FROM places WHERE i + 1 <= len(ws) GROUP BY ALL
+            HAVING count(*) >= 10
+        ), f3 AS (
+            SELECT lang, ws[i] AS u, ws[i + 1] AS v, ws[i + 2] AS w, count(*) AS f FROM places WHERE i + 2 <= len(ws)
+            GROUP BY ALL HAVING count(*) >= 10
+        ), longer AS (
+            SELECT lang, u, v, max(f) AS most FROM (
+                SELECT lang, u, v, f FROM f3 UNION ALL SELECT lang, v, w, f FROM f3
+            ) GROUP BY ALL
+        ), cuts AS (
+            SELECT f2.lang, f2.u || ' ' || f2.v AS phrase, f2.f AS a, x.f AS l, y.f AS r, 1 AS k
+            FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.u = f2.u JOIN f1 y ON y.lang = f2.lang AND y.u = f2.v
+            LEFT JOIN longer ON longer.lang = f2.lang AND longer.u = f2.u AND longer.v = f2.v
+            WHERE coalesce(100 * most < 50 * f2.f, true)
+            UNION ALL
+            SELECT f3.lang, f3.u || ' ' || f3.v || ' ' || f3.w, f3.f, x.f, y.f, 1
+            FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.u = f3.u
+            JOIN f2 y ON y.lang = f3.lang AND y.u = f3.v AND y.v = f3.w
+            UNION ALL
+            SELECT f3.lang, f3.u || ' ' || f3.v || ' ' || f3.w, f3.f, x.f, y.f, 2
+            FROM f3 JOIN f2 x ON x.lang = f3.lang AND x.u = f3.u AND x.v = f3.v
+            JOIN f1 y ON y.lang = f3.lang AND y.u = f3.w
+        ), scored AS (
+            SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+        ), weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+            phrase, a, l, r, n, score
+        FROM weakest JOIN totals USING (lang)
+        QUALIFY rank <= 2000
+    """,
     "op13_filter_audit": """
         WITH d AS (
             SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
