@@ -26,6 +26,7 @@ CROWD_BITS = 16            # postings are counted in 65,536 cells, which fixes t
 SLICE_ROWS = 100_000       # postings of a list that one task reads in a row
 BLOCK = 1024               # sets of a list that meet in one unit of work
 UNIT_ROWS = 100_000        # rows of units handled by one task
+PAIRS = 1 << 18            # pairs of a task whose agreements are counted together
 FILTER_BITS = 24           # bits that tell rows whose text may be needed
 CACHE_WORDS = 300_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -234,50 +235,66 @@ def _units(lists: DataFrame) -> DataFrame:
     )
 
 
-def unit_pairs(cls: np.ndarray, own: np.ndarray, comp: np.ndarray, low: np.ndarray, whole: bool):
-    """Pairs (i, j, agreements) of rows in different components that may agree in AGREE coordinates.
+def unit_pairs(unit: np.ndarray, own: np.ndarray, comp: np.ndarray, low: np.ndarray, whole: bool):
+    """Rows (i, j, agreements) of one unit and different components that may agree in AGREE coordinates.
 
-    With `whole` every such pair, else for each row the one it agrees with most.
+    Rows are sorted by unit. With `whole` every such pair comes once, else for each row i the row j
+    it agrees with most. All units are worked through together, PAIRS pairs at a time.
     """
+    n = len(unit)
+    starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+    ends = np.append(starts[1:], n)
+    sizes = ends - starts
+    # pairs inside a slice meet in the slice's own unit
+    across = np.repeat(np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts), sizes)
+    later = np.repeat(ends, sizes) - np.arange(n) - 1
+    before = np.cumsum(later) - later
+    best = np.full(n, -1, np.int64)  # agreements and the partner in one number
     out = []
-    step = max(1, (1 << 18) // max(1, len(cls)))
-    inside = len(np.unique(own)) == 1
-    for at in range(0, len(cls), step):
-        i, j = np.nonzero(comp[at : at + step, None] != comp[None, :])
-        i = i + at
-        keep = (i < j) if whole else np.ones(len(i), bool)
-        if not inside:  # pairs inside a slice meet in the slice's own unit
-            keep &= own[i] != own[j]
+    for at in range(0, int(later.sum()), PAIRS):
+        entry = np.arange(at, min(at + PAIRS, int(later.sum())))
+        i = np.searchsorted(before, entry, side="right") - 1
+        j = i + 1 + entry - before[i]
+        keep = (comp[i] != comp[j]) & (~across[i] | (own[i] != own[j]))
         i, j = i[keep], j[keep]
         agree = _agreements(low[i], low[j])
         hit = agree > 0
         i, j, agree = i[hit], j[hit], agree[hit]
-        if not whole and len(i):
-            order = np.lexsort((j, -agree, i))
-            best = order[np.r_[True, np.diff(i[order]) > 0]]
-            i, j, agree = i[best], j[best], agree[best]
-        out.append((i, j, agree))
-    return tuple(np.concatenate(x) for x in zip(*out))
+        if whole:
+            out.append((i, j, agree))
+        else:
+            np.maximum.at(best, i, agree << 40 | j)
+            np.maximum.at(best, j, agree << 40 | i)
+    if not whole:
+        i = np.flatnonzero(best >= 0)
+        return i, best[i] & ((1 << 40) - 1), best[i] >> 40
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
 def _pairs_across(lists: DataFrame, whole: bool) -> DataFrame:
-    """(a, b, agree) with a < b: candidates between components, each pair once."""
+    """(a, b, agree) with a < b: candidates between components, each pair once.
+
+    With `whole` all of them, else the best of every class.
+    """
     units = stored(_units(lists), "minhash_units")
     n_parts = parts_for(units.count(), UNIT_ROWS)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, rows in pdf.groupby("unit", sort=False):
-            cls = rows["cls"].to_numpy()
-            low = np.frombuffer(b"".join(rows["low"]), np.uint8).reshape(-1, COORDINATES)
-            comp = pd.factorize(rows["comp"])[0]
-            i, j, agree = unit_pairs(cls, rows["own"].to_numpy(), comp, low, whole)
-            out.append(pd.DataFrame({"a": cls[i], "b": cls[j], "agree": agree.astype(np.int32)}))
-        return pd.concat(out)
+        pdf = pdf.sort_values("unit", kind="stable")
+        cls = pdf["cls"].to_numpy()
+        low = np.frombuffer(b"".join(pdf["low"]), np.uint8).reshape(-1, COORDINATES)
+        comp = pd.factorize(pdf["comp"])[0]
+        i, j, agree = unit_pairs(pdf["unit"].to_numpy(), pdf["own"].to_numpy(), comp, low, whole)
+        return pd.DataFrame({"a": cls[i], "b": cls[j], "agree": agree.astype(np.int32)})
 
     part = F.pmod(F.xxhash64("unit"), F.lit(n_parts))
     found = units.withColumn("part", part).groupBy("part").applyInPandas(run, "a binary, b binary, agree int")
-    return _pairs(found)
+    return _pairs(found if whole else _best(found))
+
+
+def _best(found: DataFrame) -> DataFrame:
+    """Of each class `a` the partner it agrees with most."""
+    return found.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"), F.max("agree").alias("agree"))
 
 
 def _pairs(found: DataFrame) -> DataFrame:
@@ -372,10 +389,8 @@ def minhash_components(
         sets = stored(_sets(docs, classes.join(either, "cls"), id_col, text_col, width), "minhash_sets")
         return _confirmed(pairs, sets, percent)
 
-    best = lists.filter("leader IS NOT NULL").groupBy(F.col("cls").alias("a")).agg(
-        F.max_by("leader", F.struct("agree", "leader")).alias("b"), F.max("agree").alias("agree")
-    )
-    tried = stored(confirmed(_pairs(best)), "minhash_tried")
+    led = lists.filter("leader IS NOT NULL").select(F.col("cls").alias("a"), F.col("leader").alias("b"), "agree")
+    tried = stored(confirmed(_pairs(_best(led))), "minhash_tried")
     for whole in (False, True):
         roots = connected_components(tried.filter("linked"), "a", "b")
         placed = lists.drop("leader", "agree").join(roots, lists["cls"] == roots["node"], "left").select(

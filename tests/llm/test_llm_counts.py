@@ -171,6 +171,7 @@ def test_minhash_links_of_chains_and_crowds(spark, monkeypatch, sliced):
         monkeypatch.setattr(minhash, "SLICE_ROWS", 7)
         monkeypatch.setattr(minhash, "BLOCK", 16)
         monkeypatch.setattr(minhash, "UNIT_ROWS", 100)
+        monkeypatch.setattr(minhash, "PAIRS", 50)
     rng = random.Random(3)
     common = [f"c{i}" for i in range(30)]
     texts = []
