@@ -133,11 +133,37 @@ def _crowds(classes: DataFrame) -> np.ndarray:
     return out
 
 
+def _lows(sigs: np.ndarray) -> np.ndarray:
+    """The last four bits of every coordinate, two to a byte: enough to count agreements from above."""
+    low = (sigs & np.uint32(15)).astype(np.uint8)
+    return low[:, 0::2] | low[:, 1::2] << np.uint8(4)
+
+
+def _bytes(rows: np.ndarray) -> pa.Array:
+    """One binary value per row."""
+    flat = pa.py_buffer(np.ascontiguousarray(rows))
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(rows.shape[1]), len(rows), [None, flat]).cast(pa.binary())
+
+
+def _read_lows(values) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint8).reshape(-1, COORDINATES // 2)
+
+
+def _class_lows(classes: DataFrame) -> DataFrame:
+    """(cls, low) of every class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0), _bytes(_lows(_read_sigs(batch.column(1))))], ["cls", "low"])
+
+    return classes.select("cls", "sig").mapInArrow(run, "cls binary, low binary")
+
+
 def _postings(classes: DataFrame, crowds: np.ndarray) -> DataFrame:
     """(token, slice, cls, low): each set under the rarest PREFIX of its coordinate-value pairs.
 
-    `low` is the last byte of every coordinate: enough to count agreements from above. Tokens in
-    crowded cells are cut into slices 1, 2 and so on, so no list must pass one task whole.
+    Tokens in crowded cells are cut into slices 1, 2 and so on, so no list must pass one task whole.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,19 +178,17 @@ def _postings(classes: DataFrame, crowds: np.ndarray) -> DataFrame:
             picked, crowd = (np.take_along_axis(x, first, axis=1).ravel() for x in (tokens, crowd))
             at = np.repeat(np.arange(len(sigs)), PREFIX)
             own = np.frombuffer(b"".join(c[:4] for c in batch.column(0).to_pylist()), np.uint32)[at]
-            low = np.ascontiguousarray(sigs.astype(np.uint8)).view(f"S{COORDINATES}")
-            lows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(COORDINATES), len(sigs), [None, pa.py_buffer(low)])
             slices = -(-crowd // SLICE_ROWS)
             yield pa.RecordBatch.from_arrays([
                 pa.array(picked.view(np.int64)), pa.array(np.where(slices > 1, 1 + own % slices, 0).astype(np.int32)),
-                batch.column(0).take(pa.array(at)), lows.cast(pa.binary()).take(pa.array(at)),
+                batch.column(0).take(pa.array(at)), _bytes(_lows(sigs)).take(pa.array(at)),
             ], ["token", "slice", "cls", "low"])
 
     return classes.select("cls", "sig").mapInArrow(run, "token bigint, slice int, cls binary, low binary")
 
 
 def _agreements(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Equal coordinates of rows of a and b, 0 as soon as AGREE is out of reach.
+    """Coordinates in which rows of a and b may agree, 0 as soon as AGREE is out of reach.
 
     The coordinates are merged sixteen at a time; rows that cannot reach AGREE any more are
     skipped by the blocks that follow.
@@ -172,27 +196,30 @@ def _agreements(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     found = np.zeros(len(a), np.int64)
     alive = np.arange(len(a))
     for low in range(0, COORDINATES, 16):
-        found[alive] += (a[alive, low : low + 16] == b[alive, low : low + 16]).sum(axis=1)
+        half = slice(low // 2, low // 2 + 8)
+        differ = a[alive, half] ^ b[alive, half]
+        found[alive] += (differ & 15 == 0).sum(axis=1) + (differ < 16).sum(axis=1)
         alive = alive[found[alive] + COORDINATES - low - 16 >= AGREE]
     return np.where(found >= AGREE, found, 0)
 
 
 def _lists(postings: DataFrame, n_parts: int) -> DataFrame:
-    """(token, cls, low, leader, agree): the rows of all lists with two sets or more, and of all slices.
+    """(token, cls, is_long, leader, agree): the rows of all lists with two sets or more, and of all slices.
 
     Sorted lists are streamed. The first set of a list or slice leads it, and each other row tells
-    in how many coordinates it agrees with its leader; nothing but the leader is held.
+    in how many coordinates it agrees with its leader; nothing but the leader is held. `is_long`
+    marks the rows of slices and those beyond the first BLOCK of a list.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["token", "cls", "low", "leader", "agree"]
-        key, lead, lead_low, told, waiting = None, None, None, True, None
+        names = ["token", "cls", "is_long", "leader", "agree"]
+        key, lead, lead_low, told, waiting, length = None, None, None, True, None, 0
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
             keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in (0, 1)], axis=1)
-            low = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(n, COORDINATES)
+            low = _read_lows(batch.column(3).to_pylist())
             new = np.r_[key is None or tuple(keys[0]) != key, (keys[1:] != keys[:-1]).any(axis=1)]
             if not new[0] and not told:
                 yield waiting
@@ -205,7 +232,10 @@ def _lists(postings: DataFrame, n_parts: int) -> DataFrame:
             leads = pc.if_else(pa.array(agree > 0), leads, pa.scalar(None, pa.binary()))
             open_end = bool(new[-1] and not keys[-1, 1])  # the last row may turn out to be alone
             alone = new & np.r_[new[1:], open_end] & (keys[:, 1] == 0)
-            rows = pa.RecordBatch.from_arrays([batch.column(0), cls, batch.column(3), leads, pa.array(agree)], names)
+            place = np.arange(n) - np.where(starts >= 0, starts, -length)
+            is_long = pa.array((place >= BLOCK) | (keys[:, 1] > 0))
+            length = int(place[-1]) + 1
+            rows = pa.RecordBatch.from_arrays([batch.column(0), cls, is_long, leads, pa.array(agree)], names)
             yield rows.filter(pa.array(~alone))
             key, told = tuple(keys[-1]), not open_end
             waiting = rows.slice(n - 1) if open_end else None
@@ -213,26 +243,35 @@ def _lists(postings: DataFrame, n_parts: int) -> DataFrame:
                 lead, lead_low = cls[int(starts[-1])].as_py(), low[starts[-1]].copy()
 
     dealt = postings.repartition(n_parts, "token", "slice").sortWithinPartitions("token", "slice", "cls")
-    return dealt.mapInArrow(run, "token bigint, cls binary, low binary, leader binary, agree int")
+    return dealt.mapInArrow(run, "token bigint, cls binary, is_long boolean, leader binary, agree int")
 
 
-def _units(lists: DataFrame) -> DataFrame:
-    """(unit, own, cls, comp, low): any two sets of a list that stand in different components share a unit.
+def _units(placed: DataFrame, long: DataFrame) -> tuple[DataFrame, int]:
+    """(unit, own, cls, comp, low) and rows added: any two sets of a list in different components share a unit.
 
-    A list of more than BLOCK sets is cut by hash, and every two slices meet in a unit of their own.
+    A list is a unit. One that is `long` is left out if all its sets are in one component; else it is
+    cut by hash into slices of about BLOCK, and every two of them meet in a unit.
     """
-    sizes = lists.groupBy("token").agg(F.count(F.lit(1)).alias("_n"), F.min("comp").alias("_a"), F.max("comp").alias("_b"))
-    slices = F.ceil(F.col("_n") / BLOCK).cast("int")
-    mixed = sizes.filter(F.col("_a") < F.col("_b")).select("token", slices.alias("_k"))
+    plain = placed.select(F.col("token").alias("unit"), F.lit(0).alias("own"), "cls", "comp", "low")
+    if not long.head(1):
+        return plain, 0
+    sizes = placed.join(long, "token").groupBy("token").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("comp").alias("_a"), F.max("comp").alias("_b")
+    )
+    slices = F.when(F.col("_a") < F.col("_b"), F.ceil(F.col("_n") / BLOCK).cast("int")).otherwise(0)
+    sizes = stored(sizes.select("token", slices.alias("_k"), "_n"), "minhash_sizes")
+    added = sizes.agg(F.sum(F.col("_n") * (F.col("_k") - 1))).first()[0] or 0
     own = F.pmod(hash_order("cls", seed=5), F.col("_k")).cast("int")
-    return (
-        lists.join(mixed, "token").withColumn("own", own)
+    cut = (
+        placed.join(sizes.filter("_k > 0"), "token").withColumn("own", own)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
         .select(
             F.xxhash64("token", F.least("own", "_other"), F.greatest("own", "_other")).alias("unit"),
             "own", "cls", "comp", "low",
         )
     )
+    short = placed.join(long, "token", "left_anti")
+    return short.select(F.col("token").alias("unit"), F.lit(0).alias("own"), "cls", "comp", "low").unionByName(cut), added
 
 
 def unit_pairs(unit: np.ndarray, own: np.ndarray, comp: np.ndarray, low: np.ndarray, whole: bool):
@@ -271,18 +310,18 @@ def unit_pairs(unit: np.ndarray, own: np.ndarray, comp: np.ndarray, low: np.ndar
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
-def _pairs_across(lists: DataFrame, whole: bool) -> DataFrame:
+def _pairs_across(lists: DataFrame, long: DataFrame, info: DataFrame, whole: bool) -> DataFrame:
     """(a, b, agree) with a < b: candidates between components, each pair once.
 
-    With `whole` all of them, else the best of every class.
+    With `whole` all of them, else the best of every class. `info` has the low bits and the
+    component of every class.
     """
-    units = stored(_units(lists), "minhash_units")
-    n_parts = parts_for(units.count(), UNIT_ROWS)
+    units, added = _units(lists.select("token", "cls").join(info, "cls"), long)
+    n_parts = parts_for(lists.count() + added, UNIT_ROWS)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("unit", kind="stable")
-        cls = pdf["cls"].to_numpy()
-        low = np.frombuffer(b"".join(pdf["low"]), np.uint8).reshape(-1, COORDINATES)
+        cls, low = pdf["cls"].to_numpy(), _read_lows(pdf["low"])
         comp = pd.factorize(pdf["comp"])[0]
         i, j, agree = unit_pairs(pdf["unit"].to_numpy(), pdf["own"].to_numpy(), comp, low, whole)
         return pd.DataFrame({"a": cls[i], "b": cls[j], "agree": agree.astype(np.int32)})
@@ -380,7 +419,7 @@ def minhash_components(
         signed.filter("n > 0").groupBy("cls").agg(F.min(rep).alias("rep"), F.min("sig").alias("sig")), "minhash_classes"
     )
     postings = _postings(classes, _crowds(classes))
-    n_parts = parts_for(classes.count() * PREFIX * 90, 2 * BATCH_BYTES)
+    n_parts = parts_for(classes.count() * PREFIX * 60, 2 * BATCH_BYTES)
     lists = stored(_lists(postings, max(n_parts, int(spark.conf.get("spark.sql.shuffle.partitions")))), "minhash_lists")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -391,12 +430,14 @@ def minhash_components(
 
     led = lists.filter("leader IS NOT NULL").select(F.col("cls").alias("a"), F.col("leader").alias("b"), "agree")
     tried = stored(confirmed(_pairs(_best(led))), "minhash_tried")
+    lows = stored(_class_lows(classes), "minhash_lows")
+    long = stored(lists.filter("is_long").select("token").distinct(), "minhash_long")
     for whole in (False, True):
         roots = connected_components(tried.filter("linked"), "a", "b")
-        placed = lists.drop("leader", "agree").join(roots, lists["cls"] == roots["node"], "left").select(
-            "token", "cls", "low", F.coalesce("root", "cls").alias("comp")
+        info = lows.join(roots, lows["cls"] == roots["node"], "left").select(
+            "cls", "low", F.coalesce("root", "cls").alias("comp")
         )
-        left = _pairs_across(stored(placed, "minhash_placed"), whole).join(tried, ["a", "b"], "left_anti")
+        left = _pairs_across(lists, long, stored(info, "minhash_info"), whole).join(tried, ["a", "b"], "left_anti")
         tried = stored(tried.unionByName(confirmed(left)), "minhash_tried")
     roots = connected_components(tried.filter("linked"), "a", "b")
     rooted = classes.join(roots, classes["cls"] == roots["node"], "left").select(

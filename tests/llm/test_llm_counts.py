@@ -164,11 +164,12 @@ def test_minhash_bears_odd_rows(spark, monkeypatch):
         minhash.minhash_components(odd_docs(spark), percent=70)
 
 
-@pytest.mark.parametrize("sliced", [False, True])
-def test_minhash_links_of_chains_and_crowds(spark, monkeypatch, sliced):
+@pytest.mark.parametrize("cut", ["", "long", "sliced"])
+def test_minhash_links_of_chains_and_crowds(spark, monkeypatch, cut):
     """Chains of edits, a star whose copies are far from each other, one very large group, strangers, ties."""
-    if sliced:  # every cell is crowded, every list is cut, every unit is small
+    if cut == "sliced":  # every cell is crowded, every list is cut
         monkeypatch.setattr(minhash, "SLICE_ROWS", 7)
+    if cut:  # every unit is small
         monkeypatch.setattr(minhash, "BLOCK", 16)
         monkeypatch.setattr(minhash, "UNIT_ROWS", 100)
         monkeypatch.setattr(minhash, "PAIRS", 50)
@@ -205,7 +206,7 @@ def test_sets_that_agree_share_a_prefix(same, seed):
     crowd = rng.integers(0, 5, 1 << minhash.CROWD_BITS)[minhash._cells(tokens)]
     first = np.lexsort((tokens, crowd), axis=1)[:, : minhash.PREFIX]
     shared = set(tokens[0, first[0]].tolist()) & set(tokens[1, first[1]].tolist())
-    low = sigs.astype(np.uint8)
+    low = minhash._lows(sigs)
     counted = minhash._agreements(low[:1], low[1:])[0]
     assert (counted >= same) if same >= minhash.AGREE else (counted == 0 or counted >= minhash.AGREE)
     assert shared or same < minhash.AGREE
