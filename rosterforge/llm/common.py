@@ -52,6 +52,19 @@ def hash_order(*cols: str, seed: int = 0) -> Column:
     return F.xxhash64(*cols, F.lit(seed))
 
 
+def rows_that_may_match(rows: DataFrame, wanted: DataFrame, *keys: str, bits: int = 24) -> DataFrame:
+    """The rows whose keys may be among the wanted ones: a cheap sieve ahead of a join that shuffles texts.
+
+    The wanted keys set 2**bits bits, a table of at most a quarter of a million numbers that is broadcast,
+    whatever the sizes of the two sides. A bit set by chance lets one more row pass.
+    """
+    cell = F.shiftrightunsigned(F.xxhash64(*keys), 64 - bits)
+    at, bit = F.shiftright(cell, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), cell.bitwiseAND(63).cast("int"))
+    table = wanted.select(at.alias("_at"), bit.alias("_bit")).groupBy("_at").agg(F.bit_or("_bit").alias("_bits"))
+    found = rows.join(F.broadcast(table), at == table["_at"]).filter(F.col("_bits").bitwiseAND(bit) != 0)
+    return found.drop("_at", "_bits")
+
+
 def parts_for(rows: int, per_part: int) -> int:
     return max(1, -(-int(rows) // per_part))
 

@@ -12,7 +12,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.llm.common import BATCH_BYTES, hash_order, id_schema, parts_for, pieces, small_batches
+from rosterforge.llm.common import (
+    BATCH_BYTES, hash_order, id_schema, parts_for, pieces, rows_that_may_match, small_batches,
+)
 from rosterforge.llm.components import connected_components
 from rosterforge.sources.staging import stored
 
@@ -27,7 +29,8 @@ SLICE_ROWS = 100_000       # postings of a list that one task reads in a row
 BLOCK = 1024               # sets of a list that meet in one unit of work
 UNIT_ROWS = 100_000        # rows of units handled by one task
 PAIRS = 1 << 18            # pairs of a task whose agreements are counted together
-FILTER_BITS = 24           # bits that tell rows whose text may be needed
+BLOCK_SHINGLES = 1 << 21   # shingles of sets that meet in one unit of work, and of a task
+COLUMNS = 2048             # shingles that are counted in one product
 CACHE_WORDS = 300_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -274,11 +277,29 @@ def _units(placed: DataFrame, long: DataFrame) -> tuple[DataFrame, int]:
     return short.select(F.col("token").alias("unit"), F.lit(0).alias("own"), "cls", "comp", "low").unionByName(cut), added
 
 
-def unit_pairs(unit: np.ndarray, own: np.ndarray, comp: np.ndarray, low: np.ndarray, whole: bool):
-    """Rows (i, j, agreements) of one unit and different components that may agree in AGREE coordinates.
+def forest(comp: np.ndarray, i: np.ndarray, j: np.ndarray, weight: np.ndarray):
+    """(pairs, components): of the pairs (i, j) as many as join all components they join, heaviest first.
 
-    Rows are sorted by unit. With `whole` every such pair comes once, else for each row i the row j
-    it agrees with most. All units are worked through together, PAIRS pairs at a time.
+    There are fewer pairs than components, however many are given.
+    """
+    taken = []
+    rest = np.flatnonzero(comp[i] != comp[j])
+    while len(rest):
+        # each component takes its best pair; what they join is one component from here on
+        best = np.full(int(comp.max()) + 1, -1, np.int64)
+        rank = weight[rest].astype(np.int64) << 32 | np.arange(len(rest))
+        np.maximum.at(best, comp[i[rest]], rank)
+        np.maximum.at(best, comp[j[rest]], rank)
+        taken.append(rest[np.unique(best[best >= 0] & ((1 << 32) - 1))])
+        comp = _joined(comp, comp[i[taken[-1]]], comp[j[taken[-1]]])
+        rest = rest[comp[i[rest]] != comp[j[rest]]]
+    return np.concatenate(taken) if taken else np.zeros(0, np.int64), comp
+
+
+def unit_pairs(unit: np.ndarray, own: np.ndarray, comp: np.ndarray, low: np.ndarray):
+    """Rows (i, j): a forest of the pairs of one unit that may agree in AGREE coordinates.
+
+    Rows are sorted by unit. All units are worked through together, PAIRS pairs at a time.
     """
     n = len(unit)
     starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
@@ -288,47 +309,112 @@ def unit_pairs(unit: np.ndarray, own: np.ndarray, comp: np.ndarray, low: np.ndar
     across = np.repeat(np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts), sizes)
     later = np.repeat(ends, sizes) - np.arange(n) - 1
     before = np.cumsum(later) - later
-    best = np.full(n, -1, np.int64)  # agreements and the partner in one number
-    out = []
-    for at in range(0, int(later.sum()), PAIRS):
-        entry = np.arange(at, min(at + PAIRS, int(later.sum())))
+    total, out = int(later.sum()), [(np.zeros(0, np.int64),) * 2]
+    for at in range(0, total, PAIRS):
+        entry = np.arange(at, min(at + PAIRS, total))
         i = np.searchsorted(before, entry, side="right") - 1
         j = i + 1 + entry - before[i]
         keep = (comp[i] != comp[j]) & (~across[i] | (own[i] != own[j]))
         i, j = i[keep], j[keep]
         agree = _agreements(low[i], low[j])
-        hit = agree > 0
-        i, j, agree = i[hit], j[hit], agree[hit]
-        if whole:
-            out.append((i, j, agree))
-        else:
-            np.maximum.at(best, i, agree << 40 | j)
-            np.maximum.at(best, j, agree << 40 | i)
-    if not whole:
-        i = np.flatnonzero(best >= 0)
-        return i, best[i] & ((1 << 40) - 1), best[i] >> 40
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
-
-
-def _pairs_across(lists: DataFrame, long: DataFrame, info: DataFrame, whole: bool) -> DataFrame:
-    """(a, b, agree) with a < b: candidates between components, each pair once.
-
-    With `whole` all of them, else the best of every class. `info` has the low bits and the
-    component of every class.
+        hit = np.flatnonzero(agree)
+        taken, comp = forest(comp, i[hit], j[hit], agree[hit])
+        out.append((i[hit][taken], j[hit][taken]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def family_links(sets: list[np.ndarray], own: np.ndarray, comp: np.ndarray, percent: int):
+    """Rows (i, j): a forest of the pairs of a family whose full sets reach the similarity.
+
+    The sets become the rows of a matrix of ones and zeros, a stretch of shingles at a time, and its
+    products with itself add up to all intersections. Shingles of a single set cannot count.
+    """
+    n = np.array([len(s) for s in sets])
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[at] > 1
+    row = np.repeat(np.arange(len(sets)), n)[shared]
+    column = (np.cumsum(times > 1) - 1)[at[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers below 2**24 are exact
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        some = slice(*np.searchsorted(column, (low, low + COLUMNS)))
+        ones = np.zeros((len(sets), COLUMNS), np.float32)
+        ones[row[some], column[some] - low] = 1
+        both += ones @ ones.T
+    both = np.triu(both, 1).astype(np.int64)
+    i, j = np.nonzero((both > 0) & (100 * both >= percent * (n[:, None] + n[None, :] - both)))
+    if own.min() != own.max():  # pairs inside a slice meet in the slice's own unit
+        keep = own[i] != own[j]
+        i, j = i[keep], j[keep]
+    taken, _ = forest(comp, i, j, both[i, j])
+    return i[taken], j[taken]
+
+
+def _joined(comp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Components after a[k] and b[k] have become one, each named by its smallest."""
+    parent = np.arange(int(comp.max()) + 1)
+    while True:
+        while not np.array_equal(up := parent[parent], parent):
+            parent = up
+        ra, rb = parent[a], parent[b]
+        if np.array_equal(ra, rb):
+            return parent[comp]
+        np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
+
+
+def _pairs_across(lists: DataFrame, long: DataFrame, info: DataFrame) -> DataFrame:
+    """(a, b): pairs between components that join whatever candidates join, with fewer rows than sets and tasks.
+
+    `info` has the low bits and the component of every class.
     """
     units, added = _units(lists.select("token", "cls").join(info, "cls"), long)
     n_parts = parts_for(lists.count() + added, UNIT_ROWS)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("unit", kind="stable")
-        cls, low = pdf["cls"].to_numpy(), _read_lows(pdf["low"])
-        comp = pd.factorize(pdf["comp"])[0]
-        i, j, agree = unit_pairs(pdf["unit"].to_numpy(), pdf["own"].to_numpy(), comp, low, whole)
-        return pd.DataFrame({"a": cls[i], "b": cls[j], "agree": agree.astype(np.int32)})
+        cls, comp = pdf["cls"].to_numpy(), pd.factorize(pdf["comp"])[0]
+        i, j = unit_pairs(pdf["unit"].to_numpy(), pdf["own"].to_numpy(), comp, _read_lows(pdf["low"]))
+        return pd.DataFrame({"a": cls[i], "b": cls[j]})
 
     part = F.pmod(F.xxhash64("unit"), F.lit(n_parts))
-    found = units.withColumn("part", part).groupBy("part").applyInPandas(run, "a binary, b binary, agree int")
-    return _pairs(found if whole else _best(found))
+    return units.withColumn("part", part).groupBy("part").applyInPandas(run, "a binary, b binary").distinct()
+
+
+def _linked_in_families(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect exactly what full sets connect, inside families and between components.
+
+    `members` has (family, cls, comp, n). Families of one component need no look. One of many sets or
+    shingles is cut by hash into slices, every two of which meet in a unit: no pair is written that
+    is not a link, and no task holds more than two slices of a family.
+    """
+    sizes = members.groupBy("family").agg(
+        F.count(F.lit(1)).alias("_sets"), F.sum("n").alias("_n"), F.min("comp").alias("_a"), F.max("comp").alias("_b")
+    ).filter(F.col("_a") < F.col("_b"))
+    slices = F.greatest(F.ceil(F.col("_sets") / BLOCK), F.ceil(F.col("_n") / BLOCK_SHINGLES)).cast("int")
+    sizes = stored(sizes.select("family", slices.alias("_k"), "_n"), "minhash_families")
+    work = sizes.agg(F.sum(F.col("_n") * F.col("_k"))).first()[0] or 0
+    n_parts = parts_for(work, BLOCK_SHINGLES)
+    own = F.pmod(hash_order("cls", seed=6), F.col("_k")).cast("int")
+    units = (
+        members.join(sizes.select("family", "_k"), "family").withColumn("own", own)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+        .select(
+            F.xxhash64("family", F.least("own", "_other"), F.greatest("own", "_other")).alias("unit"), "own", "cls", "comp"
+        )
+    )
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"a": [], "b": []}, dtype=object)]
+        for _, rows in pdf.groupby("unit", sort=False):
+            cls, comp = rows["cls"].to_numpy(), pd.factorize(rows["comp"])[0]
+            shingles = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+            i, j = family_links(shingles, rows["own"].to_numpy(), comp, percent)
+            out.append(pd.DataFrame({"a": cls[i], "b": cls[j]}))
+        return pd.concat(out)
+
+    part = F.pmod(F.xxhash64("unit"), F.lit(n_parts))
+    return units.withColumn("part", part).join(sets, "cls").groupBy("part").applyInPandas(run, "a binary, b binary")
 
 
 def _best(found: DataFrame) -> DataFrame:
@@ -341,19 +427,11 @@ def _pairs(found: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(cls, shingles) of the wanted classes, from the text of the row that stands for each.
-
-    Rows that cannot stand for one are left out before texts are shuffled, by 2**FILTER_BITS bits: a
-    table of a quarter of a million numbers at most, whatever the corpus. A bit set by chance moves
-    one more text.
-    """
+    """(cls, shingles) of the wanted classes, from the text of the row that stands for each."""
     small_batches(docs.sparkSession)
-    cell = F.shiftrightunsigned(F.xxhash64("id", "text_hash"), 64 - FILTER_BITS)
-    at, bit = F.shiftright(cell, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), cell.bitwiseAND(63).cast("int"))
-    reps = wanted.select("rep.id", "rep.text_hash", "cls")
-    bits = reps.select(at.alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits"))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(F.broadcast(bits), at == bits["at"]).filter(F.col("bits").bitwiseAND(bit) != 0)
+    reps = wanted.select("rep.id", "rep.text_hash", "cls")
+    rows = rows_that_may_match(rows, reps, "id", "text_hash")
     reps = reps.select(F.col("id").alias("rep_id"), F.col("text_hash").alias("rep_hash"), "cls")
     same = rows["id"].eqNullSafe(reps["rep_id"]) & (rows["text_hash"] == reps["rep_hash"])
     picked = rows.join(reps, same).select("cls", "text")
@@ -398,12 +476,12 @@ def minhash_components(
     """(id_col, n_shingles, component_id, kept) per row: near copies by their sets of word shingles.
 
     Rows with equal sets are one class. Every class posts under the rarest of its 64
-    coordinate-value pairs. Three rounds turn postings into links, and each counts agreeing
-    coordinates first and confirms on full sets:
-    the leader each class agrees with most, which joins large groups of copies in linear work;
-    then the best partner outside the own component; then every remaining pair of a list that
-    stands in two components and was not yet compared. Pairs inside one component cannot change
-    it, so no list is ever written out as all its pairs. `percent` is at least 80: AGREE rests on it.
+    coordinate-value pairs. Three steps turn postings into links.
+    The leader each class agrees with most is confirmed on full sets, which joins large groups of
+    copies in linear work. Then candidates between the components so found are counted, as a forest
+    that joins whatever they join: its components are families. Last, the full sets of each family
+    are compared, slice with slice, wherever two components meet. Neither candidates nor links are
+    ever written out as all pairs of a group. `percent` is at least 80: AGREE rests on it.
 
     Upper case A-Z counts as lower case, words are separated by ASCII white space. A text with
     fewer words than `width` has one shingle, its whole sequence; null texts and texts without words
@@ -416,30 +494,37 @@ def minhash_components(
     signed = stored(_signed(docs, id_col, text_col, width), "minhash_signed")
     rep = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id").alias("id"), F.col("text_hash").alias("text_hash"))
     classes = stored(
-        signed.filter("n > 0").groupBy("cls").agg(F.min(rep).alias("rep"), F.min("sig").alias("sig")), "minhash_classes"
+        signed.filter("n > 0").groupBy("cls").agg(
+            F.min(rep).alias("rep"), F.min("sig").alias("sig"), F.min("n").alias("n")
+        ),
+        "minhash_classes",
     )
     postings = _postings(classes, _crowds(classes))
     n_parts = parts_for(classes.count() * PREFIX * 60, 2 * BATCH_BYTES)
     lists = stored(_lists(postings, max(n_parts, int(spark.conf.get("spark.sql.shuffle.partitions")))), "minhash_lists")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "minhash_pairs")
-        either = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        sets = stored(_sets(docs, classes.join(either, "cls"), id_col, text_col, width), "minhash_sets")
-        return _confirmed(pairs, sets, percent)
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return stored(
+            _sets(docs, classes.join(wanted.select("cls").distinct(), "cls"), id_col, text_col, width), "minhash_sets"
+        )
 
     led = lists.filter("leader IS NOT NULL").select(F.col("cls").alias("a"), F.col("leader").alias("b"), "agree")
-    tried = stored(confirmed(_pairs(_best(led))), "minhash_tried")
-    lows = stored(_class_lows(classes), "minhash_lows")
-    long = stored(lists.filter("is_long").select("token").distinct(), "minhash_long")
-    for whole in (False, True):
-        roots = connected_components(tried.filter("linked"), "a", "b")
-        info = lows.join(roots, lows["cls"] == roots["node"], "left").select(
-            "cls", "low", F.coalesce("root", "cls").alias("comp")
-        )
-        left = _pairs_across(lists, long, stored(info, "minhash_info"), whole).join(tried, ["a", "b"], "left_anti")
-        tried = stored(tried.unionByName(confirmed(left)), "minhash_tried")
+    pairs = stored(_pairs(_best(led)), "minhash_pairs")
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")))
+    tried = stored(_confirmed(pairs, sets, percent), "minhash_tried")
     roots = connected_components(tried.filter("linked"), "a", "b")
+    info = _class_lows(classes).join(roots, F.col("cls") == roots["node"], "left").select(
+        "cls", "low", F.coalesce("root", "cls").alias("comp")
+    )
+    info = stored(info, "minhash_info")
+    long = stored(lists.filter("is_long").select("token").distinct(), "minhash_long")
+    near = _pairs_across(lists, long, info).unionByName(tried.filter("linked").select("a", "b"))
+    families = connected_components(near, "a", "b").select(F.col("node").alias("cls"), F.col("root").alias("family"))
+    members = stored(
+        families.join(info.select("cls", "comp"), "cls").join(classes.select("cls", "n"), "cls"), "minhash_members"
+    )
+    links = stored(_linked_in_families(members, sets_of(members), percent), "minhash_links")
+    roots = connected_components(tried.filter("linked").select("a", "b").unionByName(links), "a", "b")
     rooted = classes.join(roots, classes["cls"] == roots["node"], "left").select(
         "cls", F.col("rep.id").alias("first"), F.coalesce("root", "cls").alias("root")
     )
