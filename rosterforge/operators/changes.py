@@ -175,6 +175,16 @@ def entity_ids(state: DataFrame, entity: str) -> DataFrame:
     return state.filter(F.col("entity") == entity).select("local_id", "target_id")
 
 
+def ids_after(state: DataFrame, outcomes: DataFrame, entity: str) -> DataFrame:
+    """(local_id, target_id) of an entity after its writes: what `merge_state` would leave of it.
+
+    The state is joined by local id alone, so one that is bucketed by it stays where it lies.
+    """
+    touched = outcomes.filter("not failed and action <> 'unchanged'")
+    kept = entity_ids(state, entity).join(touched.select("local_id"), "local_id", "left_anti")
+    return kept.unionByName(touched.filter("action <> 'remove'").select("local_id", "target_id"))
+
+
 def plan_people(
     scores: DataFrame, companies: DataFrame, state: DataFrame, cfg: Config, hot: Mapping[int, int] | None = None, **options
 ) -> DataFrame:
@@ -281,9 +291,9 @@ def plan_run(
         return stored(with_outcomes(plan, failures), "outcomes")
 
     companies = done(plan_companies(accounts, state, cfg, **options("company")))
-    ids = entity_ids(merge_state(state, companies), "company")
+    ids = ids_after(state, companies, "company")
     people = done(plan_people(scores, ids, state, cfg, hot, **options("person")))
-    ids = entity_ids(merge_state(state, people), "person")
+    ids = ids_after(state, people, "person")
     entries = done(plan_entries(scores, ids, state, cfg, force))
     outcomes = companies.unionByName(people).unionByName(entries)
     return outcomes, merge_state(state, outcomes)

@@ -6,13 +6,12 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from rosterforge import config as c
 
-COLUMNS = "table_name string, column_name string, constraint_name string, failures bigint"
-
 
 @dataclass(frozen=True)
 class Constraints:
@@ -74,50 +73,71 @@ def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str)
     return values.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
 
 
-def _line(counted: DataFrame, table: str, column: str, name: str) -> DataFrame:
-    return counted.select(
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(name).alias("constraint_name"),
-        F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
-    )
+def _common_type(spark: SparkSession, a: DataType, b: DataType) -> DataType:
+    """The type in which Spark compares the two."""
+    both = F.array(F.lit(None).cast(a), F.lit(None).cast(b))
+    return spark.range(0).select(both.alias("both")).schema["both"].dataType.elementType
 
 
-def _row_checks(df: DataFrame, spec: Constraints) -> DataFrame | None:
-    """Not-null and accepted-value violations of all columns, counted in one pass."""
-    tests = {(col, "not_null"): F.col(col).isNull() for col in spec.not_null}
-    for col, values in spec.accepted.items():
-        tests[(col, "accepted_values")] = ~F.col(col).isin(*values)
-    if not tests:
-        return None
-    counted = df.agg(*[F.count_if(test).alias(f"{col}|{name}") for (col, name), test in tests.items()])
-    lines = F.array(*[
-        F.struct(
-            F.lit(spec.table).alias("table_name"),
-            F.lit(col).alias("column_name"),
-            F.lit(name).alias("constraint_name"),
-            F.col(f"{col}|{name}").alias("failures"),
-        )
-        for col, name in tests
-    ])
-    return counted.select(F.explode(lines).alias("l")).select("l.*")
+def _entry(rule: int, key: Column, is_child: bool, found: Column) -> Column:
+    """What one row contributes to a rule, or nothing."""
+    entry = F.struct(F.lit(rule).alias("rule"), key.cast("string").alias("key"), F.lit(int(is_child)).alias("child"))
+    return F.when(found, entry)
 
 
 def constraint_report(tables: Mapping[str, DataFrame], specs: Iterable[Constraints]) -> DataFrame:
     """(table, column, constraint, failures) for every declared constraint.
 
-    Failures are rows, except for unique: there they are the values that repeat.
+    Failures are rows, except for unique: there they are the values that repeat. Every table is read
+    once: a row becomes one (rule, key, side) entry for each rule it bears on, and one aggregation by
+    rule and key settles all of them. Entries are combined before that shuffle, so frequent keys cost
+    nothing. A missing key breaks neither unique nor a relationship.
     """
-    parts = []
+    specs = list(specs)
+    lines: list[tuple[int, str, str, str]] = []
+    entries: dict[str, list[Column]] = {}
+
+    def rule(table: str, column: str, name: str) -> int:
+        lines.append((len(lines), table, column, name))
+        return lines[-1][0]
+
     for spec in specs:
         df = tables[spec.table]
-        checks = _row_checks(df, spec)
-        if checks is not None:
-            parts.append(checks)
+        own = entries.setdefault(spec.table, [])
+        nothing = F.lit(None)
+        for col in spec.not_null:
+            own.append(_entry(rule(spec.table, col, "not_null"), nothing, True, F.col(col).isNull()))
+        for col, values in spec.accepted.items():
+            own.append(_entry(rule(spec.table, col, "accepted_values"), nothing, True, ~F.col(col).isin(*values)))
         for col in spec.unique:
-            repeated = duplicate_keys(df, col).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(_line(repeated, spec.table, col, "unique"))
+            own.append(_entry(rule(spec.table, col, "unique"), F.col(col), True, F.col(col).isNotNull()))
         for col, (parent, parent_col) in spec.relationships.items():
-            missing = orphan_keys(df, col, tables[parent], parent_col).agg(F.sum("n").alias("failures"))
-            parts.append(_line(missing, spec.table, col, "relationships"))
-    return reduce(DataFrame.unionAll, parts)
+            number = rule(spec.table, col, "relationships")
+            kind = _common_type(df.sparkSession, df.schema[col].dataType, tables[parent].schema[parent_col].dataType)
+            own.append(_entry(number, F.col(col).cast(kind), True, F.col(col).isNotNull()))
+            entries.setdefault(parent, []).append(
+                _entry(number, F.col(parent_col).cast(kind), False, F.col(parent_col).isNotNull())
+            )
+    if not lines:
+        raise ValueError("no constraint is declared")
+    parts = [
+        tables[name].select(F.explode(F.array_compact(F.array(*own))).alias("entry")).select("entry.*")
+        for name, own in entries.items() if own
+    ]
+    settled = reduce(DataFrame.unionAll, parts).groupBy("rule", "key").agg(
+        F.sum("child").alias("n"), F.min("child").alias("side")
+    )
+    kinds = {name: [number for number, _, _, n in lines if n == name] for name in ("unique", "relationships")}
+    failures = (
+        F.when(F.col("rule").isin(*kinds["unique"]), (F.col("n") > 1).cast("bigint"))
+        .when(F.col("rule").isin(*kinds["relationships"]), F.when(F.col("side") == 1, F.col("n")).otherwise(0))
+        .otherwise(F.col("n"))
+    )
+    counted = settled.groupBy("rule").agg(F.sum(failures).alias("failures"))
+    names = parts[0].sparkSession.createDataFrame(
+        lines, "rule int, table_name string, column_name string, constraint_name string"
+    )
+    # one line a rule on both sides
+    return names.join(F.broadcast(counted), "rule", "left").select(
+        "table_name", "column_name", "constraint_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
+    )

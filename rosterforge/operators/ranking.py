@@ -6,27 +6,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rosterforge.operators.skew import running_totals
+from rosterforge.config import Config
+from rosterforge.operators.skew import hot_keys, running_totals, salted_join
 from rosterforge.sources.staging import stored
 
 
 BROADCAST_MAX_VALUES = 100_000  # distinct scores whose ranks are broadcast; more are joined
 
 
-def rank_desc(df: DataFrame, score: str, out: str) -> DataFrame:
-    """Competition rank, highest first and NULL last, for a score with few distinct values.
+def _ranks_of_many(per_value: DataFrame, score: str, out: str) -> DataFrame:
+    """(_value, out) for any number of distinct values, none of which is ever in one task with all others.
 
-    A score between 0 and 100 with one decimal has at most 1,001 values and NULL, so counting
-    rows per value and adding up the counts above gives `rank()` with no sort of the rows.
-    The table is read twice, so pass a stored one.
+    Values are range-partitioned, so a slice holds neighbouring ones; the rows of the slices before it and the
+    running total inside it make the rank.
+    """
+    parts = int(per_value.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.desc_nulls_last(score)
+    sliced = stored(per_value.repartitionByRange(parts, order).withColumn("_slice", F.spark_partition_id()), "values")
+    offsets = running_totals(
+        sliced.groupBy("_slice").agg(F.sum("_n").alias("_n")), [F.asc("_slice")], "_n"
+    ).drop("_n")
+    inside = W.partitionBy("_slice").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    rank = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)) + 1
+    # one line a slice
+    return sliced.join(F.broadcast(offsets), "_slice").select(F.col(score).alias("_value"), rank.cast("bigint").alias(out))
+
+
+def rank_desc(
+    df: DataFrame, score: str, out: str, spread: str | None = None, cfg: Config | None = None,
+    max_values: int = BROADCAST_MAX_VALUES,
+) -> DataFrame:
+    """Competition rank, highest first and NULL last, with no sort of the rows.
+
+    Counting rows per value and adding up the counts above gives `rank()`. A score between 0 and
+    100 with one decimal has at most 1,001 values and NULL, whose ranks are broadcast. Beyond
+    `max_values` values are ranked in slices and joined; rows of frequent values are then cut apart
+    by `spread`, a column that varies inside a value (the first column by default). The table is
+    read twice, so pass a stored one.
     """
     per_value = df.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = running_totals(per_value, [F.desc_nulls_last(score)], "_n").select(
-        F.col(score).alias("_value"), (F.col("_before") + 1).cast("bigint").alias(out)
-    )
-    few = per_value.limit(BROADCAST_MAX_VALUES + 1).count() <= BROADCAST_MAX_VALUES
-    ranks = F.broadcast(ranks) if few else ranks
-    return df.join(ranks, df[score].eqNullSafe(ranks["_value"]), "inner").drop("_value")
+    if per_value.limit(max_values + 1).count() <= max_values:
+        ranks = F.broadcast(running_totals(per_value, [F.desc_nulls_last(score)], "_n").select(
+            F.col(score).alias("_value"), (F.col("_before") + 1).cast("bigint").alias(out)
+        ))
+        return df.join(ranks, df[score].eqNullSafe(ranks["_value"]), "inner").drop("_value")
+    cfg = cfg or Config()
+    per_value = stored(per_value, "value_counts")
+    ranks = _ranks_of_many(per_value, score, out).withColumnRenamed("_value", score)
+    hot = hot_keys(per_value, [score], "_n", cfg)
+    return salted_join(df, ranks, [score], "inner", hot, spread or df.columns[0], null_safe=True)
 
 
 def first_by_hash(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field, replace
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterforge.config import Config
@@ -157,11 +158,7 @@ class Build:
         return {name: getattr(self, name) for name in LAYERS}
 
     def constraints(self) -> DataFrame:
-        """The report reads each table several times, so lazy ones are written first."""
-        tables = self.tables()
-        for name in ("stg_enrichment", "fct_engagement"):
-            tables[name] = stored(tables[name], name) if name not in self.written else tables[name]
-        return constraint_report(tables, LAYER_CONSTRAINTS)
+        return constraint_report(self.tables(), LAYER_CONSTRAINTS)
 
     def materialize(self, root: str) -> dict[str, DataFrame]:
         """Write each layer table once, in order; later tables read the stored copies.
@@ -178,12 +175,36 @@ class Build:
                 self.__dict__[name] = self._write(df, name)
         return self.tables()
 
+    def publish(self, root: str) -> str:
+        """Materialize into a folder of its own below `root`, and put it in force when it is complete.
+
+        `read_layers` never sees half a build: the line in `root/manifest` comes last, and a build
+        that dies leaves the one before it as it was. Returns the build's id.
+        """
+        build_id = uuid.uuid4().hex
+        self.materialize(f"{root}/builds/{build_id}")
+        line = self.accounts.sparkSession.createDataFrame(
+            [(build_id, sorted(self.written))], "build_id string, tables array<string>"
+        ).withColumn("finished_at", F.current_timestamp())
+        line.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+        return build_id
+
     def create_views(self) -> None:
         """A temp view per table, for SQL users."""
         for name, df in self.tables().items():
             df.createOrReplaceTempView(name)
 
 
+def read_layers(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The stored tables of the newest complete build below `root`."""
+    newest = spark.read.parquet(f"{root}/manifest").agg(
+        F.max_by(F.struct("build_id", "tables"), F.struct("finished_at", "build_id")).alias("b")
+    ).first()["b"]
+    return {
+        name: spark.read.parquet(f"{root}/builds/{newest['build_id']}/{LAYERS[name]}/{name}") for name in newest["tables"]
+    }
+
+
 def build(accounts: DataFrame, contacts: DataFrame, engagement: DataFrame, enrichment_wide: DataFrame, cfg: Config,
           mapping: DataFrame | None = None) -> Build:
     if cfg.most_rows is None:

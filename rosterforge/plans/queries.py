@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +13,15 @@ from rosterforge.config import Config
 from rosterforge.functions import ids, text
 from rosterforge.functions.mapping import default_mapping, label_lookup
 from rosterforge.operators import (
-    changes, constraints, dedupe, enrichment, planting, quality, recall, report, resolve, scoring, standardize,
+    changes, constraints, decay, dedupe, enrichment, planting, quality, ranking, recall, report, resolve, scoring,
+    standardize,
 )
 from rosterforge.plans.bindings import RawTables, bind, bind_clean, binding_config, table
-from rosterforge.plans.pipeline import LAYERS, Build, build
+from rosterforge.plans.pipeline import LAYERS, Build, build, read_layers
 from rosterforge.sources import export, provider, raw, state
 from rosterforge.sources.staging import scratch_path, stored
+from rosterforge.sources.state_log import StateLog
+from rosterforge.streaming import engagement
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +64,46 @@ def raw_load(spark, sf_dir):
     ).withColumnRenamed("_loaded_at", "is_stamped")
 
 
+def _lines_of(accounts: DataFrame) -> DataFrame:
+    """Accounts as CSV lines, of which some have a field too many, too few, or a quote that nothing closes."""
+    number = F.substring("account_id", 5, 20).cast("bigint")
+    quoted = F.concat(F.lit('"'), F.trim("company_name"), F.lit(', "'), F.lit('"Inc"'), F.lit('""'))
+    opened = F.concat(F.lit('"'), F.trim("company_name"))
+    fields = {c: F.coalesce(F.col(c), F.lit("")) for c in raw.RAW_COLUMNS["raw_accounts"]}
+    whole = F.concat_ws(",", *(fields | {"company_name": quoted}).values())
+    return accounts.select(
+        F.when(number % 11 == 3, F.concat(whole, F.lit(",surplus")))
+        .when(number % 13 == 5, F.concat_ws(",", *list(fields.values())[:4]))
+        .when(number % 17 == 7, F.concat_ws(",", *(fields | {"company_name": opened}).values()))
+        .otherwise(whole).alias("value")
+    )
+
+
+def _with_header(header: str):
+    def run(batches):
+        yield pd.DataFrame({"value": [header]})
+        yield from batches
+
+    return run
+
+
+@query
+def raw_rejects(spark, sf_dir):
+    """Every broken line with its text, and how many whole ones were loaded beside them."""
+    folder = scratch_path(spark, "broken_accounts")
+    header = ",".join(raw.RAW_COLUMNS["raw_accounts"])
+    _lines_of(bind(spark, sf_dir).accounts).mapInPandas(_with_header(header), "value string").write.text(folder)
+    rejects = raw.raw_rejects(spark, "raw_accounts", folder, multi_line=False)
+    loaded = raw.load_raw(spark, "raw_accounts", folder, multi_line=False, broken="drop")
+    whole = loaded.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return rejects.select("line_text", "n_fields", "reason", F.lit(None).cast("bigint").alias("whole_lines")).unionByName(
+        whole.select(
+            F.col("source").alias("line_text"), F.lit(len(raw.RAW_COLUMNS["raw_accounts"])).alias("n_fields"),
+            F.lit("none").alias("reason"), F.col("n").alias("whole_lines"),
+        )
+    )
+
+
 def _write_export(df: DataFrame, folder: str, headers: dict[str, str]) -> None:
     df.select(*[F.col(c).alias(h) for c, h in headers.items()]).write.csv(
         folder, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
@@ -267,6 +311,56 @@ def engagement_score(spark, sf_dir):
     return built(spark, sf_dir).int_contact_engagement
 
 
+@query
+def daily_engagement_stream(spark, sf_dir):
+    """Three arrivals of event files, out of order of date and with repeated events, counted by a stream."""
+    source, folder = scratch_path(spark, "arrivals"), scratch_path(spark, "daily_counts")
+    events = bind(spark, sf_dir).engagement
+    number = F.substring("event_id", 5, 20).cast("bigint")
+    for arrival in range(3):
+        again = (number % 10 == 0) & (number % 3 < arrival)
+        events.filter((number % 3 == arrival) | again).write.parquet(f"{source}/arrival-{arrival}")
+        engagement.count_arrivals(spark, f"{source}/*", folder)
+    return with_text(engagement.read_counts(spark, folder), "event_date")
+
+
+@query
+def engagement_from_totals(spark, sf_dir):
+    """Scores from totals of two runs that were added and moved to another landmark; no event is read twice."""
+    cfg, b = binding_config(), built(spark, sf_dir)
+    days = engagement.daily_counts(b.stg_engagement)
+    early = F.col("event_date") < F.lit("2024-01-16").cast("date")
+    first = decay.decayed_totals(days.filter(early), cfg, "2024-01-01")
+    later = decay.decayed_totals(days.filter(~early | early.isNull()), cfg, "2024-01-20")
+    totals = decay.added(decay.moved(first, cfg, "2024-01-01", "2024-01-20"), later)
+    return decay.engagement_from_totals(b.dim_contact, totals, cfg, "2024-01-20", b.survivor_links)
+
+
+@query
+def line_price_rank(spark, sf_dir):
+    """Order lines ranked by price: many values, with ties."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("double"))
+    return ranking.rank_desc(lines, "l_extendedprice", "price_rank", "l_orderkey", max_values=1_000).select(
+        "l_orderkey", "l_linenumber", "price_rank"
+    )
+
+
+@query
+def layers_in_force(spark, sf_dir):
+    """Two builds published, the second after one that died half way: the tables in force."""
+    root = scratch_path(spark, "published")
+    built(spark, sf_dir, binding_config(tier_a_min=70)).publish(root)
+    built(spark, sf_dir).publish(root)
+    dead = built(spark, sf_dir)
+    dead.root = f"{root}/builds/dead"
+    dead._write(dead.dim_account, "dim_account")
+    tables = read_layers(spark, root)
+    counts = [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()]
+    found = reduce(DataFrame.unionAll, counts).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    tiers = tables["fct_prospect_scores"].groupBy("tier").agg(F.count(F.lit(1)).alias("n_rows"))
+    return found.unionAll(tiers)
+
+
 @query
 def prospect_scores(spark, sf_dir):
     return with_double(built(spark, sf_dir).fct_prospect_scores, "fit_score").withColumn(
@@ -516,6 +610,13 @@ def two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
 
     Returns the outcomes and the state after each of the two.
     """
+    return two_logged_runs(spark, sf_dir)[:4]
+
+
+def two_logged_runs(
+    spark: SparkSession, sf_dir: str
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, StateLog]:
+    """The two runs and the state log that the first has been appended to."""
     cfg = binding_config()
     b = built(spark, sf_dir, cfg)
     accounts, scores = stored(account_view(b), "scope"), stored(b.fct_prospect_scores, "scores")
@@ -527,12 +628,14 @@ def two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     failures = no_title.unionByName(no_country).withColumns(
         {"status": F.lit(400), "message": F.lit("rejected")}
     )
-    first, state1 = changes.plan_run(
+    first, _ = changes.plan_run(
         accounts, before, empty, strict, rejects=REJECTS, failures=failures, hot=b.hot_accounts
     )
-    state1 = stored(state1, "state")
+    log = StateLog(spark, scratch_path(spark, "state_log"))
+    log.append(first, "run-1")
+    state1 = log.read()
     second, state2 = changes.plan_run(accounts, scores, state1, cfg, rejects=REJECTS, hot=b.hot_accounts)
-    return first, state1, second, state2
+    return first, state1, second, state2, log
 
 
 @query
@@ -562,6 +665,15 @@ def state_after_runs(spark, sf_dir):
     return state.read_state(spark, root).drop("synced_at")
 
 
+@query
+def state_log_after_runs(spark, sf_dir):
+    """Both runs appended to a state log, one of its buckets compacted, and the state in force."""
+    _, _, second, _, log = two_logged_runs(spark, sf_dir)
+    log.append(second, "run-2")
+    log.compact(max_segments=1)
+    return log.read().drop("synced_at")
+
+
 @query
 def rerun_stats(spark, sf_dir):
     """A run right after a complete one: nothing is sent."""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -20,6 +22,8 @@ NULL_WORDS = (
     "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 DATE_COLUMN = "Enriched At"
+PROBE_BYTES = 16_384       # read of a file to find its header line
+PROBE_THREADS = 16         # files probed at once
 
 
 def _export_name(path: Column) -> Column:
@@ -34,24 +38,38 @@ def provider_of(source_file: Column, cfg: Config) -> Column:
     return out
 
 
-def _headers(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
-    """Files per header line. One line per file reaches the driver, which lists the files anyway."""
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file, read in steps of PROBE_BYTES until it ends."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
     try:
-        text = spark.read.text(pattern)
+        head = b""
+        while True:
+            more = bytes(stream.readNBytes(PROBE_BYTES))
+            head += more
+            line = re.match(rb"[^\r\n]*(?=[\r\n])", head)
+            if line or len(more) < PROBE_BYTES:
+                return (line[0] if line else head).decode("utf-8", "replace")
+    finally:
+        stream.close()
+
+
+def _headers(spark: SparkSession, pattern: list[str]) -> dict[str, list[str]]:
+    """Files per header line. One line per file reaches the driver, which lists the files anyway.
+
+    Spark lists the files without opening them; of each, only the first bytes are then read.
+    """
+    try:
+        files = spark.read.format("binaryFile").load(pattern).filter("length > 0").select("path")
+        paths = sorted(row["path"] for row in files.toLocalIterator())
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return {}
         raise
-    lines = text.select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
     grouped = defaultdict(list)
-    for row in first.toLocalIterator():
-        grouped[row["header"]].append(row["path"])
+    with ThreadPoolExecutor(PROBE_THREADS) as pool:
+        for path, header in zip(paths, pool.map(lambda path: _first_line(spark, path), paths)):
+            grouped[header].append(path)
     return dict(grouped)
 
 
