@@ -13,6 +13,7 @@ import xxhash
 from llm_cases import docs_of, documents, empty_docs, odd_docs, odd_rows
 
 from conftest import SMALL, rows
+from rosterforge.config import Config
 from rosterforge.llm import decontaminate as dc
 from rosterforge.llm import simhash as sh
 from rosterforge.llm import substrings as sb
@@ -259,13 +260,14 @@ def test_seed_masks_catch_every_allowed_window():
 
 def plain_overlaps(docs, items) -> set:
     def split(text):
-        return [w for w in (raw.strip(dc.PUNCTUATION) for raw in (text or "").lower().split()) if w]
+        spaced = "".join(f" {c} " if dc.UNSPACED.match(c) else c for c in text or "")
+        return [w for w in (raw.strip(dc.PUNCTUATION) for raw in spaced.lower().split()) if w]
 
     found = set()
     for item_id, item_text in items:
         item = split(item_text)
         n = min(len(item), dc.WINDOW)
-        if item_id is None or n < dc.LEAST_WORDS:
+        if n < dc.LEAST_WORDS:
             continue
         for doc_id, text in docs:
             words = split(text)
@@ -277,9 +279,13 @@ def plain_overlaps(docs, items) -> set:
     return found
 
 
-@pytest.mark.parametrize("block_words", [1_000_000, 40])
-def test_overlaps_equal_brute_force(spark, monkeypatch, block_words):
-    monkeypatch.setattr(dc, "BLOCK_WORDS", block_words)
+@pytest.mark.parametrize("cut", [False, True])
+def test_overlaps_equal_brute_force(spark, monkeypatch, cut):
+    if cut:  # nearly all bits are set, texts are hashed and verified in many steps, seeds are hot
+        monkeypatch.setattr(dc, "LEAST_BITS", 8)
+        monkeypatch.setattr(dc, "MOST_BITS", 8)
+        monkeypatch.setattr(dc, "SEEDS_AT_ONCE", 7)
+        monkeypatch.setattr(dc, "STEP_CANDIDATES", 3)
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(60)]
     items = [(i, " ".join(rng.choice(vocabulary) for _ in range(n))) for i, n in enumerate([3, 5, 6, 9, 12, 13, 20, 40])]
@@ -294,11 +300,17 @@ def test_overlaps_equal_brute_force(spark, monkeypatch, block_words):
         around = [rng.choice(vocabulary) for _ in range(rng.randint(0, 30))]
         docs.append((i, " ".join(around + [w.upper() + "," for w in part] + around[::-1])))
     docs += [(100, None), (101, ""), (5, items[6][1]), (None, items[6][1])]
+    # unspaced script, an item under two ids, and many copies of one text
+    chinese = "机器学习模型在大规模语料上训练时需要去除与测试集重复的段落。"
+    items += [(30, chinese), (31, chinese), (32, "ありがとう")]
+    docs += [(110, f"前文 {chinese[:20]} 后文"), (111, chinese[5:]), (112, "全然違う文章です、ありがとうございます。")]
+    docs += [(200 + i, "copy " + items[4][1]) for i in range(40)]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    found = dc.contaminated(frame, bench)
+    found = dc.contaminated(frame, bench, cfg=Config(hot_key_rows=5, salts=3) if cut else None)
     want = plain_overlaps(docs, items)
-    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want and len(want) > 20
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert got == want and len(want) > 20 and {(110, 30), (111, 31), (112, 32)} < got and any(i is None for _, i in got)
     assert dc.contaminated(frame, bench.filter("item_id < 0")).count() == 0
     assert dc.contaminated(empty_docs(spark), bench).count() == 0
 
@@ -316,8 +328,8 @@ def test_overlaps_query_finds_the_planted_items(spark):
 
 def test_a_window_across_two_pieces_is_found(spark, monkeypatch):
     item = " ".join(f"word{i}" for i in range(20))
-    index = dc.SeedIndex([(1, dc.WordHashes().read(item))])
-    assert index.overlaps(dc.WordHashes().read("other " * 50 + item)) == {0: (13, 20)}
+    words = dc.WordHashes()
+    assert dc.overlap(words.read(item), words.read("other " * 50 + item), 50) == (13, 20, 13)
     long = "other words here " * 300_000 + item + " other words" * 10
     assert len(long) > 4 << 20
     found = dc.contaminated(docs_of(spark, [long]), spark.createDataFrame([(1, item)], "item_id bigint, text string"))
