@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from rosterforge.llm.common import hash_order
 from rosterforge.sources.staging import stored
 
+SMALL_LENGTH = 64          # vectors of one length up to which all are compared, as for the calibration
 TREES = 8
 LEAF_ROWS = 512            # aim of a leaf
 FIT_ROWS = 32_768          # vectors that the split points are taken from; every vector is indexed
@@ -108,7 +109,7 @@ def _matrix(column) -> np.ndarray:
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, vec): one row per id, with finite, non-zero vectors of the most common length.
+    """(vec_id, vec): one row per id, with finite, non-zero vectors of any length.
 
     A repeated id keeps the smallest of its vectors.
     """
@@ -117,9 +118,6 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).alias("vec")).filter(
         F.col("vec_id").isNotNull() & vec.isNotNull() & finite & F.exists(vec, lambda x: x != 0)
     )
-    lengths = rows.groupBy(F.size("vec").alias("length")).agg(F.count(F.lit(1)).alias("n"))
-    common = lengths.orderBy(F.desc("n"), "length").first()
-    rows = rows.filter(F.size("vec") == (common["length"] if common else 0))
     return rows.groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
 
@@ -168,20 +166,53 @@ def leaf_budget(forest: Forest, queries: list[tuple[int, np.ndarray]], true: pd.
     return int(np.sort(needed)[min(len(needed) - 1, math.ceil(RECALL * len(needed)) - 1)])
 
 
+def _nearest_exactly(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """The neighbours among vectors of lengths so rare that a task can hold all of one length."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, ids = _matrix(pdf["vec"]), pdf["vec_id"].to_numpy()
+        out = [pd.DataFrame({"query_id": ids[:0], "rank": ids[:0], "vec_id": ids[:0], "score": x[:0, 0]})]
+        for at in np.flatnonzero(pdf["asked"].to_numpy()):
+            score = np.add.reduce(x * x[at], axis=1)
+            best = np.lexsort((ids, -score))
+            best = best[best != at][:k]
+            out.append(pd.DataFrame(
+                {"query_id": ids[at], "rank": np.arange(1, len(best) + 1), "vec_id": ids[best], "score": score[best]}
+            ))
+        return pd.concat(out)
+
+    asked = rows.withColumns({"asked": F.coalesce(is_query, F.lit(False)), "length": F.size("vec")})
+    return asked.groupBy("length").applyInPandas(run, "query_id bigint, rank int, vec_id bigint, score double")
+
+
 def nearest_neighbours(
     vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found by largest inner product.
 
     `is_query` is a condition on `vec_id`. Null ids take no part; neither do vectors that are
-    null, zero, of an uncommon length, or hold null or non-finite parts. The trees are fitted on
-    a bounded sample and index every vector; the leaf budget is the smallest that finds RECALL of
-    the true neighbours of CALIBRATION queries, which are compared with all vectors. Leaves with a
-    common beginning form a unit of about UNIT_ROWS vectors; a unit that is larger, or that more
-    than UNIT_QUERIES queries visit, is cut by hash. A query goes only to units in which it visits
-    a leaf, scores exactly the members of its leaves, and brings back k + 1 of them.
+    null, zero, or hold null or non-finite parts. An inner product needs vectors of one length, so each length
+    is a search of its own: lengths of up to SMALL_LENGTH vectors are compared in full, a task a
+    length, and every longer list gets an index.
     """
     rows = stored(_usable(vectors, id_col, vector_col), "vectors")
+    lengths = rows.groupBy(F.size("vec").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    large = [r["length"] for r in lengths.filter(F.col("n") > SMALL_LENGTH).orderBy("length").collect()]
+    found = _nearest_exactly(rows.filter(~F.size("vec").isin(large)), is_query, k)
+    for length in large:  # each holds more than SMALL_LENGTH vectors
+        found = found.unionByName(_nearest_indexed(rows.filter(F.size("vec") == length), is_query, k))
+    return found
+
+
+def _nearest_indexed(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """The neighbours among vectors of one length.
+
+    The trees are fitted on a bounded sample and index every vector; the leaf budget is the smallest
+    that finds RECALL of the true neighbours of CALIBRATION queries, which are compared with all
+    vectors. Leaves with a common beginning form a unit of about UNIT_ROWS vectors; a unit that is
+    larger, or that more than UNIT_QUERIES queries visit, is cut by hash. A query goes only to units
+    in which it visits a leaf, scores exactly the members of its leaves, and brings back k + 1 of them.
+    """
     points = stored(_distinct(rows, k), "points")
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     n, longest = points.agg(F.count(F.lit(1)), F.max(length)).first()
@@ -266,9 +297,11 @@ def nearest_neighbours(
             wanted[np.asarray(leaves) & inside] = True
             at = np.flatnonzero(wanted[leaf])
             q = np.asarray(query, float)
-            if len(at) > k + 16:
+            if len(at) > k + 1:
+                # no member is left out that rounding may have put below the last one wanted
                 rough = x[at] @ q
-                at = at[np.argpartition(-rough, k + 15)[: k + 16]]
+                slack = 4 * len(q) * np.finfo(float).eps * longest * math.sqrt(float(q @ q))
+                at = at[rough >= -np.partition(-rough, k)[k] - slack]
             # one plain sum per pair, so a pair scores alike wherever it is found
             score = np.add.reduce(x[at] * q, axis=1)
             best = np.lexsort((first[at], -score))[: k + 1]
