@@ -24,9 +24,13 @@ _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 # Novelty: what a candidate looks like, where it must stand, and how much of it must be new.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SENSITIVE = re.compile(r"pass(?:wd|word|phrase)?\b|pwd|secret|token|credential|auth|bearer|private|signing|key\b", re.I)
+KEY_HEADER = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----")
+_KEY_BODY = re.compile(r"[A-Za-z0-9+/=\s]*")
+_SENSITIVE_BYTES = re.compile(SENSITIVE.pattern.encode(), re.I)
 LOOK_BACK = 48             # characters before a candidate in which a sensitive word must stand
 CONTEXT = 256              # characters on each side that may explain a candidate
 NOVELTY = 0.7              # least marginal compressed bytes per character
+LETTERS_NOVELTY = 0.8      # of candidates without a digit
 DICTIONARY_ENTRIES = 4_000 # corpus identifiers in the dictionary, most documents first
 MIN_DOCS = 3
 # Identifiers that any code may hold.
@@ -36,7 +40,6 @@ COMMON_IDENTIFIERS = (
     "refresh_token request response return secret_key self session_id signature signing_key username value"
 )
 _HEX_MAP = bytes(120 if chr(i) in "0123456789abcdef" else 32 for i in range(256))
-_DIGIT = re.compile(rb"[0-9]")
 _IDENTIFIER = re.compile(r"[A-Za-z]+(?:_[A-Za-z]+)+")
 
 
@@ -74,26 +77,44 @@ class Novelty:
         return (size - len(self.compressor.compress(around))) / len(candidate)
 
     def spans(self, data: bytes, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        """Candidates in a sensitive place that are new to the dictionary and to their surroundings."""
-        if not _DIGIT.search(data):
+        """Candidates in a sensitive place that are new to the dictionary and to their surroundings.
+
+        A place is sensitive where a telling word stands shortly before it, on its line or the
+        line above, or inside a private key block. Other copies of a candidate are taken
+        out of its surroundings, so that a secret that stands twice does not explain itself.
+        """
+        if not _SENSITIVE_BYTES.search(data):
             return []
         text, found = data.decode("utf-8", "replace"), []
+        blocks = list(_key_blocks(text))
         for m in CANDIDATE.finditer(text):
             start, end = m.span()
             word = m[0]
-            if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
-                continue
-            line = text.rfind("\n", max(0, start - LOOK_BACK), start) + 1
-            if not SENSITIVE.search(text, max(line, start - LOOK_BACK, 0), start):
+            look = text[max(0, start - LOOK_BACK) : start]
+            look = look[look.rfind("\n", 0, max(look.rfind("\n"), 0)) + 1 :]
+            if not (SENSITIVE.search(look) or any(a <= start < b for a, b in blocks)):
                 continue
             if any(s < end and start < e for _, s, e in base):
                 continue
-            before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
-            if self.marginal(before, word, after) >= NOVELTY:
+            before = text[max(0, start - CONTEXT) : start].replace(word, " ")
+            after = text[end : end + CONTEXT].replace(word, " ")
+            if self.marginal(before, word, after) >= least_novelty(word):
                 found.append(("novel", start, end))
         return found
 
 
+def least_novelty(word: str) -> float:
+    """Marginal bytes per character that make a candidate novel; letters alone must be less like a word."""
+    return LETTERS_NOVELTY if word.isalpha() else NOVELTY
+
+
+def _key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Where private key blocks lie: from the header to the end mark, or as far as it looks like one."""
+    for m in KEY_HEADER.finditer(text):
+        end = text.find("-----END", m.end())
+        yield m.end(), end if end >= 0 else _KEY_BODY.match(text, m.end()).end()
+
+
 def identifier_dictionary(docs: DataFrame, text_col: str = "text") -> bytes:
     """Identifiers that at least MIN_DOCS of all documents hold, the most common last.
 

@@ -428,3 +428,67 @@ def test_archive_query_agrees_with_its_sql(spark):
     con.execute(f"create view pages as select * from read_parquet('{SMALL}/pages.parquet')")
     want = sorted((tuple(r) for r in con.execute(ORACLE["op3_warc"]).fetchall()), key=repr)
     assert rows(QUERIES["op3_warc"](spark, SMALL)) == want and want
+
+
+@pytest.mark.parametrize("bits", [6, 10])
+def test_ties_go_to_the_smaller_ids_however_many_there_are(spark, bits):
+    """All vectors of plus and minus one: far more ties at the last place than neighbours wanted."""
+    x = np.array([[1.0 if i >> b & 1 else -1.0 for b in range(bits)] for i in range(1 << bits)])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest_neighbours(frame, F.pmod("vec_id", F.lit(20)) == 0).toPandas()
+    hits = total = 0
+    for q in range(0, 1 << bits, 20):
+        score = x @ x[q]
+        want = [j for j in np.lexsort((np.arange(len(x)), -score)) if j != q][:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert mine.score.tolist() == score[mine.vec_id].tolist() == sorted(mine.score, reverse=True)
+        hits, total = hits + len(set(want) & set(mine.vec_id)), total + 20
+    # 64 vectors are compared in full; a larger search may miss a leaf, but cuts no tie
+    assert hits == total if bits == 6 else hits >= 0.95 * total
+
+
+def test_every_length_of_vectors_is_a_search_of_its_own(spark):
+    rng = np.random.default_rng(5)
+    data = [(i, rng.normal(size=(8, 6, 3)[min(i % 5, 2)]).tolist()) for i in range(600)] + [(1000, [1.0])]
+    frame = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest_neighbours(frame, F.pmod("vec_id", F.lit(20)) < 3, k=5).toPandas()
+    vectors = dict(data)
+    hits = total = 0
+    for q, vector in data[:-1]:
+        if q % 20 < 3:
+            near = sorted((-float(np.dot(vector, v)), i) for i, v in data if len(v) == len(vector) and i != q)[:5]
+            mine = got[got.query_id == q].vec_id.tolist()
+            assert len(mine) == 5 and all(len(vectors[i]) == len(vector) for i in mine)
+            hits, total = hits + len({i for _, i in near} & set(mine)), total + 5
+    assert hits >= 0.9 * total and 1000 not in set(got.query_id)
+
+
+def test_planted_secrets_are_found_and_prose_is_left_alone(spark):
+    """Doubled, on the next line, in key blocks, of letters alone (digits alone are base spans): recall of the added spans."""
+    import string
+
+    rng = random.Random(6)
+    prose = [t for _, t, _ in documents(MEDIUM) if t and len(t) > 1200]
+    kinds = {
+        "base64": string.ascii_letters + string.digits + "+/", "letters": string.ascii_letters,
+        "upper hex": "0123456789ABCDEF",
+    }
+    frames = {
+        "line": "\ncredential: {0}\n", "twice": "\ncredential: {0}\nbackup credential: {0}\n", "next line": "\ncredential:\n{0}\n",
+        "key block": "\n-----BEGIN RSA PRIVATE KEY-----\nMIIEpAIBAAKCAQEA\n{0}\n-----END RSA PRIVATE KEY-----\n",
+        "open block": "\n-----BEGIN PRIVATE KEY-----\nMIIEpAIBAAKCAQEA\nMIIEpAIBAAKCAQEB\n{0}\n\n",
+    }
+    novelty = secrets.Novelty(secrets.COMMON_IDENTIFIERS.encode())
+    for alphabet in kinds.values():
+        for frame in frames.values():
+            hits = 0
+            for _ in range(40):
+                text, secret = rng.choice(prose), "".join(rng.choice(alphabet) for _ in range(rng.randrange(20, 60)))
+                at = rng.randrange(300, 900)
+                text = text[:at] + frame.format(secret) + text[at:]
+                spans = novelty.spans(text.encode(), secrets.base_spans(text.encode()))
+                wanted = [(m.start(), m.end()) for m in re.finditer(re.escape(secret), text)]
+                hits += {(a, b) for _, a, b in spans} >= set(wanted)
+            assert hits >= 38, (alphabet, frame, hits)
+    clean = [t.encode() for t in prose]
+    assert sum(len(novelty.spans(t, secrets.base_spans(t))) for t in clean) <= 0.01 * len(clean)
