@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -31,6 +31,9 @@ HOT_CONTEXTS = 32          # contexts of one key among KEY_ROWS from which its s
 STRING_ROWS = 400_000      # single strings settled together
 WINDOW = LENGTH - GRAM + 1
 NO_ID = (1 << 63) - 1      # a missing id comes last
+SALT_DIGITS = 5            # hexadecimal digits of a text's digest that its rows are dealt by beside the id
+RANK_BITS = 11             # texts of one id whose digests begin alike are told apart by this many bits
+PLACE_BITS = 32            # bytes of a text are counted below this
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that they can be divided out again
 
 
@@ -163,8 +166,11 @@ def _anchor_rows(pieces: list[tuple[int, int, bytes]]) -> dict[str, np.ndarray]:
     shape = ((place - lo).astype(np.uint64) << np.uint64(8)) | (hi - lo).astype(np.uint64)
     cls = _mixed(PrefixHash(data, 1).of(lo, hi + LENGTH) ^ (shape * np.uint64(_BASES[0])))
     order = np.lexsort((start, doc, cls, h))
+    # a text that a row repeats under the same id is no earlier text
+    by = [x[order] for x in (h, cls, doc, start)]
+    order = order[np.r_[True, np.any([x[1:] != x[:-1] for x in by], axis=0)][: len(order)]]
     h, cls, doc, start, place, lo, hi = (x[order] for x in (h, cls, doc, start, place, lo, hi))
-    new = np.r_[True, (h[1:] != h[:-1]) | (cls[1:] != cls[:-1])]
+    new = np.r_[True, (h[1:] != h[:-1]) | (cls[1:] != cls[:-1])][: len(h)]
     lead = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
     local = ~new
     at = np.flatnonzero(local)
@@ -492,8 +498,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     others; rows that repeat an id with other texts follow each other by digest; of equal texts
     all rows but the first are removed whole.
 
-    Texts are shuffled once, into a working copy bucketed by id that all later joins by id use
-    without moving them. Every string has an anchor, about one in 35 bytes; anchors, not
+    Texts are shuffled once, into a working copy bucketed by id and the beginning of the digest, which
+    all later joins use without moving them. A place is the text's own number among those of its id
+    and the byte in it, so whatever is found in a text meets that text alone, however many texts
+    repeat an id or have none; more than about 2 ** 31 different texts of one id stop the query. Every string has an anchor, about one in 35 bytes; anchors, not
     positions, are dealt by hash, after each task has settled the repeats it can see itself, so a
     line that is in a third of all texts leaves a task as a few rows. Contexts that are wholly equal
     are settled by their bytes inside a chunk, and beyond it by two independent 64-bit hashes; all
@@ -506,31 +514,59 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     data = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     raw = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"), data.alias("data"))
     raw = raw.withColumns({"digest": F.sha2("data", 256), "n": F.octet_length("data").cast("bigint")})
+    raw = raw.withColumn("salt", _salt())
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     # with fewer buckets than shuffle partitions Spark would deal the texts anew for each join
     n_buckets = max(parts_for(total, BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"working_copy_{uuid.uuid4().hex}"
     (
-        raw.repartition(n_buckets, "doc").write.bucketBy(n_buckets, "doc").sortBy("doc")
+        raw.repartition(n_buckets, "doc", "salt").write.bucketBy(n_buckets, "doc", "salt").sortBy("doc", "salt")
         .option("path", scratch_path(spark, "working_copy")).option("compression", "zstd").saveAsTable(name)
     )
     try:
-        return _from_copy(spark.table(name), int(total), id_col, docs.schema[id_col].dataType.simpleString())
+        return _from_copy(spark.table(name), int(total), n_buckets, id_col, docs.schema[id_col].dataType.simpleString())
     finally:
         spark.sql(f"DROP TABLE {name}")  # the name only; the files stay in the shared folder
 
 
-def _from_copy(copy: DataFrame, total: int, id_col: str, id_kind: str) -> DataFrame:
+def _salt() -> Column:
+    return F.conv(F.substring("digest", 1, SALT_DIGITS), 16, 10).cast("int")
+
+
+def _by_text(rows: DataFrame, n_buckets: int, name: str, *columns: str) -> DataFrame:
+    """(found_doc, found_salt, found_base, name): the rows of each text in one list, dealt like the working copy."""
+    base = F.expr(f"shiftleft(shiftright(lo, {PLACE_BITS}), {PLACE_BITS})")
+    salt = F.shiftright("lo", PLACE_BITS + RANK_BITS).cast("int")
+    dealt = rows.select(F.col("doc").alias("found_doc"), salt.alias("found_salt"), base.alias("found_base"), *columns)
+    # one exchange serves the lists and the join with the texts
+    return (
+        dealt.repartition(n_buckets, "found_doc", "found_salt").groupBy("found_doc", "found_salt", "found_base")
+        .agg(F.collect_list(F.struct(*columns)).alias(name))
+    )
+
+
+#: Joins of texts with what belongs to them. Only id and salt are join keys, by which the working copy is
+#: bucketed; the last comparison is written so that Spark does not take it for a key and move the texts.
+_OWN_LEAD = "doc = lead_doc AND salt = lead_salt AND instr(digest, lead_digest) = 1"
+_OWN_ROWS = "doc = found_doc AND salt = found_salt AND base - found_base = 0"
+
+
+def _from_copy(copy: DataFrame, total: int, n_buckets: int, id_col: str, id_kind: str) -> DataFrame:
     narrow = stored(copy.select("doc", "digest", "n"), "texts")
-    firsts = narrow.groupBy("digest").agg(F.min("doc").alias("doc"), F.first("n").alias("n"))
-    in_doc = W.partitionBy("doc").orderBy("digest").rowsBetween(W.unboundedPreceding, -1)
-    bases = firsts.withColumn("base", F.coalesce(F.sum("n").over(in_doc), F.lit(0)).cast("bigint"))
-    # the texts of an id that come first, each with its place in the id's own row of texts
+    firsts = narrow.groupBy("digest").agg(F.min("doc").alias("doc")).withColumn("salt", _salt())
+    # the texts that come first, each with its number among the texts of its id, in the order of their digests
+    rank = F.row_number().over(W.partitionBy("doc", "salt").orderBy("digest")).cast("bigint") - 1
+    number = F.when(rank < 1 << RANK_BITS, F.shiftleft(F.col("salt").cast("bigint"), RANK_BITS) + rank).otherwise(
+        F.raise_error(F.lit("an id has more texts than can be numbered")).cast("bigint")
+    )
     leads = stored(
-        bases.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("digest", "base"))).alias("bases")), "leads"
+        firsts.select(
+            F.col("doc").alias("lead_doc"), F.col("salt").alias("lead_salt"), F.col("digest").alias("lead_digest"),
+            F.shiftleft(number, PLACE_BITS).alias("base"),
+        ),
+        "leads",
     )
-    texts = copy.join(leads, "doc").select("doc", "data", F.col("bases")[F.col("digest")].alias("base"))
-    texts = texts.filter("base IS NOT NULL")
+    texts = copy.join(leads, F.expr(_OWN_LEAD)).select("doc", "salt", "data", "base")
     n_parts = parts_for(total // 30, PART_ROWS)
 
     def batches_of(found: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -558,7 +594,7 @@ def _from_copy(copy: DataFrame, total: int, id_col: str, id_kind: str) -> DataFr
         ),
         "settled",
     )
-    per_doc = settled.filter("fine").groupBy("doc").agg(F.collect_list(F.struct("lo", "last", "place")).alias("rows"))
+    per_text = _by_text(settled.filter("fine"), n_buckets, "rows", "lo", "last", "place")
     n_fine = settled.filter("fine").count()
     fine_parts = parts_for(2 * n_fine, FINE_ROWS)
 
@@ -566,7 +602,7 @@ def _from_copy(copy: DataFrame, total: int, id_col: str, id_kind: str) -> DataFr
         out: list = []
         for batch in batches:
             for doc, data, base, rows in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                inside = [(r["lo"], r["last"], r["place"]) for r in rows if 0 <= r["lo"] - base < len(data)]
+                inside = [(r["lo"], r["last"], r["place"]) for r in rows]
                 for at in range(0, len(inside), 1 << 12):
                     _contexts(doc, base, data, inside[at : at + (1 << 12)], fine_parts, out)
                     if len(out) >= KEY_ROWS:
@@ -575,7 +611,7 @@ def _from_copy(copy: DataFrame, total: int, id_col: str, id_kind: str) -> DataFr
         if out:
             yield from _deal(out, fine_parts)
 
-    contexts = texts.join(per_doc, "doc").select("doc", "data", "base", "rows").mapInArrow(cut, _CONTEXT)
+    contexts = texts.join(per_text, F.expr(_OWN_ROWS)).select("doc", "data", "base", "rows").mapInArrow(cut, _CONTEXT)
     compared = stored(
         contexts.groupBy("part").applyInPandas(lambda rows: _compare(rows, 1 << 30), _COMPARED), "compared"
     )
@@ -586,12 +622,12 @@ def _from_copy(copy: DataFrame, total: int, id_col: str, id_kind: str) -> DataFr
     )
     compared = compared.filter("part < 0").select("doc", "lo", "last").unionByName(single)
     starts = settled.filter("NOT fine").select("doc", "lo", "last").unionByName(compared)
-    found = starts.groupBy("doc").agg(F.collect_list(F.struct("lo", "last")).alias("starts"))
+    found = _by_text(starts, n_buckets, "starts", "lo", "last")
 
-    nth = F.row_number().over(W.partitionBy("doc", "digest").orderBy("digest"))
+    nth = F.row_number().over(W.partitionBy("doc", "salt", "digest").orderBy("digest"))
     every = (
-        copy.withColumn("nth", nth).join(leads, "doc", "left").join(found, "doc", "left")
-        .select("doc", "digest", "n", "nth", F.col("bases")[F.col("digest")].alias("base"), "starts",
+        copy.withColumn("nth", nth).join(leads, F.expr(_OWN_LEAD), "left").join(found, F.expr(_OWN_ROWS), "left")
+        .select("doc", "digest", "n", "nth", "base", "starts",
                 F.when(F.col("starts").isNotNull(), F.col("data")).alias("data"))
     )
     nothing = hashlib.sha256(b"").hexdigest()

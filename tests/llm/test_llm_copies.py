@@ -199,6 +199,25 @@ def test_no_group_holds_a_context_of_every_text(spark, monkeypatch):
     assert sorted(got, key=repr) == plain_repeats([(i if i is None else i + 7, t) for i, t in given])
 
 
+@pytest.mark.parametrize("digits, bits", [(5, 11), (1, 8)])
+def test_a_third_of_the_rows_share_an_id_and_a_third_have_none(spark, monkeypatch, digits, bits):
+    """Each text meets its own rows, whether few or many texts of an id are dealt together."""
+    monkeypatch.setattr(sb, "SALT_DIGITS", digits)
+    monkeypatch.setattr(sb, "RANK_BITS", bits)
+    given = passages(random.Random(11)) + passages(random.Random(12)) + surrounded(random.Random(4), 60)
+    given = [((None, 7, i)[i % 3], text) for i, (_, text) in enumerate(given)]
+    frame = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
+    assert sorted((tuple(r)[:5] for r in sb.remove_repeats(frame).collect()), key=repr) == plain_repeats(given)
+
+
+def test_more_texts_of_an_id_than_can_be_numbered_stop_the_query(spark, monkeypatch):
+    monkeypatch.setattr(sb, "SALT_DIGITS", 1)
+    monkeypatch.setattr(sb, "RANK_BITS", 1)
+    frame = spark.createDataFrame([(None, f"text {i}") for i in range(80)], "doc_id bigint, text string")
+    with pytest.raises(Exception, match="more texts than can be numbered"):
+        sb.remove_repeats(frame).collect()
+
+
 @pytest.mark.parametrize("hot", [1, 2, 3])
 def test_strings_dealt_one_by_one_equal_brute_force(spark, monkeypatch, hot):
     for name, value in (("HOT_CLASSES", hot), ("HOT_CONTEXTS", hot), ("KEY_ROWS", 40), ("TASK_ROWS", 60)):
