@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -95,6 +95,12 @@ def _archive(n: int):
     return F.pmod(F.xxhash64("page_id", "tie"), F.lit(n)).cast("int")
 
 
+def _shared(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of Spark's default file system where it has none of its own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+
+
 def _store(path: str):
     """(file system or None for the local disk, name) of a path in a store that all executors share."""
     if path.startswith("/") or urlparse(path).scheme == "file":
@@ -149,7 +155,8 @@ def write_archives(pages: DataFrame, kinds: DataFrame, folder: str) -> DataFrame
     both = kinds.drop("n_archives").withColumn("side", F.lit(0)).unionByName(
         texts.withColumn("side", F.lit(1)), allowMissingColumns=True
     )
-    dealt = both.repartition(n_archives, "archive").sortWithinPartitions("archive", "page_id", "tie", "side", "nth")
+    # by the number itself: hashed again, archives would share tasks while other tasks have none
+    dealt = both.repartitionById(n_archives, F.col("archive")).sortWithinPartitions("archive", "page_id", "tie", "side", "nth")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, archive, path, offset, heads = None, None, "", 0, []
@@ -267,7 +274,8 @@ def archive_round_trip(
     """
     uniform = _uniform(pages, id_col, url_col, html_col)
     kinds = stored(record_kinds(uniform), "record_kinds")
-    index = stored(write_archives(uniform, kinds, scratch_path(pages.sparkSession, "warc")), "warc_index")
+    folder = _shared(pages.sparkSession, scratch_path(pages.sparkSession, "warc"))
+    index = stored(write_archives(uniform, kinds, folder), "warc_index")
     found = stored(read_records(index), "warc_records")
     # a hot payload shrinks to one line here before it meets its response
     links = found.filter("record_type = 'revisit'").select("refers_to", "payload_bytes", "payload_digest").distinct()
