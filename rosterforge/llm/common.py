@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,26 @@ def hash_order(*cols: str, seed: int = 0) -> Column:
     return F.xxhash64(*cols, F.lit(seed))
 
 
+def smallest_by_hash(rows: DataFrame, k: int, order: Column, *ties: str, group: str | None = None) -> DataFrame:
+    """The k rows with the smallest `order` (a 64-bit hash) of the table, or of each of its few groups.
+
+    The table is read three times and should be stored. Groups are counted first, and only rows whose hash is
+    below the share of about 2 k rows are brought together, so what one task reads does not grow with
+    the number of tasks. Hashes that fall unevenly (many rows of one hash) only let more rows or all pass.
+    """
+    keys = F.lit(0) if group is None else F.col(group)
+    sizes = rows.groupBy(keys.alias("_group")).count().collect()
+    few, at = [], 2 * k + 64
+    for size in sizes:
+        own = keys.eqNullSafe(F.lit(size["_group"]))
+        if size["count"] > 2 * at:
+            below = own & (order < F.lit(-(1 << 63) + (1 << 64) * at // size["count"]))
+            if rows.filter(below).count() >= k:
+                own = below
+        few.append(rows.filter(own).orderBy(order, *ties).limit(k))
+    return reduce(DataFrame.unionByName, few) if few else rows.limit(0)
+
+
 def rows_that_may_match(rows: DataFrame, wanted: DataFrame, *keys: str, bits: int = 24) -> DataFrame:
     """The rows whose keys may be among the wanted ones: a cheap sieve ahead of a join that shuffles texts.
 

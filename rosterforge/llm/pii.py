@@ -11,9 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from rosterforge.llm.common import id_schema, small_batches
+from rosterforge.llm.common import id_schema, small_batches, smallest_by_hash
+from rosterforge.sources.staging import stored
 
 # The base patterns. They start where the written-out patterns can start, so that a
 # long run of one character is not tried again from each of its places.
@@ -464,11 +464,9 @@ def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     windows = docs.select(F.col(text_col).cast("string")).mapInArrow(
         cut, "window string, tags array<int>, held boolean"
     )
-    # equal windows count once; the rank limit is applied inside each task before the shuffle
-    ranked = windows.distinct().withColumn(
-        "_at", F.row_number().over(W.partitionBy("held").orderBy(F.xxhash64("window"), "window"))
-    )
-    by_hash = ranked.filter(F.col("_at") <= FIT_WINDOWS // 2).collect()
+    # equal windows count once
+    once = stored(windows.distinct(), "windows")
+    by_hash = smallest_by_hash(once, FIT_WINDOWS // 2, F.xxhash64("window"), "window", group="held").collect()
     by_hash = sorted({(r["window"], tuple(r["tags"])) for r in by_hash})
     if not any(any(tags) for _, tags in by_hash):
         return None
