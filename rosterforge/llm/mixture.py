@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from rosterforge.config import Config
-from rosterforge.llm.common import PIECE, hash_order, pieces, small_batches
+from rosterforge.llm.common import PIECE, hash_order, pieces, small_batches, smallest_by_hash
 from rosterforge.llm.langid import cluster
 from rosterforge.operators.skew import hot_keys, salted_join
 from rosterforge.sources.staging import stored
@@ -60,10 +60,15 @@ def read_text(text: str | None, places: _Places) -> tuple[int, np.ndarray]:
 
 
 def fit_topics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """Unit centroids of a bounded sample of documents, chosen by hash of the id."""
+    """Unit centroids of at most FIT_ROWS documents, chosen by a hash of id and text.
+
+    Rows, not ids, are chosen, so one id with very many texts brings no more than its share; rows
+    that repeat both count once.
+    """
     small_batches(docs.sparkSession)
-    ids = docs.select(id_col).filter(F.col(id_col).isNotNull()).distinct()
-    chosen = ids.orderBy(hash_order(id_col, seed=2), id_col).limit(FIT_ROWS)
+    key = [F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash")]
+    keys = stored(docs.filter(F.col(text_col).isNotNull()).select(*key).distinct(), "topic_keys")
+    chosen = stored(smallest_by_hash(keys, FIT_ROWS, hash_order("_id", "_hash", seed=2), "_id", "_hash"), "topic_sample")
 
     def read(batches):
         places = _Places()
@@ -71,7 +76,11 @@ def fit_topics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             vectors = [read_text(t, places)[1].astype(np.float32) for t in pdf["text"]]
             yield pd.DataFrame({"id": pdf["id"].astype(str), "vector": vectors})
 
-    sample = docs.join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(*key, F.col(text_col).alias("text")).alias("d").join(
+        F.broadcast(chosen.alias("c")), F.expr("d._id <=> c._id AND d._hash = c._hash")
+    )
+    once = texts.groupBy("d._id", "d._hash").agg(F.min("text").alias("text"))
+    sample = once.select(F.concat_ws(" ", "_id", "_hash").alias("id"), "text")
     rows = sample.mapInPandas(read, "id string, vector array<float>").toPandas()
     rows = rows.sort_values("id", kind="stable")
     x = np.array(rows["vector"].tolist(), float).reshape(-1, TOPIC_DIMS)

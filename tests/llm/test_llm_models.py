@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
 from rosterforge.llm import langid, mixture, neighbours, pii, secrets, toxicity, warc
-from rosterforge.llm.common import crc_mod, table
+from rosterforge.llm.common import crc_mod, hash_order, smallest_by_hash, table
 from rosterforge.llm.queries import ORACLE, QUERIES
 
 MEDIUM = "/root/testdata/sf0.01"
@@ -492,3 +492,39 @@ def test_planted_secrets_are_found_and_prose_is_left_alone(spark):
             assert hits >= 38, (alphabet, frame, hits)
     clean = [t.encode() for t in prose]
     assert sum(len(novelty.spans(t, secrets.base_spans(t))) for t in clean) <= 0.01 * len(clean)
+
+
+@pytest.mark.parametrize("group", [None, "g"])
+def test_the_smallest_hashes_are_exact_and_bounded(spark, group):
+    rows_ = spark.range(4000).select("id", F.expr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 2 END AS g"))
+    found = smallest_by_hash(rows_, 7, hash_order("id", seed=4), "id", group=group).collect()
+    every = rows_.withColumn("at", hash_order("id", seed=4)).collect()
+    want = []
+    for g in ({r["g"] for r in every} if group else [...]):
+        want += [r["id"] for r in sorted((r for r in every if g in (..., r["g"])), key=lambda r: r["at"])[:7]]
+    assert sorted(r["id"] for r in found) == sorted(want)
+
+
+def test_equal_hashes_do_not_empty_the_sample(spark):
+    rows_ = spark.range(3000).select("id", F.lit((1 << 63) - 1).alias("at"))
+    assert [r["id"] for r in smallest_by_hash(rows_, 5, F.col("at"), "id").collect()] == [0, 1, 2, 3, 4]
+
+
+def test_topics_of_one_id_with_many_texts_rest_on_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(mixture, "FIT_ROWS", 50)
+    seen = []
+    monkeypatch.setattr(mixture, "cluster", lambda x, k: seen.append(len(x)) or x[:k])
+    docs = spark.range(900).select(F.lit(1).alias("doc_id"), F.concat(F.lit("document"), "id").alias("text"))
+    mixture.fit_topics(docs.unionByName(docs))
+    assert seen == [50]
+
+
+def test_every_archive_is_written_by_a_task_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    html = F.concat(F.repeat(F.lit("page"), 100), "id")
+    pages = warc._uniform(spark.range(400).select("id", F.lit("u").alias("url"), html.alias("html")), "id", "url", "html")
+    kinds = warc.stored(warc.record_kinds(pages), "record_kinds")
+    n = kinds.first()["n_archives"]
+    index = warc.write_archives(pages, kinds, warc._shared(spark, warc.scratch_path(spark, "warc")))
+    tasks = index.select(F.spark_partition_id().alias("task"), "path").distinct().collect()
+    assert n > 4 and len(tasks) == n and len({r["task"] for r in tasks}) == n
