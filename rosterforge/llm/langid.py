@@ -126,8 +126,9 @@ def cluster(x: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
 def fit_langid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> CentroidModel:
     """IDF over all given documents with a language, centroids over a bounded sample of each.
 
-    The sample is the FIT_ROWS documents per language with the smallest hash of the id; ids are
-    ranked first, without their texts. Each language is clustered in a task of its own, whose
+    The sample is the FIT_ROWS rows per language with the smallest hash of id and text; rows, not
+    ids, are chosen, from narrow columns, so one id with very many texts brings no more than its
+    share, and rows that repeat both count once. Each language is clustered in a task of its own, whose
     input is bounded by FIT_ROWS. Rows without a language, a letter or an id teach nothing.
     """
     known = docs.select(
@@ -135,13 +136,19 @@ def fit_langid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ).filter("lang IS NOT NULL AND id IS NOT NULL AND text IS NOT NULL")
     seen, n = document_frequencies(known, "text")
     idf = np.log((1 + n) / (1 + seen)) + 1
-    by_hash = W.partitionBy("lang").orderBy(hash_order("id", seed=1), "id")
-    # the rank limit is applied inside each task before the shuffle, so a hot language stays small
+    key = ["id", "lang", "hash"]
+    known = known.withColumn("hash", F.xxhash64("text"))
+    keys = stored(known.select(*key).distinct(), "language_keys")
+    # hashes above the share of about 2 * FIT_ROWS rows are left out before the languages meet in their windows
+    sizes = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    at = F.shiftrightunsigned(hash_order("id", "hash", seed=1), 11)
+    by_hash = W.partitionBy("lang").orderBy("at", "id", "hash")
     chosen = (
-        known.select("id", "lang").distinct().withColumn("_at", F.row_number().over(by_hash))
-        .filter(F.col("_at") <= FIT_ROWS).select("id", "lang")
+        keys.withColumn("at", at).join(sizes, "lang").filter(F.col("at") / float(1 << 53) * F.col("n") <= 2 * FIT_ROWS + 64)
+        .withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= FIT_ROWS).select(*key)
     )
-    sample = stored(known.join(F.broadcast(chosen), ["id", "lang"]).select("id", "text", "lang"), "language_sample")
+    texts = known.join(F.broadcast(stored(chosen, "language_chosen")), key)
+    sample = stored(texts.groupBy(*key).agg(F.min("text").alias("text")).select("id", "text", "lang"), "language_sample")
 
     def learn(tables):
         x, lang = [], None

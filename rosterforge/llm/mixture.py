@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from warnings import warn
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from rosterforge.config import Config
-from rosterforge.llm.common import PIECE, hash_order, pieces, small_batches, smallest_by_hash
-from rosterforge.llm.langid import cluster
+from rosterforge.llm.common import PIECE, pieces, small_batches
 from rosterforge.operators.skew import hot_keys, salted_join
 from rosterforge.sources.staging import stored
 
 TOPICS = 8
 TOPIC_DIMS = 256
 LONG_WORD = 7              # letters of the words that tell a topic
-FIT_ROWS = 4_000           # documents that the topics are clustered from
+CELL_BITS = 8              # signs by which vectors are summed for the start of the clustering
+TOPIC_ROUNDS = 6           # most k-means rounds over all documents
 KEEP_SHARE = 0.5           # share of all tokens to sample
 TEMPERATURE = 0.5          # default targets: observed shares to this power
 DRIVER_CELLS = 50_000      # cells that are raked on the driver and broadcast; more are raked in Spark
@@ -59,50 +60,99 @@ def read_text(text: str | None, places: _Places) -> tuple[int, np.ndarray]:
     return total, vector / size if size else vector
 
 
-def fit_topics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """Unit centroids of at most FIT_ROWS documents, chosen by a hash of id and text.
+def stored_vectors(vectors) -> np.ndarray:
+    """Rows of a binary column of `texts_read` as numbers of 0 to 255, exact in sums and products."""
+    return np.frombuffer(b"".join(vectors), np.uint8).reshape(-1, TOPIC_DIMS).astype(float)
 
-    Rows, not ids, are chosen, so one id with very many texts brings no more than its share; rows
-    that repeat both count once.
+
+def whole_units(sums: np.ndarray) -> np.ndarray:
+    """Rows at unit length, in whole steps of 1 / 32767, so products with stored vectors are exact."""
+    return np.rint(32767 * sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12))
+
+
+def _sums(vectors: DataFrame, places: Callable[[np.ndarray], np.ndarray], n: int) -> np.ndarray:
+    """Sums of the vectors by the place (0 to n - 1) each is given; a last column counts them.
+
+    Every task adds up its own rows; at most n * (TOPIC_DIMS + 1) whole numbers a task are
+    shuffled and reach the driver, however many rows there are.
     """
-    small_batches(docs.sparkSession)
-    key = [F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash")]
-    keys = stored(docs.filter(F.col(text_col).isNotNull()).select(*key).distinct(), "topic_keys")
-    chosen = stored(smallest_by_hash(keys, FIT_ROWS, hash_order("_id", "_hash", seed=2), "_id", "_hash"), "topic_sample")
+    width = TOPIC_DIMS + 1
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((n, width))
+        for batch in batches:
+            x = stored_vectors(batch.column(0).to_pylist())
+            x = x[x.any(axis=1)]
+            own = (places(x)[None, :] == np.arange(n)[:, None]).astype(float)
+            total += own @ np.hstack([x, np.ones((len(x), 1))])
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at].astype(np.int64))], ["at", "amount"])
+
+    rows = vectors.mapInArrow(add, "at bigint, amount bigint").groupBy("at").agg(F.sum("amount").alias("amount")).toPandas()
+    out = np.zeros(n * width)
+    out[rows["at"].to_numpy(np.int64)] = rows["amount"].to_numpy(float)
+    return out.reshape(n, width)
+
+
+def fit_topics(vectors: DataFrame) -> np.ndarray:
+    """At most TOPICS centroids of all rows of a stored table with one binary column of vectors.
+
+    The start comes from sums of all vectors by the signs of CELL_BITS fixed projections: k-means
+    of those sums, weighed by what they hold. Up to TOPIC_ROUNDS rounds of spherical k-means over all
+    vectors follow, fewer where nothing changes. All sums are whole numbers, so neither the order
+    nor the partitions of the rows change a centroid.
+    """
+    planes = np.where(np.random.default_rng(5).random((TOPIC_DIMS, CELL_BITS)) < 0.5, -1.0, 1.0)
+    signs = _sums(vectors, lambda x: (x @ planes > 0) @ (1 << np.arange(CELL_BITS)), 1 << CELL_BITS)
+    cells = signs[signs[:, -1] > 0][:, :-1]
+    if not len(cells):
+        return np.zeros((0, TOPIC_DIMS))
+    units, centres = whole_units(cells), whole_units(cells[[np.argmax(cells.sum(axis=1))]])
+    while len(centres) < min(TOPICS, len(cells)):
+        centres = np.vstack([centres, units[[np.argmin((units @ centres.T).max(axis=1))]]])
+    for _ in range(TOPIC_ROUNDS):
+        own = np.argmax(units @ centres.T, axis=1)
+        centres = _moved(centres, np.stack([cells[own == i].sum(axis=0) for i in range(len(centres))]))
+    for _ in range(TOPIC_ROUNDS):
+        before = centres
+        # bound as a default, as the task's copy must not follow the next round
+        sums = _sums(vectors, lambda x, c=centres: np.argmax(x @ c.T, axis=1), len(centres))
+        centres = _moved(centres, sums[:, :-1])
+        if (centres == before).all():
+            break
+    return centres
 
-    def read(batches):
-        places = _Places()
-        for pdf in batches:
-            vectors = [read_text(t, places)[1].astype(np.float32) for t in pdf["text"]]
-            yield pd.DataFrame({"id": pdf["id"].astype(str), "vector": vectors})
 
-    texts = docs.select(*key, F.col(text_col).alias("text")).alias("d").join(
-        F.broadcast(chosen.alias("c")), F.expr("d._id <=> c._id AND d._hash = c._hash")
-    )
-    once = texts.groupBy("d._id", "d._hash").agg(F.min("text").alias("text"))
-    sample = once.select(F.concat_ws(" ", "_id", "_hash").alias("id"), "text")
-    rows = sample.mapInPandas(read, "id string, vector array<float>").toPandas()
-    rows = rows.sort_values("id", kind="stable")
-    x = np.array(rows["vector"].tolist(), float).reshape(-1, TOPIC_DIMS)
-    x = x[x.any(axis=1)]
-    return cluster(x, TOPICS) if len(x) else np.zeros((0, TOPIC_DIMS))
+def _moved(centres: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Centroids of the sums; one that nothing is near to stays."""
+    return np.where(sums.any(axis=1, keepdims=True), whole_units(sums), centres)
 
 
-def topic_and_tokens(centres: np.ndarray) -> Column:
-    """A column function: text -> (tokens, topic); topic -1 has no telling word."""
+def texts_read() -> Column:
+    """A column function: text -> (number of words, vector of its long words in 256 steps, one byte a place)."""
 
-    @pandas_udf("tokens bigint, topic int")
+    @pandas_udf("tokens bigint, vector binary")
     def read(texts: pd.Series) -> pd.DataFrame:
         places = _Places()
         found = [read_text(t, places) for t in texts]
-        x = np.array([v for _, v in found]).reshape(-1, TOPIC_DIMS)
-        topics = np.argmax(x @ centres.T, axis=1) if len(centres) else np.full(len(x), -1)
-        topics = np.where(x.any(axis=1), topics, -1)
-        return pd.DataFrame({"tokens": [n for n, _ in found], "topic": topics})
+        vectors = [np.rint(255 * v).astype(np.uint8).tobytes() for _, v in found]
+        return pd.DataFrame({"tokens": [n for n, _ in found], "vector": vectors})
 
     return read
 
 
+def topic_of(centres: np.ndarray) -> Column:
+    """A column function: stored vector -> the nearest topic; -1 without a telling word."""
+
+    @pandas_udf("int")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        x = stored_vectors(vectors)
+        topics = np.argmax(x @ centres.T, axis=1) if len(centres) else np.full(len(x), -1)
+        return pd.Series(np.where(x.any(axis=1), topics, -1))
+
+    return nearest
+
+
 def rake(cells: np.ndarray, mass: np.ndarray, targets: list[np.ndarray]) -> tuple[np.ndarray, float]:
     """Iterative proportional fitting of `mass` over cells [cell, dimension] to marginal shares.
 
@@ -188,8 +238,8 @@ def mix_sources(
     """(row, tokens, topic, probability, weight, sampled) for every row of `docs`; `row` holds the
     columns in `carry`, all by default.
 
-    Tokens are white-space words; topics are clusters of hashed long words, fitted on a bounded
-    sample and told for every whole text. Tokens are summed per (source, language, topic) over
+    Tokens are white-space words; topics are clusters of hashed long words, fitted on all rows
+    and told for every whole text. Tokens are summed per (source, language, topic) over
     all rows, and the sums are raked to the target shares per dimension, on the driver up to
     DRIVER_CELLS of them and in Spark beyond. Without given targets a dimension's shares are
     flattened by TEMPERATURE, every category having a target of its own. Null sources and
@@ -197,18 +247,20 @@ def mix_sources(
     one. A warning tells where a marginal is left more than DEVIATION off its target. Sampling compares a hash of id and
     text with the probability, so a rerun takes the same rows and equal rows share their fate. A
     text without words weighs nothing and is sampled as its cell is, or not at all in a cell
-    without tokens. The texts are read once and not shuffled.
+    without tokens. The texts are read once and not shuffled; TOPIC_DIMS bytes of a text are stored for
+    the topics.
     """
     small_batches(docs.sparkSession)
-    seen = topic_and_tokens(fit_topics(docs, id_col, text_col))
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(f"_{c}")
     text = F.col(text_col).cast("string")
     marked = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row"), F.xxhash64(id_col, F.xxhash64(text)).alias("_draw"),
-        name("source"), name("lang"), seen(text).alias("_read"),
-    ).withColumns({"tokens": F.col("_read.tokens"), "_topic": F.col("_read.topic")}).drop("_read")
-    # texts are read once: the sums and the sampling both start from this copy
+        name("source"), name("lang"), texts_read()(text).alias("_read"),
+    ).withColumns({"tokens": F.col("_read.tokens"), "_vector": F.col("_read.vector")}).drop("_read")
+    # texts are read once: the topics, the sums and the sampling all start from this copy
     marked = stored(marked, "mixture_rows")
+    topic = topic_of(fit_topics(marked.select("_vector")))
+    marked = marked.withColumn("_topic", topic("_vector")).drop("_vector")
     narrow = marked.groupBy("_source", "_lang", "_topic").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
     sums = stored(narrow, "mixture_cells")
 

@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rosterforge.llm.common import hash_order, id_schema, small_batches
+from rosterforge.config import Config
+from rosterforge.llm.common import hash_order, id_schema, small_batches, smallest_by_hash
+from rosterforge.operators.skew import join_many_to_one
 from rosterforge.sources.staging import stored
 
-#: Most toxic, clean and unlabelled rows that the lexicon is counted on (in Spark), and most of each
-#: that the label model and the classifier are fitted on (in the driver).
+#: Most toxic and clean rows that the lexicon is counted on (in Spark), and most toxic, clean and
+#: unlabelled rows that the classifier is fitted on (in the driver). The label model rests on all rows.
 FIT_ROWS = 6_000
 TRAIN_ROWS = 2_000
 SLICES = 8                 # lexicon voters, and as many pattern voters
@@ -120,22 +122,27 @@ def votes_of(shares: np.ndarray) -> np.ndarray:
     return np.hstack([by_slice, by_total, np.where(dense, 1, np.where(silent, -1, 0)), empty]).astype(np.int8)
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(
+    votes: np.ndarray, gold: np.ndarray, times: np.ndarray | None = None, rounds: int = 30
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior P(toxic), voter tables P(vote | class) and correlations inside a class.
 
-    Expectation maximisation over all rows. The given labels are one more voter that abstains
-    where there is none (`gold` -1) and is nearly always right. Each voter has its own table of
-    hit rates per class. Voters that still move together once the class is known are correlated;
-    their evidence is divided by the amount they share, so it is not counted twice.
+    Expectation maximisation over all rows, each standing `times` times (once by default). The given
+    labels are one more voter that abstains where there is none (`gold` -1) and is nearly always
+    right. Each voter has its own table of hit rates per class. Voters that still move together once
+    the class is known are correlated; their evidence is divided by the amount they share, so it is
+    not counted twice.
     """
     n, m = votes.shape
+    times = np.ones(n) if times is None else times.astype(float)
     one_hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
     known = np.where(gold < 0, 0.0, np.where(gold == 1, 6.0, -6.0))
-    prior = np.clip((gold == 1).sum() / max((gold >= 0).sum(), 1), 0.02, 0.5)
+    prior = np.clip(times[gold == 1].sum() / max(times[gold >= 0].sum(), 1), 0.02, 0.5)
     post = np.where(gold >= 0, gold == 1, 1 / (1 + np.exp(-(votes.sum(axis=1) / 2.0 + np.log(prior / (1 - prior))))))
     tempered, correlation = np.ones(m), np.eye(m)
+    free = times * (gold < 0) if (gold < 0).any() else times
     for _ in range(rounds):
-        mass = np.stack([1 - post, post], axis=1)
+        mass = np.stack([1 - post, post], axis=1) * times[:, None]
         tables = (np.einsum("nc,nmv->cmv", mass, one_hot) + 1.0) / (mass.sum(axis=0)[:, None, None] + 3.0)
         spread = np.zeros((m, m))
         for c in (0, 1):
@@ -145,7 +152,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> tuple[
         correlation = spread / np.outer(scale, scale)
         strong = np.where(np.abs(correlation) > 0.1, np.abs(correlation), 0)
         tempered = 1 / np.maximum(strong.sum(axis=1), 1)
-        prior = np.clip(post[gold < 0].mean() if (gold < 0).any() else post.mean(), 0.01, 0.6)
+        prior = np.clip((free * post).sum() / free.sum(), 0.01, 0.6)
         evidence = np.einsum("nmv,mv->nm", one_hot, np.log(tables[1]) - np.log(tables[0])) @ tempered
         logit = evidence + known + np.log(prior / (1 - prior))
         post = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
@@ -200,21 +207,61 @@ def fit_linear(
     return float(theta[0]), theta[1 : 1 + n_words], theta[1 + n_words :]
 
 
-def _fit_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(text, gold) of up to FIT_ROWS toxic, clean and unlabelled documents, chosen by hash of the id.
+def _known(docs: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
+    """(id, gold), the id of the type it has in `docs`: several labels for one id count as the highest."""
+    known = labels.filter(F.col("toxic").isNotNull() & F.col(id_col).isNotNull())
+    return known.groupBy(F.col(id_col).cast(docs.schema[id_col].dataType).alias("id")).agg(F.max("toxic").cast("int").alias("gold"))
 
-    Ids are chosen first, from narrow columns, and brought together by a broadcast of at most
-    3 x FIT_ROWS ids; the texts are written once. Several labels for one id: the highest counts.
+
+def _fit_sample(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, hash, text, gold) of up to FIT_ROWS toxic, clean and unlabelled rows, by hash of id and text.
+
+    Rows, not ids, are chosen, from narrow columns, and brought together by a broadcast of at most
+    3 x FIT_ROWS keys; the texts are written once. Rows that repeat id and text count once.
+    """
+    key = [F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash")]
+    ids = docs.filter(F.col(id_col).isNotNull()).select(*key).distinct()
+    marked = join_many_to_one(ids, known, ["id"], "left", "hash", Config())
+    marked = stored(marked.select("id", "hash", F.coalesce("gold", F.lit(-1)).alias("gold")), "toxicity_keys")
+    chosen = smallest_by_hash(marked, FIT_ROWS, hash_order("id", "hash"), "id", "hash", group="gold")
+    picked = docs.select(*key, F.col(text_col).cast("string").alias("text")).join(
+        F.broadcast(stored(chosen, "toxicity_chosen")), ["id", "hash"]
+    )
+    # equal rows once; `min` passes over a null text
+    return stored(picked.groupBy("id", "hash", "gold").agg(F.min("text").alias("text")), "toxicity_sample")
+
+
+def vote_code(votes: np.ndarray) -> np.ndarray:
+    """Rows of votes as one number each, base three."""
+    return (votes.astype(np.int64) + 1) @ 3 ** np.arange(votes.shape[1], dtype=np.int64)
+
+
+def _votes_of_all(
+    docs: DataFrame, known: DataFrame, entries: frozenset[str], id_col: str, text_col: str
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Votes, label (-1 for none) and number of rows of every combination that occurs among all rows.
+
+    Either the whole lexicon is silent or each of 2 * SLICES voters hits or abstains, and the other voters
+    follow from that but for one, so fewer than 2 ** (2 * SLICES + 1) + 2 combinations per label can
+    exist and reach the driver, however many rows there are.
     """
-    known = labels.filter(F.col("toxic").isNotNull()).groupBy(id_col).agg(F.max("toxic").cast("int").alias("gold"))
-    ids = docs.select(id_col).filter(F.col(id_col).isNotNull()).distinct()
-    marked = ids.join(known, id_col, "left").select(id_col, F.coalesce("gold", F.lit(-1)).alias("gold"))
-    chosen = None
-    for gold in (1, 0, -1):
-        some = marked.filter(F.col("gold") == gold).orderBy(hash_order(id_col), id_col).limit(FIT_ROWS)
-        chosen = some if chosen is None else chosen.unionByName(some)
-    picked = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(chosen), id_col)
-    return stored(picked.select(F.col(id_col).alias("id"), "text", "gold"), "toxicity_sample")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = WordTable(entries)
+        for batch in batches:
+            shares = np.array([read_words(t, table)[2] for t in batch.column(1).to_pylist()]).reshape(-1, N_VOTERS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vote_code(votes_of(shares)))], ["id", "code"])
+
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    # read once: keys are counted on this copy before they are joined
+    coded = stored(picked.mapInArrow(read, id_schema(picked, "id", "code bigint")), "toxicity_votes")
+    sizes = coded.groupBy("id", "code").agg(F.count(F.lit(1)).alias("n"))
+    marked = join_many_to_one(sizes, known, ["id"], "left", "code", Config())
+    found = marked.groupBy("code", F.coalesce("gold", F.lit(-1)).alias("gold")).agg(F.sum("n").alias("n"))
+    rows = found.toPandas().sort_values(["code", "gold"])
+    code = rows["code"].to_numpy(np.int64)
+    votes = (code[:, None] // 3 ** np.arange(N_VOTERS, dtype=np.int64) % 3 - 1).astype(np.int8)
+    return votes, rows["gold"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
 
 
 def _lexicon(sample: DataFrame) -> frozenset[str]:
@@ -272,13 +319,17 @@ def _lexicon(sample: DataFrame) -> frozenset[str]:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LinearModel:
-    """Learn voters, label model and classifier from a bounded sample of the given documents.
+    """Learn voters, label model and classifier from the given documents.
 
-    The caller passes only documents it may learn from. Without any labelled or any toxic row
-    the lexicon is empty and every score is low.
+    The lexicon comes from a bounded sample of labelled rows, the label model's accuracies and
+    correlations from the votes on all rows, the classifier from a bounded sample with the
+    posteriors of the label model. The caller passes only documents it may learn from. Without any
+    labelled or any toxic row the lexicon is empty and every score is low. Rows without an id are
+    unlabelled.
     """
     small_batches(docs.sparkSession)
-    sample = _fit_sample(docs, labels, id_col, text_col)
+    known = stored(_known(docs, labels, id_col), "toxicity_labels")
+    sample = _fit_sample(docs, known, id_col, text_col)
     entries = _lexicon(sample)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,24 +337,27 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         for batch in batches:
             found = [read_words(t, table) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.string()), batch.column(2),
+                [batch.column(0).cast(pa.string()), batch.column(2), batch.column(3),
                  pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())),
                  pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32())),
                  pa.array([f[2] for f in found], pa.list_(pa.float64()))],
-                ["id", "gold", "idx", "weight", "share"],
+                ["id", "gold", "hash", "idx", "weight", "share"],
             )
 
-    schema = "id string, gold int, idx array<int>, weight array<float>, share array<double>"
-    by_hash = W.partitionBy("gold").orderBy(hash_order("id"), "id")
+    schema = "id string, gold int, hash bigint, idx array<int>, weight array<float>, share array<double>"
+    by_hash = W.partitionBy("gold").orderBy(hash_order("id", "hash"), "id", "hash")
     fewer = sample.withColumn("_at", F.row_number().over(by_hash)).filter(F.col("_at") <= TRAIN_ROWS)
-    picked = fewer.select("id", "text", "gold")
-    rows = picked.mapInArrow(read, schema).toArrow().sort_by([("id", "ascending"), ("gold", "ascending")])
+    picked = fewer.select("id", "text", "gold", "hash")
+    rows = picked.mapInArrow(read, schema).toArrow().sort_by([("id", "ascending"), ("hash", "ascending")])
     idx, weight, share = (rows.column(c).combine_chunks() for c in ("idx", "weight", "share"))
     shares, gold = share.flatten().to_numpy().reshape(-1, N_VOTERS), rows.column("gold").to_numpy()
     if not (gold == 1).any():
         tables = np.full((2, N_VOTERS, 3), 1 / 3)
         return LinearModel(entries, -4.0, np.zeros(1 << BITS), np.zeros(2 * N_VOTERS), tables, np.eye(N_VOTERS))
-    post, tables, correlation = label_model(votes_of(shares), gold)
+    votes, labelled, times = _votes_of_all(docs, known, entries, id_col, text_col)
+    of_all, tables, correlation = label_model(votes, labelled, times)
+    place = {key: i for i, key in enumerate(zip(vote_code(votes).tolist(), labelled.tolist()))}
+    post = of_all[[place[key] for key in zip(vote_code(votes_of(shares)).tolist(), gold.tolist())]]
     row = np.repeat(np.arange(len(gold)), idx.value_lengths().to_numpy())
     words = row, idx.flatten().to_numpy(), weight.flatten().to_numpy()
     return LinearModel(entries, *fit_linear(*words, shares, post), tables, correlation)

@@ -16,6 +16,7 @@ from conftest import SMALL, rows
 from rosterforge.llm import langid, mixture, neighbours, pii, secrets, toxicity, warc
 from rosterforge.llm.common import crc_mod, hash_order, smallest_by_hash, table
 from rosterforge.llm.queries import ORACLE, QUERIES
+from rosterforge.sources.staging import stored
 
 MEDIUM = "/root/testdata/sf0.01"
 
@@ -510,13 +511,70 @@ def test_equal_hashes_do_not_empty_the_sample(spark):
     assert [r["id"] for r in smallest_by_hash(rows_, 5, F.col("at"), "id").collect()] == [0, 1, 2, 3, 4]
 
 
-def test_topics_of_one_id_with_many_texts_rest_on_a_bounded_sample(spark, monkeypatch):
-    monkeypatch.setattr(mixture, "FIT_ROWS", 50)
-    seen = []
-    monkeypatch.setattr(mixture, "cluster", lambda x, k: seen.append(len(x)) or x[:k])
-    docs = spark.range(900).select(F.lit(1).alias("doc_id"), F.concat(F.lit("document"), "id").alias("text"))
-    mixture.fit_topics(docs.unionByName(docs))
-    assert seen == [50]
+def vectors_of(docs):
+    return docs.select(mixture.texts_read()(F.col("text").cast("string"))["vector"].alias("_vector"))
+
+
+def test_topics_rest_on_all_rows_in_any_order(spark):
+    words = ["astronomy telescope", "cooking ingredients", "football championship"]
+    texts = [(i, f"{words[i % 3]} {words[i % 3]} document{i % 7}") for i in range(600)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    vectors = stored(vectors_of(docs), "topic_test")
+    centres = mixture.fit_topics(vectors)
+    assert (centres == mixture.fit_topics(vectors.repartition(7))).all()
+    told = [r[0] for r in vectors.select(mixture.topic_of(centres)("_vector")).collect()]
+    groups = {t: {i % 3 for i, u in enumerate(told) if u == t} for t in set(told)}
+    assert all(len(g) == 1 for g in groups.values()), "a topic mixes subjects"
+    # every centroid is the mean direction of all rows nearest to it
+    x = mixture.stored_vectors(r[0] for r in vectors.collect())
+    own = np.argmax(x @ centres.T, axis=1)
+    for i in set(own):
+        assert (centres[i] == mixture.whole_units(x[own == i].sum(axis=0, keepdims=True))).all()
+
+
+def test_topics_of_no_words(spark):
+    docs = spark.createDataFrame([(1, None), (2, "a b c")], "doc_id bigint, text string")
+    assert mixture.fit_topics(vectors_of(docs)).shape == (0, mixture.TOPIC_DIMS)
+
+
+def test_samples_of_one_id_with_many_texts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "FIT_ROWS", 50)
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 40)
+    docs = spark.range(900).select(F.lit(1).alias("doc_id"), F.concat(F.lit("document "), "id").alias("text"), F.lit("en").alias("lang"))
+    twice, sizes = docs.unionByName(docs), {}
+
+    def kept(module):
+        write = module.stored
+
+        def store(df, name):
+            sizes[name] = (out := write(df, name)).count()
+            return out
+        monkeypatch.setattr(module, "stored", store)
+
+    kept(langid)
+    kept(toxicity)
+    assert langid.fit_langid(twice).languages
+    known = spark.createDataFrame([(1, 1)], "id int, gold int")
+    toxicity._fit_sample(twice, known, "doc_id", "text")
+    assert (sizes["language_sample"], sizes["toxicity_sample"]) == (50, 40)
+
+
+def test_the_label_model_rests_on_the_votes_of_all_rows(spark):
+    entries = frozenset({"vile", "nasty", "aweful*"})
+    texts = ["vile words", "nasty vile words here", "kind words", "", None, "awefully plain words"]
+    docs = spark.createDataFrame([(i if i % 5 else None, texts[i % 6]) for i in range(300)], "doc_id bigint, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "id bigint, gold int")
+    votes, gold, times = toxicity._votes_of_all(docs, known, entries, "doc_id", "text")
+    table, want = toxicity.WordTable(entries), {}
+    for r in docs.collect():
+        own = toxicity.votes_of(toxicity.read_words(r["text"], table)[2][None, :])[0]
+        label = r["doc_id"] % 2 if r["doc_id"] is not None and r["doc_id"] < 40 else -1
+        want[(*own, label)] = want.get((*own, label), 0) + 1
+    assert {(*v, g): n for v, g, n in zip(votes.tolist(), gold, times)} == want
+    # a row that stands n times weighs as n rows
+    once = toxicity.label_model(votes, gold, times)
+    spelt = toxicity.label_model(np.repeat(votes, times, axis=0), np.repeat(gold, times))
+    assert np.allclose(once[1], spelt[1]) and np.allclose(np.repeat(once[0], times), spelt[0])
 
 
 def test_every_archive_is_written_by_a_task_of_its_own(spark, monkeypatch):
