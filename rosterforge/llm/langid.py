@@ -18,6 +18,7 @@ DIMS = 1 << 13             # hashed character n-grams
 ORDERS = (1, 2, 3)
 PIECE = 1 << 20            # characters of a text that are counted at once
 FIT_ROWS = 1_500           # most documents per language that the centroids are clustered from
+HOT_LANGUAGES = 1_000      # languages with at least 1 / this of all rows are thinned before they are ranked
 CENTROIDS = 4              # per language
 ROUNDS = 12
 REJECT_QUANTILE = 0.001    # share of a centroid's own documents that are farther than its limit
@@ -139,12 +140,15 @@ def fit_langid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = ["id", "lang", "hash"]
     known = known.withColumn("hash", F.xxhash64("text"))
     keys = stored(known.select(*key).distinct(), "language_keys")
-    # hashes above the share of about 2 * FIT_ROWS rows are left out before the languages meet in their windows
-    sizes = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # of languages with many rows, hashes above the share of about 2 * FIT_ROWS rows are left out where they
+    # lie, before a language meets in its window; at most HOT_LANGUAGES can have that share of all rows
+    least = max(4 * FIT_ROWS, keys.count() / HOT_LANGUAGES)
+    sizes = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
     at = F.shiftrightunsigned(hash_order("id", "hash", seed=1), 11)
     by_hash = W.partitionBy("lang").orderBy("at", "id", "hash")
     chosen = (
-        keys.withColumn("at", at).join(sizes, "lang").filter(F.col("at") / float(1 << 53) * F.col("n") <= 2 * FIT_ROWS + 64)
+        keys.withColumn("at", at).join(F.broadcast(sizes), "lang", "left")
+        .filter(F.col("n").isNull() | (F.col("at") / float(1 << 53) * F.col("n") <= 2 * FIT_ROWS + 64))
         .withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= FIT_ROWS).select(*key)
     )
     texts = known.join(F.broadcast(stored(chosen, "language_chosen")), key)
