@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -16,6 +18,7 @@ from rosterforge.operators.skew import join_many_to_one
 FIELDS = (
     "industry", "employee_count", "hq_country", "founded_year", "size_band", "description", "matched_name",
 )
+ROWS_A_TASK = 200_000  # matched rows that one task turns into a row per field, about
 
 
 def match_accounts(wide: DataFrame, raw_accounts: DataFrame, cfg: Config) -> DataFrame:
@@ -24,7 +27,9 @@ def match_accounts(wide: DataFrame, raw_accounts: DataFrame, cfg: Config) -> Dat
     The match runs on the wide rows, before they become one row per field, so the join moves a
     seventh of the rows. Two accounts with one domain both receive the enrichment. The rows have
     no id and may be exact copies, so those of a frequent (or missing) domain are told apart by
-    their place in the files.
+    their place in the files. By that place the matched rows are dealt evenly over tasks: one row
+    per field is seven times as many to sort, and a compressed file or a frequent domain can hold
+    very many.
     """
     accounts = raw_accounts.select(
         normalize_domain(F.col("domain"), "match").alias("domain_norm"),
@@ -32,7 +37,9 @@ def match_accounts(wide: DataFrame, raw_accounts: DataFrame, cfg: Config) -> Dat
     )
     wide = wide.withColumn("domain_norm", normalize_domain(F.col("domain"), "loader"))
     spread = wide.withColumn("_row", F.monotonically_increasing_id())
-    return join_many_to_one(spread, accounts, ["domain_norm"], "left", "_row", cfg).drop("_row")
+    matched = join_many_to_one(spread, accounts, ["domain_norm"], "left", "_row", cfg)
+    parts = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return matched.repartition(max(parts, math.ceil((cfg.most_rows or 0) / ROWS_A_TASK)), "_row").drop("_row")
 
 
 def to_long(matched: DataFrame) -> DataFrame:
