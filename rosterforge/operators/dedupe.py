@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 
 from rosterforge.config import Config
 from rosterforge.functions import similarity as sim
-from rosterforge.operators.skew import hot_keys, key_sizes, salted_join
+from rosterforge.operators.skew import hot_keys, hot_row_keys, salted_join
 from rosterforge.sources.staging import stored
 
 
@@ -55,7 +55,7 @@ def dedupe_exact(
     `hot_key_rows` rows (typically the missing key) are never gathered in one place.
     """
     survivor = f"survivor_{id_col}"
-    hot = hot_keys(key_sizes(df.select(key), [key]), [key], "_rows", cfg)
+    hot = hot_row_keys(df.select(key), [key], cfg)
     if hot:
         is_hot = F.xxhash64(key).isin(list(hot))
         grouped = _ordinary_groups(df.filter(~is_hot), key, id_col, prefer).unionByName(
@@ -139,7 +139,7 @@ def _meet(keyed: DataFrame, by: list[str], on: list[str], cfg: Config) -> DataFr
         *by, F.col("_other").alias("_own"), F.col("_text").alias("_text2"), F.col("_low").alias("_low2")
     )
     # a name writes many keys, so the size of the input tables says nothing here
-    hot = hot_keys(key_sizes(keyed, keys), keys, "_rows", replace(cfg, most_rows=None))
+    hot = hot_row_keys(keyed.select(*keys), keys, replace(cfg, most_rows=None))
     made_for = F.split_part("_key", F.lit("."), F.lit(1))
     common = sim.common_prefix(F.col("_text"), F.col("_text2")).cast("string")
     pairs = salted_join(keyed.drop("_other"), earlier, keys, "inner", hot, "_text").filter(

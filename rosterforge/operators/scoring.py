@@ -167,9 +167,9 @@ def score_contacts(
         ("account_id", "company_name", "domain", "industry", "employee_count", "country",
          "enrichment_status", F.col("description").alias("company_description")),
     )
-    joined = join_many_to_one(contacts, attributes, ["account_id"], "inner", "contact_id", cfg, hot).join(
-        engagement, "contact_id"
-    )
+    # the counters first: they are narrower than the account's attributes, which then move no more
+    counted = contacts.join(engagement, "contact_id")
+    joined = join_many_to_one(counted, attributes, ["account_id"], "inner", "contact_id", cfg, hot)
     scored = joined.withColumn("role_score", role_score(F.col("seniority"), F.col("department")))
     return scored.select(
         "contact_id", "account_id", "full_name", "first_name", "last_name", "email", "title", "seniority",

@@ -12,6 +12,8 @@ from pyspark.sql import Window as W
 
 from rosterforge.config import Config
 
+KEY_BUCKETS = 1 << 14  # more than max_hot_keys, so the average bucket is never full
+
 
 def hot_keys(sizes: DataFrame, keys: Sequence[str], size: str, cfg: Config) -> dict[int, int]:
     """Hash and number of slices of the keys worth salting, from a table with one row count per key.
@@ -27,7 +29,10 @@ def hot_keys(sizes: DataFrame, keys: Sequence[str], size: str, cfg: Config) -> d
     total, most = sizes.agg(F.sum(size), F.max(size)).first()
     if (most or 0) < cfg.hot_key_rows:
         return {}
-    least = max(cfg.hot_key_rows, total / cfg.max_hot_keys)
+    return _slices(sizes, keys, size, max(cfg.hot_key_rows, total / cfg.max_hot_keys), cfg)
+
+
+def _slices(sizes: DataFrame, keys: Sequence[str], size: str, least: float, cfg: Config) -> dict[int, int]:
     listed = sizes.filter(F.col(size) >= least).select(F.xxhash64(*keys).alias("h"), F.col(size).alias("n"))
     slices: dict[int, int] = {}
     for row in listed.collect():
@@ -39,6 +44,27 @@ def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
+def hot_row_keys(df: DataFrame, keys: Sequence[str], cfg: Config) -> dict[int, int]:
+    """`hot_keys` of a table's rows, without counting every key.
+
+    A key cannot have more rows than the hash bucket it falls into. Buckets are few, so a task
+    sends a bounded number of lines; only keys of buckets with enough rows for a hot key, normally
+    none, are then counted one by one. At most `max_hot_keys` bucket numbers reach the driver.
+    """
+    if cfg.most_rows is not None and cfg.most_rows < cfg.hot_key_rows:
+        return {}
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
+    buckets = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    large = F.when(F.col("_rows") >= cfg.hot_key_rows, F.struct("_bucket", "_rows"))
+    total, found = buckets.agg(F.sum("_rows"), F.collect_list(large)).first()
+    least = max(cfg.hot_key_rows, (total or 0) / cfg.max_hot_keys)
+    full = [b["_bucket"] for b in found if b["_rows"] >= least]
+    if not full:
+        return {}
+    sizes = key_sizes(df.filter(bucket.isin(full)), keys)
+    return _slices(sizes, keys, "_rows", least, cfg)
+
+
 def _marked(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     return df.join(F.broadcast(hot), F.xxhash64(*[df[k] for k in keys]) == hot["_hot"], "left")
 
@@ -91,11 +117,11 @@ def join_many_to_one(
 ) -> DataFrame:
     """Join a large table to a dimension; keys are counted on the large side to find hot ones.
 
-    The count reads only the key columns and is combined before its shuffle. A caller that
+    The count reads only the key columns and shuffles counts of hash buckets. A caller that
     joins several tables by one key counts once, on the largest, and passes `hot` on.
     """
     if hot is None:
-        hot = hot_keys(key_sizes(many.select(*keys), keys), keys, "_rows", cfg)
+        hot = hot_row_keys(many.select(*keys), keys, cfg)
     return salted_join(many, one, keys, how, hot, spread)
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from rosterforge.config import Config
 from rosterforge.functions.mapping import default_mapping
 from rosterforge.operators import contacts, dedupe, enrichment, quality, resolve, scoring, standardize
-from rosterforge.operators.skew import hot_keys, key_sizes
+from rosterforge.operators.skew import hot_row_keys
 from rosterforge.operators.constraints import LAYER_CONSTRAINTS, constraint_report
-from rosterforge.sources.staging import stored
+from rosterforge.sources.staging import COMPRESSION, stored
 
 # Layer of every table that a build writes; staging stays a view.
 LAYERS = {
@@ -55,7 +55,7 @@ class Build:
 
     def _write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{LAYERS[name]}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=COMPRESSION)
         self.written.add(name)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -91,7 +91,7 @@ class Build:
     def hot_accounts(self) -> dict[int, int]:
         """Hot account ids among all contacts; every later table of contacts has fewer rows of each."""
         keys = ["account_id"]
-        return hot_keys(key_sizes(self.contacts.select(*keys), keys), keys, "_rows", self.cfg)
+        return hot_row_keys(self.contacts.select(*keys), keys, self.cfg)
 
     @cached_property
     def int_accounts_resolved(self) -> DataFrame:

@@ -610,17 +610,21 @@ def two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
 
     Returns the outcomes and the state after each of the two.
     """
-    return two_logged_runs(spark, sf_dir)[:4]
+    return two_logged_runs(spark, sf_dir, *run_scope(spark, sf_dir))[:4]
+
+
+def run_scope(spark: SparkSession, sf_dir: str) -> tuple[Build, DataFrame, DataFrame]:
+    """A build, and the accounts and scored contacts of its runs. The scores stand on a stored table."""
+    b = built(spark, sf_dir, binding_config())
+    return b, stored(account_view(b), "scope"), b.fct_prospect_scores
 
 
 def two_logged_runs(
-    spark: SparkSession, sf_dir: str
+    spark: SparkSession, sf_dir: str, b: Build, accounts: DataFrame, scores: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, StateLog]:
     """The two runs and the state log that the first has been appended to."""
     cfg = binding_config()
-    b = built(spark, sf_dir, cfg)
-    accounts, scores = stored(account_view(b), "scope"), stored(b.fct_prospect_scores, "scores")
-    empty = spark.createDataFrame([], changes.STATE_SCHEMA)
+    empty = changes.no_state(spark)
     strict = binding_config(tier_a_min=70, tier_b_min=55)
     before = scores.withColumn("tier", scoring.tier(F.col("priority_score"), strict))
     no_title = scores.filter("title is null").select(F.lit("person").alias("entity"), F.col("contact_id").alias("local_id"))
@@ -668,7 +672,7 @@ def state_after_runs(spark, sf_dir):
 @query
 def state_log_after_runs(spark, sf_dir):
     """Both runs appended to a state log, one of its buckets compacted, and the state in force."""
-    _, _, second, _, log = two_logged_runs(spark, sf_dir)
+    _, _, second, _, log = two_logged_runs(spark, sf_dir, *run_scope(spark, sf_dir))
     log.append(second, "run-2")
     log.compact(max_segments=1)
     return log.read().drop("synced_at")
@@ -680,7 +684,7 @@ def rerun_stats(spark, sf_dir):
     cfg = binding_config()
     b = built(spark, sf_dir, cfg)
     accounts, scores = stored(account_view(b), "scope"), stored(b.fct_prospect_scores, "scores")
-    empty = spark.createDataFrame([], changes.STATE_SCHEMA)
+    empty = changes.no_state(spark)
     _, after = changes.plan_run(accounts, scores, empty, cfg)
     return changes.run_stats(changes.plan_run(accounts, scores, stored(after, "state"), cfg)[0])
 
@@ -691,7 +695,7 @@ def lost_state_stats(spark, sf_dir):
     cfg = binding_config()
     b = built(spark, sf_dir, cfg)
     accounts, scores = stored(account_view(b), "scope"), stored(b.fct_prospect_scores, "scores")
-    empty = spark.createDataFrame([], changes.STATE_SCHEMA)
+    empty = changes.no_state(spark)
     targets = {
         "company": accounts.select(
             F.col("account_id").alias("local_id"),
@@ -716,10 +720,9 @@ def dry_run_requests(spark, sf_dir):
 def forced_dry_run(spark, sf_dir):
     """A forced run against the state of an earlier one: every record is written, nothing is saved."""
     cfg = binding_config()
-    b = built(spark, sf_dir, cfg)
-    _, state1, _, _ = two_runs(spark, sf_dir)
-    accounts, scores = stored(account_view(b), "scope"), stored(b.fct_prospect_scores, "scores")
-    outcomes, _ = changes.plan_run(accounts, scores, state1, cfg, force=True, rejects=REJECTS)
+    b, accounts, scores = run_scope(spark, sf_dir)
+    _, state1, _, _, _ = two_logged_runs(spark, sf_dir, b, accounts, scores)
+    outcomes, _ = changes.plan_run(accounts, scores, state1, cfg, force=True, rejects=REJECTS, hot=b.hot_accounts)
     folder = scratch_path(spark, "requests")
     state.write_requests(outcomes, folder, cfg)
     return spark.read.schema(REQUEST_SCHEMA).json(folder)
@@ -730,7 +733,7 @@ def two_rule_payloads(spark, sf_dir):
     """Company payloads under two reject rules, of which one, both or none hits a record."""
     cfg = binding_config()
     rules = (*REJECTS, changes.RejectRule("company", "name", "[0-4]$"), changes.RejectRule("company", "name", "2$"))
-    empty = spark.createDataFrame([], changes.STATE_SCHEMA)
+    empty = changes.no_state(spark)
     plan = changes.plan_companies(account_view(built(spark, sf_dir, cfg)), empty, cfg, rejects=rules)
     return plan.select("local_id", "payload", F.col("dropped_values").cast("bigint").alias("dropped_values"))
 

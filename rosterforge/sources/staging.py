@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Ids and digests are hex text, of which zstandard leaves about half and Snappy all.
+COMPRESSION = "zstd"
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where none is set, as in tests."""
@@ -33,5 +36,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     choose a broadcast from the real size of a small table.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=COMPRESSION)
     return df.sparkSession.read.schema(df.schema).parquet(path)

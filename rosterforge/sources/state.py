@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterforge.config import Config
-from rosterforge.operators.changes import STATE_SCHEMA, error_log, requests, run_stats
+from rosterforge.operators.changes import STATE_SCHEMA, error_log, no_state, requests, run_stats
+from rosterforge.sources.staging import COMPRESSION
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -33,7 +34,7 @@ def latest_run(spark: SparkSession, root: str) -> str | None:
 def read_state(spark: SparkSession, root: str) -> DataFrame:
     run_id = latest_run(spark, root)
     if run_id is None:
-        return spark.createDataFrame([], STATE_SCHEMA)
+        return no_state(spark)
     return spark.read.schema(STATE_SCHEMA).parquet(f"{root}/record_map/{run_id}")
 
 
@@ -42,7 +43,7 @@ def save_run(outcomes: DataFrame, state: DataFrame, root: str, run_id: str, fail
 
     A run id is used once: the folder of an earlier run is never written again, and Spark refuses.
     """
-    state.write.mode("errorifexists").parquet(f"{root}/record_map/{run_id}")
+    state.write.mode("errorifexists").parquet(f"{root}/record_map/{run_id}", compression=COMPRESSION)
     if failures is not None:
         error_log(failures, run_id).write.mode("append").parquet(f"{root}/errors")
     stats = run_stats(outcomes).select(
@@ -52,6 +53,6 @@ def save_run(outcomes: DataFrame, state: DataFrame, root: str, run_id: str, fail
 
 
 def write_requests(plan: DataFrame, folder: str, cfg: Config) -> None:
-    """Dry run: every write of the plan as one JSON line."""
+    """Dry run: every write of the plan as one JSON line, in gzip files since lines are mostly field names."""
     lines = requests(plan, cfg).select(F.to_json(F.struct("*")).alias("value"))
-    lines.write.mode("overwrite").text(folder)
+    lines.write.mode("overwrite").text(folder, compression="gzip")

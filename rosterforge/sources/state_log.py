@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.operators.changes import STATE_SCHEMA, error_log, run_stats
+from rosterforge.operators.changes import STATE_SCHEMA, error_log, no_state, run_stats
+from rosterforge.sources.staging import COMPRESSION
 from rosterforge.sources.state import _read_or_none
 
 SEGMENT_SCHEMA = STATE_SCHEMA + ", deleted boolean"
@@ -76,7 +77,7 @@ class StateLog:
         """The state in force, as a bucketed table: joins and groups by local id move none of it."""
         v = self.version()
         if not v.segments:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
+            return no_state(self.spark)
         digest = hashlib.sha1(self.root.encode()).hexdigest()[:12]
         name = f"rosterforge_state_{digest}_{v.number}"
         self.spark.sql(
@@ -93,7 +94,8 @@ class StateLog:
         folder, name = f"{seg:06d}-{mark}", f"rosterforge_segment_{mark}"
         (
             rows.repartition(v.n_buckets, "local_id").write.format("parquet").bucketBy(v.n_buckets, "local_id")
-            .sortBy("local_id").option("path", f"{self.root}/segments/{folder}").saveAsTable(name)
+            .sortBy("local_id").option("path", f"{self.root}/segments/{folder}").option("compression", COMPRESSION)
+            .saveAsTable(name)
         )
         self.spark.sql(f"DROP TABLE {name}")  # an external table: the files stay
         return seg, folder

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from rosterforge.config import Config
-from rosterforge.operators import enrichment
+from rosterforge.operators import changes, enrichment, scoring, skew
+from rosterforge.operators.skew import hot_keys, hot_row_keys, key_sizes
+from rosterforge.sources.staging import stored
+from rosterforge.sources.state_log import StateLog
 
 WIDE = "domain string, " + ", ".join(f"{f} string" for f in enrichment.FIELDS) + ", provider string, source_file string, enriched_at string"
 
@@ -20,3 +23,90 @@ def test_matched_enrichment_is_dealt_over_tasks_before_it_has_a_row_per_field(sp
     per_task = [r["n"] for r in long.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert len(per_task) == 8 and max(per_task) < 2 * 7 * 4000 / 8
     assert rows(enrichment.pivot_enrichment(long).select("account_id", "industry")) == [("A1", "x")]
+
+
+def test_hot_keys_of_rows_shuffle_bucket_counts_alone(spark):
+    rows_of = spark.range(20_000).select(
+        F.when(F.col("id") < 900, None).when(F.col("id") < 2_000, "often").otherwise(F.col("id").cast("string")).alias("k")
+    )
+    for cfg in (Config(hot_key_rows=500, salts=2), Config(hot_key_rows=1_000, salts=2), Config(hot_key_rows=1),
+                Config(hot_key_rows=1, max_hot_keys=20, salts=3), Config(hot_key_rows=50_000)):
+        assert hot_row_keys(rows_of, ["k"], cfg) == hot_keys(key_sizes(rows_of, ["k"]), ["k"], "_rows", cfg)
+
+
+def test_a_build_counts_no_key_of_its_contacts_one_by_one(built, monkeypatch):
+    counted = []
+    monkeypatch.setattr(skew, "key_sizes", lambda df, keys: counted.append(keys))
+    keys = ["contact_id"]
+    assert hot_row_keys(built.contacts.select(*keys), keys, Config(hot_key_rows=1_000)) == {} and not counted
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+SCORES = (
+    "contact_id string, account_id string, first_name string, full_name string, last_name string, email string, title string, "
+    "priority_score double, tier string, persona string, seniority string, stage string"
+)
+
+
+def test_payloads_are_made_where_nothing_moves_them(spark):
+    """No exchange above a payload or its hash, and a first run moves its people by account alone."""
+    one = ("C1", "A1", "Ann", "Ann Lee", "Lee", "a@b.test", "Head", 70.0, "A", "Other", "VP", "New")
+    scores = spark.createDataFrame([one], SCORES)
+    companies = spark.createDataFrame([("A1", "T1")], "local_id string, target_id string")
+    failures = spark.createDataFrame([("person", "C9", 400, "no")], "entity string, local_id string, status int, message string")
+    known = spark.createDataFrame([("person", "C1", "T9", "h", None)], changes.STATE_SCHEMA)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = changes.plan_people(scores, companies, known, Config(), {}, failures=failures)
+        lines = plan_of(plan).splitlines()
+        assert plan.columns[-1] == "failed"
+        assert [(r["action"], r["target_id"], r["failed"]) for r in plan.collect()] == [("update", "T9", False)]
+        assert not any("Exchange" in line for line in lines[: 1 + max(i for i, x in enumerate(lines) if "sha1" in x or "to_json" in x)])
+        first = plan_of(changes.plan_people(scores, companies, changes.no_state(spark), Config(), {}))
+        assert "hashpartitioning(account_id" in first and "hashpartitioning(contact_id" not in first
+        assert "hashpartitioning(local_id" not in first.replace("hashpartitioning(account_id", "")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_an_entity_with_failures_is_planned_as_before(spark):
+    scores = spark.createDataFrame(
+        [(f"C{i}", "A1", "Ann", "Ann Lee", "Lee", "a@b.test", "Head", 70.0, "A", "Other", "VP", "New") for i in range(6)], SCORES
+    )
+    companies = spark.createDataFrame([("A1", "T1")], "local_id string, target_id string")
+    failures = spark.createDataFrame(
+        [("person", "C1", 400, "no"), ("person", "C1", 500, "no"), ("company", "C2", 400, "no")],
+        "entity string, local_id string, status int, message string",
+    )
+    state = changes.no_state(spark)
+    plan = changes.plan_people(scores, companies, state, Config(), {})
+    joined = changes.plan_people(scores, companies, state, Config(), {}, failures=failures)
+    assert rows(joined) == rows(changes.with_outcomes(plan, failures))
+    assert joined.filter("failed").count() == 1
+
+
+def test_stored_tables_are_packed_with_zstandard(spark, tmp_path):
+    ids = spark.range(20_000).select(F.sha1(F.col("id").cast("string")).alias("h"))
+    kept = [f for f in stored(ids, "ids").inputFiles() if f.endswith(".parquet")]
+    assert kept and all(f.endswith(".zstd.parquet") for f in kept)
+    log = StateLog(spark, str(tmp_path / "log"), 4)
+    log.append(ids.select(F.lit("person").alias("entity"), F.col("h").alias("local_id"), F.lit("create").alias("action"),
+                          F.col("h").alias("target_id"), F.col("h").alias("payload_hash"), F.lit(0).alias("dropped_values"),
+                          F.lit(False).alias("failed")), "run-1")
+    assert all("zstd" in path for _, path in log._files(log.version().segments[0][1]))
+    assert log.read().count() == 20_000
+
+
+def test_counters_are_joined_before_the_attributes_of_accounts(spark, built):
+    """The account join comes last, so attributes are not moved again by contact."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(scoring.score_contacts(built.dim_contact, built.dim_account, built.int_contact_engagement, built.cfg, {}))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "account_id" in next(line for line in plan.splitlines() if "Join" in line)
