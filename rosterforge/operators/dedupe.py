@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,11 +122,14 @@ def _candidates(names: DataFrame, on: list[str], crowd: int, cfg: Config) -> Dat
             "name_keys",
         )
         return _meet(keyed, [*on, "_key"], on, cfg)
-    earlier = keyed.select(*on, F.col("_text").alias("_text2"), F.col("_low").alias("_low2"))
+    # the same columns on both sides, renamed above the join, so that one exchange serves both
+    a, b = keyed.alias("a"), keyed.alias("b")
     ratio = sim.min_length_ratio(cfg.fuzzy_threshold)
-    size1, size2 = F.octet_length("_text"), F.octet_length("_text2")
-    return keyed.join(earlier, on).filter(
-        (F.col("_low2") < F.col("_low")) & (F.least(size1, size2) >= ratio * F.greatest(size1, size2) - 1e-9)
+    size1, size2 = F.octet_length("a._text"), F.octet_length("b._text")
+    near = F.least(size1, size2) >= ratio * F.greatest(size1, size2) - 1e-9
+    same = reduce(Column.__and__, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on])
+    return a.join(b, same & (F.col("b._low") < F.col("a._low")) & near).select(
+        *[F.col(f"a.{c}") for c in (*on, "_text", "_low")], F.col("b._text").alias("_text2"), F.col("b._low").alias("_low2")
     )
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from rosterforge.config import Config
-from rosterforge.operators import changes, enrichment, scoring, skew
+from rosterforge.functions import ids
+from rosterforge.operators import changes, dedupe, enrichment, scoring, skew
 from rosterforge.operators.skew import hot_keys, hot_row_keys, key_sizes
 from rosterforge.sources.staging import stored
 from rosterforge.sources.state_log import StateLog
@@ -52,7 +53,7 @@ SCORES = (
 
 
 def test_payloads_are_made_where_nothing_moves_them(spark):
-    """No exchange above a payload or its hash, and a first run moves its people by account alone."""
+    """No exchange above a payload or its hash; by account move two ids; a first run meets no state."""
     one = ("C1", "A1", "Ann", "Ann Lee", "Lee", "a@b.test", "Head", 70.0, "A", "Other", "VP", "New")
     scores = spark.createDataFrame([one], SCORES)
     companies = spark.createDataFrame([("A1", "T1")], "local_id string, target_id string")
@@ -67,8 +68,8 @@ def test_payloads_are_made_where_nothing_moves_them(spark):
         assert [(r["action"], r["target_id"], r["failed"]) for r in plan.collect()] == [("update", "T9", False)]
         assert not any("Exchange" in line for line in lines[: 1 + max(i for i, x in enumerate(lines) if "sha1" in x or "to_json" in x)])
         first = plan_of(changes.plan_people(scores, companies, changes.no_state(spark), Config(), {}))
-        assert "hashpartitioning(account_id" in first and "hashpartitioning(contact_id" not in first
-        assert "hashpartitioning(local_id" not in first.replace("hashpartitioning(account_id", "")
+        assert first.count("Join") == 2 and first.count("Exchange hashpartitioning(contact_id") == 2
+        assert first.count("to_json") + first.count("StructsToJson") <= 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
@@ -110,3 +111,23 @@ def test_counters_are_joined_before_the_attributes_of_accounts(spark, built):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "account_id" in next(line for line in plan.splitlines() if "Join" in line)
+
+
+def test_names_of_a_block_meet_through_one_exchange(spark):
+    names = spark.createDataFrame([("b", "ann", "1"), ("b", "anne", "2")], "_block0 string, _text string, _low string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = dedupe._candidates(stored(names, "names"), ["_block0"], 2, Config())
+        assert [tuple(r) for r in pairs.collect()] == [("b", "anne", "2", "ann", "1")]
+        assert "ReusedExchange" in pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_ids_are_cut_from_one_digest_a_record(spark):
+    current = spark.createDataFrame([("a", None, ("x",), "h")], "local_id string, parent_id string, payload struct<name: string>, payload_hash string")
+    plan = changes.plan_changes(current, "company", changes.no_state(spark), Config())
+    assert plan_of(plan).count("sha1(") == 1
+    want = spark.range(1).select(ids.target_id(changes.PATHS["company"], F.lit("a"))).first()[0]
+    assert [(r["target_id"], r["payload"]) for r in plan.collect()] == [(want, '{"name":"x"}')]
