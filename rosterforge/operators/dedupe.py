@@ -122,7 +122,9 @@ def _candidates(names: DataFrame, on: list[str], crowd: int, cfg: Config) -> Dat
             "name_keys",
         )
         return _meet(keyed, [*on, "_key"], on, cfg)
-    # the same columns on both sides, renamed above the join, so that one exchange serves both
+    # the same columns and filters on both sides, renamed above the join, so that one exchange serves both;
+    # nothing is missing, and what is done with one side later would say so of that side alone
+    keyed = keyed.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in (*on, "_text", "_low")]))
     a, b = keyed.alias("a"), keyed.alias("b")
     ratio = sim.min_length_ratio(cfg.fuzzy_threshold)
     size1, size2 = F.octet_length("a._text"), F.octet_length("b._text")
