@@ -42,16 +42,15 @@ def rank_desc(
     100 with one decimal has at most 1,001 values and NULL, whose ranks are broadcast. Beyond
     `max_values` values are ranked in slices and joined; rows of frequent values are then cut apart
     by `spread`, a column that varies inside a value (the first column by default). The table is
-    read twice, so pass a stored one.
+    counted once, when this is called, and read again by every reader of the ranks, so pass a stored one.
     """
-    per_value = df.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
+    per_value = stored(df.groupBy(score).agg(F.count(F.lit(1)).alias("_n")), "value_counts")
     if per_value.limit(max_values + 1).count() <= max_values:
         ranks = F.broadcast(running_totals(per_value, [F.desc_nulls_last(score)], "_n").select(
             F.col(score).alias("_value"), (F.col("_before") + 1).cast("bigint").alias(out)
         ))
         return df.join(ranks, df[score].eqNullSafe(ranks["_value"]), "inner").drop("_value")
     cfg = cfg or Config()
-    per_value = stored(per_value, "value_counts")
     ranks = _ranks_of_many(per_value, score, out).withColumnRenamed("_value", score)
     hot = hot_keys(per_value, [score], "_n", cfg)
     return salted_join(df, ranks, [score], "inner", hot, spread or df.columns[0], null_safe=True)

@@ -14,7 +14,7 @@ from rosterforge.functions.mapping import default_mapping
 from rosterforge.operators import contacts, dedupe, enrichment, quality, resolve, scoring, standardize
 from rosterforge.operators.skew import hot_row_keys
 from rosterforge.operators.constraints import LAYER_CONSTRAINTS, constraint_report
-from rosterforge.sources.staging import COMPRESSION, stored
+from rosterforge.sources.staging import PACKED, stored
 
 # Layer of every table that a build writes; staging stays a view.
 LAYERS = {
@@ -55,7 +55,7 @@ class Build:
 
     def _write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{LAYERS[name]}/{name}"
-        df.write.mode("overwrite").parquet(path, compression=COMPRESSION)
+        df.write.mode("overwrite").options(**PACKED).parquet(path)
         self.written.add(name)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from rosterforge.config import Config
 from rosterforge.operators.changes import STATE_SCHEMA, error_log, no_state, requests, run_stats
-from rosterforge.sources.staging import COMPRESSION
+from rosterforge.sources.staging import PACKED
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -43,7 +43,7 @@ def save_run(outcomes: DataFrame, state: DataFrame, root: str, run_id: str, fail
 
     A run id is used once: the folder of an earlier run is never written again, and Spark refuses.
     """
-    state.write.mode("errorifexists").parquet(f"{root}/record_map/{run_id}", compression=COMPRESSION)
+    state.write.mode("errorifexists").options(**PACKED).parquet(f"{root}/record_map/{run_id}")
     if failures is not None:
         error_log(failures, run_id).write.mode("append").parquet(f"{root}/errors")
     stats = run_stats(outcomes).select(

@@ -16,24 +16,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterforge.operators.changes import STATE_SCHEMA, error_log, no_state, run_stats
-from rosterforge.sources.staging import COMPRESSION
+from rosterforge.sources.staging import PACKED
 from rosterforge.sources.state import _read_or_none
 
 SEGMENT_SCHEMA = STATE_SCHEMA + ", deleted boolean"
 MANIFEST_SCHEMA = (
     "version bigint, run_id string, n_buckets int, segments array<struct<seg: int, folder: string>>, floors array<int>, "
-    "finished_at timestamp"
+    "once array<int>, finished_at timestamp"
 )
 
 
 @dataclass(frozen=True)
 class Version:
-    """One line of the manifest: rows of a bucket count from the segment `floors[bucket]` on."""
+    """One line of the manifest: rows of a bucket count from the segment `floors[bucket]` on.
+
+    Segments `once` hold one line a record.
+    """
 
     number: int
     n_buckets: int
     segments: tuple[tuple[int, str], ...]
     floors: tuple[int, ...]
+    once: tuple[int, ...] = ()
 
     @property
     def next_segment(self) -> int:
@@ -53,23 +57,26 @@ class StateLog:
         self._new_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def version(self) -> Version:
-        lines = _read_or_none(self.spark, f"{self.root}/manifest")
+        lines = _read_or_none(self.spark, f"{self.root}/manifest", MANIFEST_SCHEMA)
         newest = None if lines is None else lines.agg(F.max_by(F.struct("*"), "version").alias("v")).first()["v"]
         if newest is None:
             return Version(0, self._new_buckets, (), (0,) * self._new_buckets)
         segments = tuple((s["seg"], s["folder"]) for s in newest["segments"])
-        return Version(newest["version"], newest["n_buckets"], segments, tuple(newest["floors"]))
+        once = tuple(newest["once"] or ())
+        return Version(newest["version"], newest["n_buckets"], segments, tuple(newest["floors"]), once)
 
     def _bucket(self, n_buckets: int) -> Column:
         """The bucket of a row, as Spark itself deals bucketed tables."""
         return F.pmod(F.hash("local_id"), F.lit(n_buckets))
 
     def _in_force(self, df: DataFrame, v: Version) -> DataFrame:
-        """Newest line of each record, without the removed ones."""
+        """Newest line of each record, without the removed ones. Of a lone segment that holds each once, every line."""
         if any(v.floors):
             floors = F.array(*[F.lit(f) for f in v.floors])
             df = df.filter(F.col("seg") >= F.get(floors, self._bucket(v.n_buckets)))
         names = ("target_id", "payload_hash", "synced_at", "deleted")
+        if len(v.segments) == 1 and v.segments[0][0] in v.once:
+            return df.select("entity", "local_id", *names).filter("NOT deleted").drop("deleted")
         newest = df.groupBy("entity", "local_id").agg(F.max_by(F.struct(*names), "seg").alias("_newest"))
         return newest.select("entity", "local_id", "_newest.*").filter("NOT deleted").drop("deleted")
 
@@ -88,20 +95,25 @@ class StateLog:
         self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {listed}")
         return self._in_force(self.spark.table(name), v)
 
-    def _write_segment(self, rows: DataFrame, v: Version) -> tuple[int, str]:
-        """Rows dealt into buckets, at most one file each; empty buckets write none."""
+    def _write_segment(self, rows: DataFrame, v: Version) -> tuple[int, str, bool]:
+        """Rows dealt into buckets, at most one file each; empty buckets write none.
+
+        Says as well whether the segment holds one line a record, from its ids where they lie.
+        """
         seg, mark = v.next_segment, uuid.uuid4().hex
         folder, name = f"{seg:06d}-{mark}", f"rosterforge_segment_{mark}"
         (
             rows.repartition(v.n_buckets, "local_id").write.format("parquet").bucketBy(v.n_buckets, "local_id")
-            .sortBy("local_id").option("path", f"{self.root}/segments/{folder}").option("compression", COMPRESSION)
+            .sortBy("local_id").option("path", f"{self.root}/segments/{folder}").options(**PACKED)
             .saveAsTable(name)
         )
+        lines = self.spark.table(name).groupBy("entity", "local_id").agg(F.count(F.lit(1)).alias("n"))
+        most = lines.agg(F.max("n")).first()[0]
         self.spark.sql(f"DROP TABLE {name}")  # an external table: the files stay
-        return seg, folder
+        return seg, folder, most == 1
 
-    def _put_in_force(self, v: Version, run_id: str | None, segments, floors) -> None:
-        line = [(v.number + 1, run_id, v.n_buckets, list(segments), list(floors), None)]
+    def _put_in_force(self, v: Version, run_id: str | None, segments, floors, once) -> None:
+        line = [(v.number + 1, run_id, v.n_buckets, list(segments), list(floors), list(once), None)]
         df = self.spark.createDataFrame(line, MANIFEST_SCHEMA).withColumn("finished_at", F.current_timestamp())
         df.coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
 
@@ -119,7 +131,9 @@ class StateLog:
                 "entity", "local_id", "target_id", "payload_hash", F.current_timestamp().alias("synced_at"),
                 (F.col("action") == "remove").alias("deleted"),
             )
-            self._put_in_force(v, run_id, [*v.segments, self._write_segment(rows, v)], v.floors)
+            seg, folder, is_once = self._write_segment(rows, v)
+            once = [*v.once, seg] if is_once else v.once
+            self._put_in_force(v, run_id, [*v.segments, (seg, folder)], v.floors, once)
         if failures is not None:
             error_log(failures, run_id).write.mode("append").parquet(f"{self.root}/errors")
         self.spark.createDataFrame(lines, stats.schema).coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
@@ -149,11 +163,12 @@ class StateLog:
                 ).withColumn("seg", F.lit(seg))
                 parts = part if parts is None else parts.unionByName(part)
         rows = self._in_force(parts, v).withColumn("deleted", F.lit(False))
-        seg, folder = self._write_segment(rows, v)
+        seg, folder, is_once = self._write_segment(rows, v)
         floors = [seg if b in set(full) else f for b, f in enumerate(v.floors)]
         least = min(floors)  # segments below every floor are out of force
         segments = [s for s in (*v.segments, (seg, folder)) if s[0] >= least]
-        self._put_in_force(v, None, segments, floors)
+        once = [s for s, _ in segments if s in v.once or (s == seg and is_once)]
+        self._put_in_force(v, None, segments, floors, once)
         return full
 
     def _folder(self, path: str):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from rosterforge.config import Config
 from rosterforge.functions import ids
-from rosterforge.operators import changes, dedupe, enrichment, scoring, skew
+from rosterforge.operators import changes, dedupe, enrichment, ranking, scoring, skew
 from rosterforge.operators.skew import hot_keys, hot_row_keys, key_sizes
 from rosterforge.sources.staging import stored
 from rosterforge.sources.state_log import StateLog
@@ -136,3 +136,63 @@ def test_ids_are_cut_from_one_digest_a_record(spark):
     assert plan_of(plan).count("sha1(") == 1
     want = spark.range(1).select(ids.target_id(changes.PATHS["company"], F.lit("a"))).first()[0]
     assert [(r["target_id"], r["payload"]) for r in plan.collect()] == [(want, '{"name":"x"}')]
+
+
+def test_readers_of_ranks_do_not_count_the_table_again(spark):
+    scored = stored(spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 2.0), ("d", None)], "id string, score double"), "scored")
+    for most in (10, 1):
+        ranked = ranking.rank_desc(scored, "score", "place", max_values=most)
+        assert sum("scored-" in line for line in plan_of(ranked).splitlines()) == 1
+        assert rows(ranked.select("id", "place")) == [("a", 3), ("b", 1), ("c", 1), ("d", 4)]
+
+
+def test_a_lone_segment_of_a_log_is_read_without_grouping(spark, tmp_path):
+    """Unless a run named a record twice."""
+    def run(*ids):
+        lines = [("person", i, "create", "t" + i, "h" + i, 0, False) for i in ids]
+        return spark.createDataFrame(
+            lines, "entity string, local_id string, action string, target_id string, payload_hash string, dropped_values int, failed boolean"
+        )
+
+    log, twice = StateLog(spark, str(tmp_path / "log"), 4), StateLog(spark, str(tmp_path / "twice"), 4)
+    log.append(run("a", "b"), "run-1")
+    assert log.version().once == (1,) and "Aggregate" not in plan_of(log.read())
+    assert rows(log.read().select("local_id", "target_id")) == [("a", "ta"), ("b", "tb")]
+    log.append(run("b", "c"), "run-2")
+    assert "Aggregate" in plan_of(log.read()) and rows(log.read().select("local_id")) == [("a",), ("b",), ("c",)]
+    log.compact(max_segments=1)
+    assert log.read().count() == 3
+    twice.append(run("a", "a", "b"), "run-1")
+    assert twice.version().once == () and rows(twice.read().select("local_id")) == [("a",), ("b",)]
+
+
+def test_ids_after_a_run_lie_where_the_state_lies(spark, tmp_path):
+    """Records of a state and of a run, of which some were in the state, some failed and some are removed."""
+    def run(first, last, action):
+        made = spark.range(first, last).select(F.lit("person").alias("entity"), F.format_string("c%03d", "id").alias("local_id"), "id")
+        return stored(made.select(
+            "entity", "local_id", F.when(F.col("id") % 7 == 0, "remove").otherwise(action).alias("action"),
+            F.concat(F.lit(action), "local_id").alias("target_id"), F.lit("h").alias("payload_hash"),
+            F.lit(0).alias("dropped_values"), (F.col("id") % 5 == 0).alias("failed"),
+        ), "run")
+
+    log = StateLog(spark, str(tmp_path / "log"))
+    log.append(run(0, 200, "create"), "run-1")
+    scores = stored(spark.range(300).select(F.format_string("c%03d", "id").alias("contact_id")), "scores")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = changes.ids_after(log.read(), run(100, 250, "update"), "person").withColumnRenamed("local_id", "contact_id")
+        joined = scores.join(ids, "contact_id", "left")
+        got = {r["contact_id"]: r["target_id"] for r in joined.collect()}
+        # the scores alone are moved for the join
+        assert plan_of(joined).split("Initial Plan")[0].count("ENSURE_REQUIREMENTS") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+    def want(i):
+        if 100 <= i < 250 and i % 5:
+            return None if i % 7 == 0 else f"updatec{i:03d}"
+        return f"createc{i:03d}" if i < 200 and i % 5 and i % 7 else None
+
+    assert joined.count() == 300 and got == {f"c{i:03d}": want(i) for i in range(300)}
