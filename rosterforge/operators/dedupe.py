@@ -26,12 +26,10 @@ def _nulls_last(order: Sequence[Column]) -> list[Column]:
 
 
 def _ordinary_groups(df: DataFrame, key: str, id_col: str, prefer: Sequence[Column]) -> DataFrame:
-    """Size and survivor by one window: one exchange of the rows."""
-    group = W.partitionBy(key)
-    best_first = group.orderBy(*_nulls_last(prefer), F.col(id_col))
-    return df.withColumns({
-        "_size": F.count(F.lit(1)).over(group), "_survivor": F.first(id_col).over(best_first)
-    })
+    """Size and survivor by one window over whole groups: one exchange of the rows, one pass."""
+    group = W.partitionBy(key).orderBy(*_nulls_last(prefer), F.col(id_col))
+    group = group.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return df.withColumns({"_size": F.count(F.lit(1)).over(group), "_survivor": F.first(id_col).over(group)})
 
 
 def _hot_groups(

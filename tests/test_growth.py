@@ -138,6 +138,16 @@ def test_ids_are_cut_from_one_digest_a_record(spark):
     assert [(r["target_id"], r["payload"]) for r in plan.collect()] == [(want, '{"name":"x"}')]
 
 
+def test_groups_of_exact_duplicates_take_one_window(spark):
+    people = spark.createDataFrame(
+        [("c1", "x", 1), ("c2", "x", 3), ("c3", None, None), ("c4", None, 2), ("c5", "y", 1)], "id string, email string, n int"
+    )
+    groups = dedupe.dedupe_exact(people, "email", "id", [-F.col("n")], Config(hot_key_rows=100))
+    assert sum("Window" in line and "Group" not in line for line in plan_of(groups).splitlines()) == 1
+    assert [(r["id"], r["group_size"], r["survivor_id"]) for r in groups.orderBy("id").collect()] == [
+        ("c1", 2, "c2"), ("c2", 2, "c2"), ("c3", 2, "c4"), ("c4", 2, "c4"), ("c5", 1, "c5")]
+
+
 def test_readers_of_ranks_do_not_count_the_table_again(spark):
     scored = stored(spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 2.0), ("d", None)], "id string, score double"), "scored")
     for most in (10, 1):
